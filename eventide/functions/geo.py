@@ -85,41 +85,46 @@ def direction_angle(start_lon, start_lat, dest_lon, dest_lat) -> Column:
     return F.degrees(F.atan2(x, y)).cast("int") + F.lit(179)
 
 
-def path_cells(x1, y1, x2, y2) -> Column:
-    """GEO-3: grid cells crossed by the straight segment between two cells.
+def path_cells(df, x1, y1, x2, y2, out: str = "cell_id"):
+    """GEO-3: one row per grid cell crossed by the straight segment between
+    two cells (``df`` keeps its other columns).
 
     Closed form per column, no loop: order the end points by x; with slope
     ``s`` and ``v(x) = (x - sx + 0.5) * s + sy - 0.5`` column ``x`` covers the
     rows ``a(x)..b(x)``::
 
-        a = sy                            if x = sx
-            max(sy, floor(v(x-1) + .05) + 1) otherwise
-        b = ey                            if x = ex
-            max(a, floor(v(x) - .05) + 1)  otherwise
+        a = sy                               if x = sx
+            max(sy, floor(v(x-1) + .05) + 1)  otherwise
+        b = ey                               if x = ex
+            max(a, floor(v(x) - .05) + 1)     otherwise
 
     Falling segments are mirrored about ``sy``.  For rising segments this is
     the reference's cell walk; for falling ones it ends on the end cell (the
-    reference walk may overshoot, see the README).
+    reference walk may overshoot, see the README).  Two ``explode(sequence)``
+    steps over plain columns keep every expression in generated code.
     """
     x1, y1, x2, y2 = _c(x1), _c(y1), _c(x2), _c(y2)
     swap = x1 > x2
-    sx = F.when(swap, x2).otherwise(x1)
-    sy = F.when(swap, y2).otherwise(y1)
-    ex = F.when(swap, x1).otherwise(x2)
-    ey0 = F.when(swap, y1).otherwise(y2)
-    falling = ey0 < sy
-    ey = F.when(falling, sy * 2 - ey0).otherwise(ey0)       # mirrored end row
-    s = (ey - sy).cast("double") / ((ex - sx).cast("double") + F.lit(1e-8))
+    d = df.withColumn("_sx", F.when(swap, x2).otherwise(x1)) \
+          .withColumn("_sy", F.when(swap, y2).otherwise(y1)) \
+          .withColumn("_ex", F.when(swap, x1).otherwise(x2)) \
+          .withColumn("_ey0", F.when(swap, y1).otherwise(y2))
+    d = d.withColumn("_fall", F.col("_ey0") < F.col("_sy")) \
+         .withColumn("_ey", F.when(F.col("_fall"), F.col("_sy") * 2 - F.col("_ey0"))
+                              .otherwise(F.col("_ey0")))
+    d = d.withColumn("_s", (F.col("_ey") - F.col("_sy")).cast("double")
+                     / ((F.col("_ex") - F.col("_sx")).cast("double") + F.lit(1e-8)))
+    d = d.withColumn("_x", F.explode(F.sequence("_sx", "_ex")))
 
     def v(x):
-        return (x - sx + F.lit(0.5)) * s + sy - F.lit(0.5)
-
-    def col_cells(x):
-        a = F.when(x == sx, sy).otherwise(
-            F.greatest(sy, (F.floor(v(x - 1) + F.lit(0.05)) + 1).cast("int")))
-        b = F.when(x == ex, ey).otherwise(
-            F.greatest(a, (F.floor(v(x) - F.lit(0.05)) + 1).cast("int")))
-        return F.transform(F.sequence(a, b), lambda y: x + F.when(falling, sy * 2 - y)
-                           .otherwise(y) * F.lit(NUMBER_OF_GRID_X))
-
-    return F.flatten(F.transform(F.sequence(sx, ex), col_cells))
+        return (x - F.col("_sx") + F.lit(0.5)) * F.col("_s") + F.col("_sy") - F.lit(0.5)
+
+    x = F.col("_x")
+    d = d.withColumn("_a", F.when(x == F.col("_sx"), F.col("_sy")).otherwise(
+        F.greatest(F.col("_sy"), (F.floor(v(x - 1) + F.lit(0.05)) + 1).cast("int"))))
+    d = d.withColumn("_b", F.when(x == F.col("_ex"), F.col("_ey")).otherwise(
+        F.greatest(F.col("_a"), (F.floor(v(x) - F.lit(0.05)) + 1).cast("int"))))
+    d = d.withColumn("_y", F.explode(F.sequence("_a", "_b")))
+    y = F.when(F.col("_fall"), F.col("_sy") * 2 - F.col("_y")).otherwise(F.col("_y"))
+    d = d.withColumn(out, x + y * F.lit(NUMBER_OF_GRID_X))
+    return d.drop("_sx", "_sy", "_ex", "_ey0", "_fall", "_ey", "_s", "_x", "_a", "_b", "_y")

@@ -86,3 +86,43 @@ def window_fire_points(scanned: DataFrame, size_ms: int) -> DataFrame:
     return (rec.filter(k0 <= k1)
                .select(F.explode(F.sequence(k0, k1)).alias("_k"), F.col("wm_after").alias("fire_wm"))
                .select((F.col("_k") * size_ms).alias("win_end_ms"), "fire_wm"))
+
+
+def window_min_changelog(df: DataFrame, key: str, value: str, size_ms: int, delay_ms: int,
+                         lateness_ms: int, t_ms: str = "t_ms", order=("arr_ms", "event_id"),
+                         fields=("event_id", "ts"), n_chunks: int | None = None):
+    """AGG-5 / LATE-1 / LATE-2 on a replayed stream.
+
+    Returns ``(changelog, too_late)``.  ``changelog`` has one row per emission
+    of the per-key window minimum: the on-time firing (``kind='on_time'``,
+    watermark after the crossing row), one re-firing per late-but-allowed row
+    (``kind='late'``, minimum over all accepted rows so far), or the firing at
+    the end of a bounded input (``kind='final'``).  Ties keep the earlier
+    arrival.  ``too_late`` holds the rows the window operator drops.
+    """
+    from .scan import keyed_scan  # local import keeps module import order simple
+
+    s = with_watermark_before(df, delay_ms, t_ms, order, with_after=True, n_chunks=n_chunks)
+    s = classify_lateness(s, size_ms, lateness_ms, t_ms)
+    rec = F.struct(F.col(value).alias("v"),
+                   *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
+                   *[F.col(f).alias(f) for f in fields])
+    fire = window_fire_points(s, size_ms)
+    on_time = (s.filter(F.col("status") == "on_time")
+                .groupBy(key, "win_start_ms", "win_end_ms").agg(F.min(rec).alias("rec"))
+                .join(fire, "win_end_ms", "left")
+                .select(key, "win_start_ms", "win_end_ms", "rec",
+                        F.coalesce("fire_wm", F.lit(END_OF_INPUT_WM)).alias("watermark_ms"),
+                        F.when(F.col("fire_wm").isNull(), "final").otherwise("on_time")
+                         .alias("kind")))
+    acc = s.filter(F.col("status") != "too_late")
+    late = (keyed_scan(acc, [key, "win_start_ms"], list(order),
+                       running={"_rec": ("min", rec, True)}, n_chunks=n_chunks)
+            .filter(F.col("status") == "late")
+            .select(key, "win_start_ms", "win_end_ms", F.col("_rec").alias("rec"),
+                    F.col("wm_before").alias("watermark_ms"), F.lit("late").alias("kind")))
+    log = on_time.unionByName(late).select(
+        key, "win_start_ms", "win_end_ms", "watermark_ms", "kind",
+        *[F.col(f"rec.{f}").alias(f) for f in fields], F.col("rec.v").alias(value))
+    too_late = s.filter(F.col("status") == "too_late").drop("status", "wm_after", "max_before")
+    return log, too_late

@@ -18,7 +18,7 @@ from ..operators import matching, patterns, topn, watermark, windows
 from ..operators.scan import keyed_scan, running_count
 from ..sources import lines as L
 from ..sources.rides import fares, ride_events, ride_starts
-from ..sources.tables import events, load
+from ..sources.tables import events, load, spread
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,29 +112,12 @@ def window_min_late_changelog(spark, d):
     firing when the watermark passes the window, one re-firing per
     late-but-allowed row, or the end-of-input firing - with the watermark at
     emission time."""
-    s = _late_scan(spark, d)
-    rec = F.struct(F.col("value").alias("v"), F.col("arr_ms").alias("a"),
-                   F.col("event_id").alias("i"), F.col("ts").alias("ts"))
-    # on-time firing: min over on-time rows; watermark from the crossing row
-    fire = watermark.window_fire_points(s, P.LATE_SIZE_MS)
-    on_time = (s.filter(F.col("status") == "on_time")
-                .groupBy("user_id", "win_start_ms", "win_end_ms").agg(F.min(rec).alias("rec"))
-                .join(fire, "win_end_ms", "left")
-                .select("user_id", "win_start_ms", "win_end_ms", "rec",
-                        F.coalesce("fire_wm", F.lit(watermark.END_OF_INPUT_WM)).alias("watermark_ms"),
-                        F.when(F.col("fire_wm").isNull(), "final").otherwise("on_time").alias("kind")))
-    # late firings: running min over accepted rows, emitted at each late row
-    acc = s.filter(F.col("status") != "too_late")
-    late = (keyed_scan(acc, ["user_id", "win_start_ms"], ["arr_ms", "event_id"],
-                       running={"_rec": ("min", rec, True)})
-            .filter(F.col("status") == "late")
-            .select("user_id", "win_start_ms", "win_end_ms", F.col("_rec").alias("rec"),
-                    F.col("wm_before").alias("watermark_ms"), F.lit("late").alias("kind")))
-    out = on_time.unionByName(late)
-    return out.select("user_id", ntz_from_ms("win_start_ms").alias("window_start"),
+    e = watermark.with_arrival(events(spark, d))
+    log, _ = watermark.window_min_changelog(e, "user_id", "value", P.LATE_SIZE_MS,
+                                            P.LATE_DELAY_MS, P.LATE_LATENESS_MS)
+    return log.select("user_id", ntz_from_ms("win_start_ms").alias("window_start"),
                       ntz_from_ms("win_end_ms").alias("window_end"), "watermark_ms", "kind",
-                      F.col("rec.i").alias("event_id"), ntz("rec.ts").alias("ts"),
-                      F.col("rec.v").alias("value"))
+                      "event_id", ntz("ts").alias("ts"), "value")
 
 
 # --------------------------------------------------------------- J5 top-N
@@ -186,7 +169,7 @@ def ride_order(spark, d):
 @query("word_count")
 def word_count(spark, d):
     """J1 over every line of every document (one replay window)."""
-    docs = load(spark, d, "documents").select("text")
+    docs = spread(load(spark, d, "documents").select("text"))
     words = docs.select(F.explode(text_lines("text")).alias("line")) \
                 .select(F.explode(line_tokens("line")).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
@@ -317,11 +300,10 @@ def cell_centres(spark, d):
 
 @query("path_coverage")
 def path_coverage(spark, d):
-    r = _nyc_starts(spark, d)
-    cells = geo.path_cells(geo.grid_x("start_lon"), geo.grid_y("start_lat"),
+    r = spread(_nyc_starts(spark, d).select("start_lon", "start_lat", "end_lon", "end_lat"))
+    cells = geo.path_cells(r, geo.grid_x("start_lon"), geo.grid_y("start_lat"),
                            geo.grid_x("end_lon"), geo.grid_y("end_lat"))
-    return r.select(F.explode(cells).alias("cell_id")).groupBy("cell_id") \
-            .agg(F.count(F.lit(1)).alias("n"))
+    return cells.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("distance_per_driver")

@@ -48,3 +48,14 @@ def streaming_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: in
 def ntz(col):
     """Cast an event-time column back to the stored TIMESTAMP_NTZ type."""
     return F.col(col).cast("timestamp_ntz") if isinstance(col, str) else col.cast("timestamp_ntz")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
+    partitions than cores (a small table in one row group).  Used before
+    row-expanding work (tokenising, path cells) so it is not done by one task.
+    On large inputs the scan already has many splits and nothing is added."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
