@@ -378,3 +378,76 @@ ORACLE["csv_roundtrip"] = _LINES + """
 SELECT f[1] AS id, TRY_CAST(f[2] AS BIGINT) AS timestamp, TRY_CAST(f[3] AS DOUBLE) AS temperature
 FROM q WHERE ok"""
 ORACLE["csv_quarantine"] = _LINES + "\nSELECT line FROM q WHERE NOT ok"
+
+# ----------------------------------------------------------------- streaming lane
+# At the end of the available input the watermark is max(event time) - delay
+# (in ms); windows closed by it and timers with expiry <= it have fired.
+_MAXMS = "(SELECT max(epoch_us(ts) // 1000) FROM events)"
+
+ORACLE["stream_hourly_best"] = f"""
+WITH h AS ({HOURLY})
+SELECT window_end, user_id, tips FROM h
+WHERE epoch_us(window_end) // 1000 <= {_MAXMS}
+QUALIFY row_number() OVER (PARTITION BY window_end ORDER BY tips DESC, user_id) = 1"""
+
+ORACLE["stream_top3"] = f"""
+WITH m AS ({MEANS})
+SELECT window_start, window_end,
+       row_number() OVER (PARTITION BY window_start ORDER BY avg_value DESC, user_id) AS rank,
+       user_id, avg_value FROM m
+WHERE epoch_us(window_end) // 1000 <= {_MAXMS} - 2000
+QUALIFY rank <= {P.TOP_N}"""
+
+ORACLE["stream_window_min_updates"] = ORACLE["window_min_with_bounds"]
+
+ORACLE["stream_fraud"] = f"""
+WITH x AS (SELECT *, lag(value) OVER w AS pv, lag(t_ms) OVER w AS pt FROM ({EV})
+           WINDOW w AS (PARTITION BY user_id ORDER BY t_ms, event_id))
+SELECT user_id AS account_id, event_id, make_timestamp(t_ms * 1000) AS ts, value AS amount FROM x
+WHERE pv < {P.FRAUD_SMALL} AND value > {P.FRAUD_LARGE} AND t_ms - pt <= {P.FRAUD_WITHIN_MS}"""
+
+ORACLE["stream_silence_1h"] = f"""SELECT user_id, cnt AS count, make_timestamp(t_ms * 1000) AS last_modified FROM (
+  SELECT user_id, t_ms,
+    row_number() OVER (PARTITION BY user_id ORDER BY t_ms, event_id) AS cnt,
+    lead(t_ms) OVER (PARTITION BY user_id ORDER BY t_ms, event_id) AS nt
+  FROM ({EV}))
+WHERE (nt IS NOT NULL AND nt - t_ms > {P.SILENCE_LONG_MS})
+   OR (nt IS NULL AND t_ms + {P.SILENCE_LONG_MS} + 1 <= {_MAXMS})"""
+
+ORACLE["stream_pseudo_window"] = f"""
+SELECT user_id, make_timestamp((t_ms - t_ms % {P.HOURLY_MS} + {P.HOURLY_MS} - 1) * 1000) AS window_end,
+       round(sum(value), 2) AS tips
+FROM ({EV}) WHERE t_ms - t_ms % {P.HOURLY_MS} + {P.HOURLY_MS} - 1 + 1 <= {_MAXMS} GROUP BY ALL"""
+
+ORACLE["stream_long_rides"] = f"""
+WITH ev AS (SELECT o_orderkey AS ride_id, TRUE AS is_start, epoch_us(o_orderdate) // 1000 AS t FROM orders
+            UNION ALL
+            SELECT l_orderkey, FALSE, epoch_us(l_shipdate) // 1000 FROM lineitem),
+g AS (SELECT ride_id, min(CASE WHEN is_start THEN t END) AS s, min(CASE WHEN NOT is_start THEN t END) AS e
+      FROM ev GROUP BY ride_id),
+wm AS (SELECT max(t) - 60000 AS wm FROM ev)
+SELECT ride_id, make_timestamp(s * 1000) AS start_time,
+       CASE WHEN e IS NULL THEN NULL ELSE make_timestamp(e * 1000) END AS end_time
+FROM g, wm
+WHERE s IS NOT NULL AND ((e IS NOT NULL AND e - s > {P.LONG_RIDE_MS})
+                         OR (e IS NULL AND s + {P.LONG_RIDE_MS} + 1 <= wm.wm))"""
+
+_SMAX = (f"(SELECT max(epoch_us(ts) // 1000) FROM events "
+         f"WHERE event_type IN ('{P.MATCH_RIDE_TYPE}', '{P.MATCH_FARE_TYPE}'))")
+
+ORACLE["stream_match"] = f"""
+WITH {_pairs(_TIMED_SRC, 'user_id', 't_ms, event_id', P.MATCH_TIMEOUT_MS).strip()},
+q AS (SELECT p.*, lag(t_ms) OVER (PARTITION BY user_id, island ORDER BY t_ms, event_id) AS prev_t FROM p)
+SELECT user_id,
+  CASE WHEN side = 'fare' THEN prev_key ELSE event_id END AS ride_event_id,
+  make_timestamp(CASE WHEN side = 'fare' THEN prev_t ELSE t_ms END * 1000) AS ride_ts,
+  CASE WHEN side = 'fare' THEN event_id ELSE prev_key END AS fare_event_id,
+  make_timestamp(CASE WHEN side = 'fare' THEN t_ms ELSE prev_t END * 1000) AS fare_ts
+FROM q WHERE pos % 2 = 1"""
+
+ORACLE["stream_unmatched"] = f"""
+WITH {_pairs(_TIMED_SRC, 'user_id', 't_ms, event_id', P.MATCH_TIMEOUT_MS).strip()}
+SELECT user_id, side, event_id, make_timestamp(t_ms * 1000) AS ts,
+  CASE WHEN n_side = side AND n_t - t_ms <= {P.MATCH_TIMEOUT_MS} THEN 'superseded' ELSE 'timeout' END AS reason
+FROM p WHERE pos % 2 = 0 AND next_new = 1
+  AND (n_side IS NOT NULL OR t_ms + {P.MATCH_TIMEOUT_MS} + 1 <= {_SMAX})"""

@@ -16,6 +16,14 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def stream_path(sf_dir: str, name: str) -> str:
+    """Path for a file stream over one stored table.  The file source wants a
+    folder or a glob; a one-character class turns the single file into a glob
+    that matches only itself.  A folder of files works the same."""
+    p = table_path(sf_dir, name)
+    return p if not p.endswith(".parquet") else p[:-1] + "[t]"
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
@@ -39,7 +47,7 @@ def streaming_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: in
     """Same rows as :func:`events`, as an unbounded file source."""
     df = (spark.readStream.schema(load(spark, sf_dir, "events").schema)
           .option("maxFilesPerTrigger", max_files_per_trigger)
-          .parquet(table_path(sf_dir, "events")))
+          .parquet(stream_path(sf_dir, "events")))
     return (df.select("event_id", "ts", "user_id", "event_type", "value")
               .withColumn("ts", F.col("ts").cast("timestamp"))
               .withColumn("t_ms", event_millis("ts")))
@@ -59,3 +67,11 @@ def spread(df: DataFrame) -> DataFrame:
     if df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
+
+
+def streaming_table(spark: SparkSession, sf_dir: str, name: str,
+                    max_files_per_trigger: int = 1) -> DataFrame:
+    """Any stored table as an unbounded file source."""
+    return (spark.readStream.schema(load(spark, sf_dir, name).schema)
+            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .parquet(stream_path(sf_dir, name)))
