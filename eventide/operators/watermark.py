@@ -73,19 +73,24 @@ def drop_late_rows(df: DataFrame, delay_ms: int = 0, t_ms: str = "t_ms",
     return s.filter(F.col("wm_before").isNull() | (F.col(t_ms) > F.col("wm_before")))
 
 
-def window_fire_points(scanned: DataFrame, size_ms: int) -> DataFrame:
-    """For every window end crossed by the watermark: the watermark right after
-    the crossing row.  Each row whose arrival raises the watermark fires the
-    window ends ``e`` with ``wm_before + 1 < e <= wm_after + 1``; ranges of
-    successive raising rows are disjoint, so each end appears once.  Output
-    size is the number of crossed windows (time span / size)."""
+def window_fire_points(scanned: DataFrame, ends: DataFrame, n_chunks: int | None = None) -> DataFrame:
+    """For each window end in ``ends`` (column ``win_end_ms``): the watermark
+    right after the row whose arrival first lifted it to ``end - 1`` or more
+    (``fire_wm``; null if the input ends before).
+
+    The watermark only grows, so this is an as-of lookup: put the rows that
+    raise the watermark (value ``wm_after``) and the window ends (value
+    ``end - 1``) in one descending sequence, raisers first on ties, and take
+    the running minimum of ``wm_after`` - a global skew-safe scan.  Work is
+    proportional to the rows, whatever the gaps in event time."""
     rec = scanned.filter(F.col("max_before").isNull() | (F.col("t_ms") > F.col("max_before")))
-    lo = F.coalesce(F.col("wm_before"), F.col("wm_after"))
-    k0 = F.floor((lo + 1) / size_ms) + 1
-    k1 = F.floor((F.col("wm_after") + 1) / size_ms)
-    return (rec.filter(k0 <= k1)
-               .select(F.explode(F.sequence(k0, k1)).alias("_k"), F.col("wm_after").alias("fire_wm"))
-               .select((F.col("_k") * size_ms).alias("win_end_ms"), "fire_wm"))
+    both = rec.select((-F.col("wm_after")).alias("_neg"), F.lit(0).alias("_kind"),
+                      F.col("wm_after").alias("_wm"), F.lit(None).cast("long").alias("win_end_ms")) \
+        .unionByName(ends.select((-(F.col("win_end_ms") - 1)).alias("_neg"), F.lit(1).alias("_kind"),
+                                 F.lit(None).cast("long").alias("_wm"), "win_end_ms"))
+    s = keyed_scan(both, [], ["_neg", "_kind", "win_end_ms"],
+                   running={"fire_wm": ("min", "_wm", True)}, n_chunks=n_chunks)
+    return s.filter(F.col("_kind") == 1).select("win_end_ms", "fire_wm")
 
 
 def window_min_changelog(df: DataFrame, key: str, value: str, size_ms: int, delay_ms: int,
@@ -100,17 +105,15 @@ def window_min_changelog(df: DataFrame, key: str, value: str, size_ms: int, dela
     the end of a bounded input (``kind='final'``).  Ties keep the earlier
     arrival.  ``too_late`` holds the rows the window operator drops.
     """
-    from .scan import keyed_scan  # local import keeps module import order simple
-
     s = with_watermark_before(df, delay_ms, t_ms, order, with_after=True, n_chunks=n_chunks)
     s = classify_lateness(s, size_ms, lateness_ms, t_ms)
     rec = F.struct(F.col(value).alias("v"),
                    *[F.col(o).alias(f"o{i}") for i, o in enumerate(order)],
                    *[F.col(f).alias(f) for f in fields])
-    fire = window_fire_points(s, size_ms)
-    on_time = (s.filter(F.col("status") == "on_time")
-                .groupBy(key, "win_start_ms", "win_end_ms").agg(F.min(rec).alias("rec"))
-                .join(fire, "win_end_ms", "left")
+    on_time = s.filter(F.col("status") == "on_time") \
+               .groupBy(key, "win_start_ms", "win_end_ms").agg(F.min(rec).alias("rec"))
+    fire = window_fire_points(s, on_time.select("win_end_ms").distinct(), n_chunks)
+    on_time = (on_time.join(fire, "win_end_ms", "left")
                 .select(key, "win_start_ms", "win_end_ms", "rec",
                         F.coalesce("fire_wm", F.lit(END_OF_INPUT_WM)).alias("watermark_ms"),
                         F.when(F.col("fire_wm").isNull(), "final").otherwise("on_time")
