@@ -451,3 +451,16 @@ SELECT user_id, side, event_id, make_timestamp(t_ms * 1000) AS ts,
   CASE WHEN n_side = side AND n_t - t_ms <= {P.MATCH_TIMEOUT_MS} THEN 'superseded' ELSE 'timeout' END AS reason
 FROM p WHERE pos % 2 = 0 AND next_new = 1
   AND (n_side IS NOT NULL OR t_ms + {P.MATCH_TIMEOUT_MS} + 1 <= {_SMAX})"""
+
+ORACLE["stream_word_count"] = ORACLE["word_count"]
+ORACLE["stream_key_count"] = ORACLE["key_count"]
+ORACLE["stream_sessions"] = f"""
+WITH a AS (SELECT user_id, ts, event_id,
+     CASE WHEN lag(ts) OVER w IS NULL OR epoch_us(ts) - epoch_us(lag(ts) OVER w) > CAST({P.SESSION_GAP_MS} AS BIGINT) * 1000
+          THEN 1 ELSE 0 END AS nw
+   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+b AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid
+   FROM a),
+s AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL {P.SESSION_GAP_MS // 60000} MINUTE AS session_end,
+             count(*) AS n FROM b GROUP BY user_id, sid)
+SELECT * FROM s WHERE epoch_us(session_end) <= {_MAXMS} * 1000"""

@@ -98,3 +98,30 @@ def stream_match(spark, d):
 def stream_unmatched(spark, d):
     out = _matches(spark, d).filter(F.col("kind") == "unmatched")
     return out.select("user_id", "side", "event_id", ntz_from_ms("t_ms").alias("ts"), "reason")
+
+
+@query("stream_word_count")
+def stream_word_count(spark, d):
+    """J1 streaming over the documents as a text stream; word totals summed
+    over the processing-time windows (the windows depend on wall time, the
+    totals do not)."""
+    docs = streaming_table(spark, d, "documents").select("text")
+    out = drain(jobs.word_counts_processing_time(docs), "word_count", output_mode="update")
+    last = out.groupBy("w", "word").agg(F.max("count").alias("c"))
+    return last.groupBy("word").agg(F.sum("c").alias("n"))
+
+
+@query("stream_sessions")
+def stream_sessions(spark, d):
+    out = drain(jobs.sessions(streaming_events(spark, d), "60 minutes"), "sessions")
+    return out.select("user_id", ntz("session_start").alias("session_start"),
+                      ntz("session_end").alias("session_end"), "n")
+
+
+@query("stream_key_count")
+def stream_key_count(spark, d):
+    """AGG-1 streaming: update-mode running count per key; the latest update
+    of each key is its count."""
+    out = drain(jobs.running_key_count(streaming_events(spark, d)), "key_count",
+                output_mode="update")
+    return out.groupBy("user_id").agg(F.max("n").alias("n"))

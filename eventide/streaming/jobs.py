@@ -79,3 +79,30 @@ def one_to_one(tagged: DataFrame, timeout_ms: int | None) -> DataFrame:
     """J7 / J12 streaming over a tagged union (``user_id, side, event_id,
     t_ms, ts``)."""
     return _keyed(tagged, "user_id", PR.OneToOneMatcher(timeout_ms))
+
+
+def word_counts_processing_time(lines: DataFrame, size: str = "10 seconds",
+                                text_col: str = "text") -> DataFrame:
+    """J1 streaming: words per processing-time window (WIN-2).  Ingest time is
+    the micro-batch time; emit in update mode."""
+    from ..functions.text import line_tokens, text_lines
+    words = lines.select(F.explode(text_lines(text_col)).alias("line")) \
+                 .select(F.explode(line_tokens("line")).alias("word"),
+                         F.current_timestamp().alias("pt"))
+    return words.withWatermark("pt", "0 seconds") \
+                .groupBy(F.window("pt", size).alias("w"), "word").count()
+
+
+def sessions(events: DataFrame, gap: str, delay: str = "0 seconds") -> DataFrame:
+    """AGG-13 streaming: per-user session windows, emitted when closed."""
+    return (events.withWatermark("ts", delay)
+                  .groupBy(F.session_window("ts", gap).alias("s"), "user_id")
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .select("user_id", F.col("s.start").alias("session_start"),
+                          F.col("s.end").alias("session_end"), "n"))
+
+
+def running_key_count(events: DataFrame, key: str = "user_id") -> DataFrame:
+    """AGG-1 streaming: running count per key; run in update mode (one row
+    per changed key per micro-batch)."""
+    return events.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
