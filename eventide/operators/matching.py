@@ -27,7 +27,7 @@ def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t
     lag = {"_p_side": side, "_p_t": t_ms, **{f"prev_{c}": c for c in carry}}
     s = keyed_scan(tagged, [key], list(order),
                    running={"_idx": ("count", F.lit(1), True)},
-                   lag=lag, lead={"_n_side": side, "_n_t": t_ms})
+                   lag=lag, lead={"_n_side": side, "_n_t": t_ms}, keep_chunks=True)
     new = F.col("_p_side").isNull() | (F.col("_p_side") == F.col(side))
     nxt_new = F.col("_n_side").isNull() | (F.col("_n_side") == F.col(side))
     if timeout_ms is not None:
@@ -35,7 +35,7 @@ def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t
         nxt_new = nxt_new | (F.col("_n_t") - F.col(t_ms) > F.lit(timeout_ms))
     s = s.withColumn("_start", F.when(new, F.col("_idx"))) \
          .withColumn("_next_new", nxt_new)
-    s = keyed_scan(s, [key], list(order), running={"_island": ("max", "_start", True)})
+    s = keyed_scan(s, [key], list(order), running={"_island": ("max", "_start", True)})  # same chunks
     pos = F.col("_idx") - F.col("_island")
     superseded = F.col("_n_side").isNotNull() & (F.col("_n_side") == F.col(side))
     if timeout_ms is not None:

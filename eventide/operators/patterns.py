@@ -45,10 +45,10 @@ def sessions(df: DataFrame, key: str, gap_ms: int, t_ms: str = "t_ms",
     one; exactly ``gap_ms`` stays), with start, end (= last + gap) and count.
     Gaps and islands on two scans, then a two-phase aggregate: a hot key
     never lands in one task.  (Streaming form: ``session_window``.)"""
-    s = keyed_scan(df, [key], [t_ms, tiebreak], lag={"_prev_t": t_ms})
+    s = keyed_scan(df, [key], [t_ms, tiebreak], lag={"_prev_t": t_ms}, keep_chunks=True)
     s = s.withColumn("_new", (F.col("_prev_t").isNull() |
                               (F.col(t_ms) - F.col("_prev_t") > F.lit(gap_ms))).cast("int"))
-    s = keyed_scan(s, [key], [t_ms, tiebreak], running={"_sid": ("sum", "_new", True)})
+    s = keyed_scan(s, [key], [t_ms, tiebreak], running={"_sid": ("sum", "_new", True)})  # same chunks
     return (s.groupBy(key, "_sid")
              .agg(F.min(t_ms).alias("start_ms"), F.max(t_ms).alias("_last"),
                   F.count(F.lit(1)).alias("n"))

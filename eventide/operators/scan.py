@@ -74,7 +74,7 @@ def release() -> None:
 
 def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
                lag: dict | None = None, lead: dict | None = None,
-               n_chunks: int | None = None) -> DataFrame:
+               n_chunks: int | None = None, keep_chunks: bool = False) -> DataFrame:
     """Add scan columns to ``df``.
 
     running: ``{out: (fn, expr, inclusive)}`` with fn in count/sum/max/min;
@@ -82,6 +82,11 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
              ``count`` counts non-null values of ``expr``.
     lag / lead: ``{out: expr}`` value of the previous / next row of the key
              (null at the key's first / last row).
+    keep_chunks: keep the chunk column in the output.  A later scan over the
+             same keys and order then reuses those chunks: no new sample,
+             range shuffle or cache, and since the output is still hash
+             partitioned by (chunk, key), its window and summary need no
+             exchange either.
     """
     keys = list(keys)
     running = dict(running or {})
@@ -107,7 +112,7 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
         ins[out] = f"_in_{out}"
         base = base.withColumn(ins[out], _as_col(expr))
 
-    c = chunked(base, keys, order_cols, n_chunks)
+    c = base if CHUNK in df.columns else chunked(base, keys, order_cols, n_chunks)
     part = [CHUNK, *keys]
     w = Window.partitionBy(*part).orderBy(*order_cols)
     unb = Window.unboundedPreceding
@@ -176,7 +181,10 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
     for out in lead:
         outs.append(F.when(F.col("_last"), F.col("_c_first").getField(out))
                     .otherwise(F.col(f"_l_{out}")).alias(out))
-    keep = [c_ for c_ in df.columns if c_ not in running and c_ not in lag and c_ not in lead]
+    keep = [c_ for c_ in df.columns
+            if c_ not in running and c_ not in lag and c_ not in lead and c_ != CHUNK]
+    if keep_chunks:
+        keep.append(CHUNK)
     return j.select(*[F.col(k) for k in keep], *outs)
 
 

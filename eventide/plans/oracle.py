@@ -420,17 +420,14 @@ SELECT user_id, make_timestamp((t_ms - t_ms % {P.HOURLY_MS} + {P.HOURLY_MS} - 1)
 FROM ({EV}) WHERE t_ms - t_ms % {P.HOURLY_MS} + {P.HOURLY_MS} - 1 + 1 <= {_MAXMS} GROUP BY ALL"""
 
 ORACLE["stream_long_rides"] = f"""
-WITH ev AS (SELECT o_orderkey AS ride_id, TRUE AS is_start, epoch_us(o_orderdate) // 1000 AS t FROM orders
-            UNION ALL
-            SELECT l_orderkey, FALSE, epoch_us(l_shipdate) // 1000 FROM lineitem),
-g AS (SELECT ride_id, min(CASE WHEN is_start THEN t END) AS s, min(CASE WHEN NOT is_start THEN t END) AS e
-      FROM ev GROUP BY ride_id),
-wm AS (SELECT max(t) - 60000 AS wm FROM ev)
-SELECT ride_id, make_timestamp(s * 1000) AS start_time,
-       CASE WHEN e IS NULL THEN NULL ELSE make_timestamp(e * 1000) END AS end_time
-FROM g, wm
-WHERE s IS NOT NULL AND ((e IS NOT NULL AND e - s > {P.LONG_RIDE_MS})
-                         OR (e IS NULL AND s + {P.LONG_RIDE_MS} + 1 <= wm.wm))"""
+WITH s AS (SELECT o_orderkey AS ride_id, o_orderdate AS start_time, epoch_us(o_orderdate) // 1000 AS st
+           FROM orders),
+e AS (SELECT l_orderkey AS ride_id, epoch_us(l_shipdate) // 1000 AS et FROM lineitem),
+wm AS (SELECT least((SELECT max(st) FROM s), (SELECT max(et) FROM e)) - 60000 AS wm)
+SELECT ride_id, start_time FROM s, wm
+WHERE s.st + {P.LONG_RIDE_MS} < wm.wm
+  AND NOT EXISTS (SELECT 1 FROM e WHERE e.ride_id = s.ride_id
+                  AND e.et >= s.st - {P.END_BEFORE_START_MS} AND e.et <= s.st + {P.LONG_RIDE_MS})"""
 
 _SMAX = (f"(SELECT max(epoch_us(ts) // 1000) FROM events "
          f"WHERE event_type IN ('{P.MATCH_RIDE_TYPE}', '{P.MATCH_FARE_TYPE}'))")

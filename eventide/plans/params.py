@@ -31,6 +31,7 @@ SILENCE_LONG_MS = HOUR
 SESSION_GAP_MS = HOUR             # per-session form of J6
 
 LONG_RIDE_MS = 1000 * DAY         # J11 threshold for day-granular ride data
+END_BEFORE_START_MS = 3650 * DAY  # streaming J11: how early an END may precede its START
 MATCH_TIMEOUT_MS = HOUR           # J7 timeout on the tagged events stream
 MATCH_RIDE_TYPE = "click"
 MATCH_FARE_TYPE = "purchase"

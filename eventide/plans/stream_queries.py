@@ -72,10 +72,9 @@ def stream_long_rides(spark, d):
     ends = streaming_table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("ride_id"), F.lit(False).alias("is_start"),
         F.col("l_shipdate").cast("timestamp").alias("event_time"))
-    out = drain(jobs.long_rides(starts.unionByName(ends), P.LONG_RIDE_MS, LONG_RIDE_DELAY),
-                "long_rides")
-    return out.select("ride_id", ntz_from_ms("start_ms").alias("start_time"),
-                      ntz_from_ms("end_ms").alias("end_time"))
+    out = drain(jobs.long_rides_join(starts, ends, P.LONG_RIDE_MS, P.END_BEFORE_START_MS,
+                                     LONG_RIDE_DELAY), "long_rides")
+    return out.select("ride_id", ntz("start_time").alias("start_time"))
 
 
 def _matches(spark, d):

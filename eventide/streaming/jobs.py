@@ -64,15 +64,43 @@ def silence(events: DataFrame, gap_ms: int) -> DataFrame:
     return _keyed(events, "user_id", PR.SilenceCounter("user_id", gap_ms))
 
 
+def _grouped(df: DataFrame, key: str, fn, delay: str = "0 seconds", ts: str = "ts"):
+    return df.withWatermark(ts, delay).groupBy(key).applyInPandasWithState(
+        fn, fn.OUTPUT, fn.STATE, "append", "EventTimeTimeout")
+
+
 def pseudo_window(events: DataFrame, size_ms: int) -> DataFrame:
-    return _keyed(events, "user_id", PR.PseudoWindow(size_ms))
+    return _grouped(events.select("user_id", "ts", "t_ms", "value"), "user_id",
+                    PR.pseudo_window(size_ms))
+
+
+def long_rides_join(starts: DataFrame, ends: DataFrame, max_ms: int,
+                    end_before_start_ms: int, delay: str = "60 seconds") -> DataFrame:
+    """J11 streaming as a stream-stream left outer interval join (JVM-side,
+    state in the join's store): a START with no END in
+    ``[start - end_before_start_ms, start + max_ms]`` comes out with a null END
+    once the watermark passes ``start + max_ms`` - exactly the rides that last
+    too long or never end.  ``end_before_start_ms`` bounds how early an END may
+    precede its START (clock skew); it also bounds how long unmatched ENDs are
+    kept.  Inputs: ``ride_id, event_time``."""
+    s = starts.select(F.col("ride_id").alias("s_id"), F.col("event_time").alias("s_time")) \
+              .withWatermark("s_time", delay)
+    e = ends.select(F.col("ride_id").alias("e_id"), F.col("event_time").alias("e_time")) \
+            .withWatermark("e_time", delay)
+    # interval literals, so the planner sees the range and bounds both states
+    cond = F.expr(f"s_id = e_id AND e_time >= s_time - INTERVAL {end_before_start_ms} MILLISECONDS "
+                  f"AND e_time <= s_time + INTERVAL {max_ms} MILLISECONDS")
+    return s.join(e, cond, "leftOuter").filter(F.col("e_id").isNull()) \
+            .select(F.col("s_id").alias("ride_id"), F.col("s_time").alias("start_time"))
 
 
 def long_rides(rides: DataFrame, max_ms: int, delay: str = "60 seconds") -> DataFrame:
     """J11 streaming over START/END ride events (``ride_id, is_start,
-    event_time``)."""
+    event_time``) with the exact keyed state machine (first END closes the
+    ride).  Costs one Python call per ride and micro-batch; with one key per
+    ride prefer :func:`long_rides_join`."""
     r = rides.withColumn("t_ms", F.unix_millis("event_time"))
-    return _keyed(r, "ride_id", PR.LongRideAlert(max_ms), delay, ts="event_time")
+    return _grouped(r, "ride_id", PR.long_ride_alert(max_ms), delay, ts="event_time")
 
 
 def one_to_one(tagged: DataFrame, timeout_ms: int | None) -> DataFrame:

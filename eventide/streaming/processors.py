@@ -121,31 +121,30 @@ class SilenceCounter(StatefulProcessor):
         pass
 
 
-class LongRideAlert(StatefulProcessor):
-    """LNG-1: a ride id whose END is more than ``max_ms`` after its START
-    (either arrival order), or whose START sees no END before the watermark
-    reaches ``start + max_ms``."""
-
-    OUTPUT = "ride_id long, start_ms long, end_ms long"
-
-    def __init__(self, max_ms):
-        self.max = max_ms
-
-    def init(self, handle):
-        self.handle = handle
-        self.state = handle.getValueState("ride", "start long, end long, alerted boolean")
-
-    def _timer(self, st):
-        start, end, alerted = st
-        return start + self.max + 1 if start is not None and end is None and not alerted else None
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _rows(rows)
+def long_ride_alert(max_ms: int):
+    """LNG-1 as an ``applyInPandasWithState`` function: a ride id whose END is
+    more than ``max_ms`` after its START (either arrival order), or whose
+    START sees no END before the watermark passes ``start + max_ms``.
+
+    One timeout per ride is all the reference needs, and with very many keys
+    (one per ride) the grouped-state API is the cheaper one: state travels
+    with the Arrow batch instead of one state-server call per access.  The
+    grouped-state timeout fires when the watermark *exceeds* the timestamp,
+    i.e. at ``deadline + 1``, like the processors' timers."""
+    def fn(key, pdfs, state):
+        ride = int(key[0])
+        if state.hasTimedOut:
+            start, end, alerted = state.get
+            if start is not None and end is None and not alerted:
+                state.update((start, None, True))     # remember: a late END must not alert
+                yield pd.DataFrame({"ride_id": [ride], "start_ms": [int(start)],
+                                    "end_ms": pd.array([None], dtype="Int64")})
+            return
+        pdf = _rows(pdfs)
         if pdf.empty:
             return
         pdf = pdf.sort_values(["t_ms", "is_start"], ascending=[True, False], kind="stable")
-        old = self.state.get() if self.state.exists() else (None, None, False)
-        start, end, alerted = old
+        start, end, alerted = state.get if state.exists else (None, None, False)
         out = []
         for t, is_start in zip(pdf["t_ms"].tolist(), pdf["is_start"].tolist()):
             if is_start:
@@ -153,77 +152,66 @@ class LongRideAlert(StatefulProcessor):
             elif end is None:              # the first END closes the ride
                 end = int(t)
             if start is not None and end is not None:
-                if not alerted and end - start > self.max:
-                    out.append((int(key[0]), start, end))
+                if not alerted and end - start > max_ms:
+                    out.append((ride, start, end))
                 start, end, alerted = None, None, False
-        new = (start, end, alerted)
-        if self._timer(old) != self._timer(new):
-            if self._timer(old) is not None:
-                self.handle.deleteTimer(self._timer(old))
-            if self._timer(new) is not None:
-                self.handle.registerTimer(self._timer(new))
         if start is None and end is None:
-            self.state.clear()
+            if state.exists:
+                state.remove()
         else:
-            self.state.update(new)
-        if out:
-            yield pd.DataFrame(out, columns=["ride_id", "start_ms", "end_ms"])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.state.exists():
-            start, end, alerted = self.state.get()
             if start is not None and end is None and not alerted:
-                self.state.update((start, None, True))
-                yield pd.DataFrame({"ride_id": [int(key[0])], "start_ms": [int(start)],
-                                    "end_ms": pd.array([None], dtype="Int64")})
-
-    def close(self):
-        pass
-
-
-class PseudoWindow(StatefulProcessor):
-    """AGG-11: hand-built tumbling window per key in map state keyed by the
-    window's last millisecond, summed in exact cents; rows at or below the
-    current watermark are dropped (LATE-3)."""
-
-    OUTPUT = "user_id long, window_end_ms long, tips double"
-
-    def __init__(self, size_ms, value="value"):
-        self.size, self.value = size_ms, value
-
-    def init(self, handle):
-        self.handle = handle
-        self.sums = handle.getMapState("sums", "end long", "cents long")
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _rows(rows)
-        if pdf.empty:
-            return iter([])
-        wm = timerValues.getCurrentWatermarkInMs()
-        pdf = pdf[pdf["t_ms"] > wm - 1]    # reference: late iff t <= wm_ref = wm - 1
-        if pdf.empty:
-            return iter([])
-        ends = pdf["t_ms"] - pdf["t_ms"] % self.size + self.size - 1
-        g = _cents(pdf[self.value]).groupby(ends).sum()
-        for end, cents in g.items():
-            k = (int(end),)
-            cur = self.sums.getValue(k)[0] if self.sums.containsKey(k) else 0
-            if not self.sums.containsKey(k):
-                self.handle.registerTimer(int(end) + 1)
-            self.sums.updateValue(k, (int(cur + cents),))
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        end = expiredTimerInfo.getExpiryTimeInMs() - 1
-        k = (int(end),)
-        if self.sums.containsKey(k):
-            cents = self.sums.getValue(k)[0]
-            self.sums.removeKey(k)
-            yield pd.DataFrame({"user_id": [int(key[0])], "window_end_ms": [int(end)],
-                                "tips": [cents / 100.0]})
-
-    def close(self):
-        pass
+                if start + max_ms < state.getCurrentWatermarkMs():
+                    out.append((ride, start, None))       # deadline already passed
+                    alerted = True
+                else:
+                    state.setTimeoutTimestamp(start + max_ms)
+            state.update((start, end, alerted))
+        if out:
+            yield pd.DataFrame({"ride_id": [o[0] for o in out], "start_ms": [o[1] for o in out],
+                                "end_ms": pd.array([o[2] for o in out], dtype="Int64")})
+
+    fn.OUTPUT = "ride_id long, start_ms long, end_ms long"
+    fn.STATE = "start long, end long, alerted boolean"
+    return fn
+
+
+def pseudo_window(size_ms: int, value: str = "value"):
+    """AGG-11 as an ``applyInPandasWithState`` function: a hand-built tumbling
+    window per key, sums kept in exact cents for every open window end (the
+    window's last millisecond), rows at or below the watermark dropped
+    (LATE-3).  One timeout per key at the earliest open window; when it fires
+    every window the watermark has passed is emitted and the next one armed."""
+    def fn(key, pdfs, state):
+        user = int(key[0])
+        ends, cents = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
+        wm = state.getCurrentWatermarkMs()
+        if state.hasTimedOut:
+            done = [i for i, e in enumerate(ends) if e + 1 <= wm]
+            if done:
+                yield pd.DataFrame({"user_id": [user] * len(done),
+                                    "window_end_ms": [int(ends[i]) for i in done],
+                                    "tips": [cents[i] / 100.0 for i in done]})
+            ends = [e for i, e in enumerate(ends) if i not in set(done)]
+            cents = [c for i, c in enumerate(cents) if i not in set(done)]
+        else:
+            pdf = _rows(pdfs)
+            if not pdf.empty:
+                pdf = pdf[pdf["t_ms"] > wm - 1]     # reference: late iff t <= wm - 1
+                w_end = pdf["t_ms"] - pdf["t_ms"] % size_ms + size_ms - 1
+                acc = dict(zip(ends, cents))
+                for e, c in _cents(pdf[value]).groupby(w_end).sum().items():
+                    acc[int(e)] = acc.get(int(e), 0) + int(c)
+                ends = sorted(acc)
+                cents = [acc[e] for e in ends]
+        if ends:
+            state.update((ends, cents))
+            state.setTimeoutTimestamp(max(min(ends), wm + 1))
+        elif state.exists:
+            state.remove()
+
+    fn.OUTPUT = "user_id long, window_end_ms long, tips double"
+    fn.STATE = "ends array<long>, cents array<long>"
+    return fn
 
 
 class OneToOneMatcher(StatefulProcessor):
