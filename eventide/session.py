@@ -46,8 +46,12 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the library depends on to an existing
     session (session time zone is required for exact NTZ round trips)."""
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
-              "spark.sql.adaptive.skewJoin.enabled"):
-        spark.conf.set(k, BASE_CONF[k])
+              "spark.sql.adaptive.skewJoin.enabled",
+              "spark.sql.streaming.stateStore.providerClass"):
+        try:
+            spark.conf.set(k, BASE_CONF[k])
+        except Exception:  # noqa: BLE001 - a cluster may pin these
+            pass
     return spark
 
 
