@@ -51,13 +51,17 @@ def window_min_updates(events: DataFrame, size: str, delay: str) -> DataFrame:
                                      tiebreak=("ts", "event_id"), fields=("event_id", "ts"))
 
 
-def _keyed(df: DataFrame, key: str, proc, delay: str = "0 seconds", ts: str = "ts"):
-    return df.withWatermark(ts, delay).groupBy(key).transformWithStateInPandas(
-        proc, proc.OUTPUT, "append", "EventTime")
+def _keyed(df: DataFrame, key: str, proc, delay: str = "0 seconds", ts: str = "ts",
+           time_mode: str = "EventTime"):
+    if time_mode == "EventTime":
+        df = df.withWatermark(ts, delay)
+    return df.groupBy(key).transformWithStateInPandas(proc, proc.OUTPUT, "append", time_mode)
 
 
-def fraud(events: DataFrame, small: float, large: float, within_ms: int) -> DataFrame:
-    return _keyed(events, "user_id", PR.SmallThenLarge("user_id", "value", small, large, within_ms))
+def fraud(events: DataFrame, small: float, large: float, within_ms: int,
+          time_mode: str = "EventTime") -> DataFrame:
+    proc = PR.SmallThenLarge("user_id", "value", small, large, within_ms, time_mode)
+    return _keyed(events, "user_id", proc, time_mode=time_mode)
 
 
 def silence(events: DataFrame, gap_ms: int) -> DataFrame:

@@ -30,16 +30,28 @@ def _cents(values: pd.Series) -> pd.Series:
 
 class SmallThenLarge(StatefulProcessor):
     """FRD-1: alert on an amount above ``large`` right after one below
-    ``small`` within ``within_ms`` (flag state + clearing timer)."""
+    ``small`` within ``within_ms`` (flag state + clearing timer).
+
+    ``time_mode="EventTime"`` (default, reproducible) measures the window on
+    event time; ``"ProcessingTime"`` is the reference's original form
+    (TMR-3): the flag is cleared by a wall-clock timer ``within_ms`` after the
+    micro-batch that set it, and rows carry no per-row deadline."""
 
     OUTPUT = "account_id long, event_id long, t_ms long, amount double"
 
-    def __init__(self, key="user_id", amount="value", small=1.0, large=500.0, within_ms=60_000):
+    def __init__(self, key="user_id", amount="value", small=1.0, large=500.0, within_ms=60_000,
+                 time_mode="EventTime"):
         self.key, self.amount, self.small, self.large, self.within = key, amount, small, large, within_ms
+        self.processing = time_mode.lower() == "processingtime"
 
     def init(self, handle):
         self.handle = handle
-        self.flag = handle.getValueState("flag", "t long")
+        self.flag = handle.getValueState("flag", "t long, timer long")
+
+    def _arm(self, t_ms: int, timerValues) -> int:
+        if self.processing:
+            return timerValues.getCurrentProcessingTimeInMs() + self.within
+        return t_ms + self.within + 1
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _rows(rows)
@@ -49,16 +61,19 @@ class SmallThenLarge(StatefulProcessor):
         prev_amt = pdf[self.amount].shift(1)
         prev_t = pdf["t_ms"].shift(1)
         if self.flag.exists():
+            t_flag, timer = self.flag.get()
             prev_amt.iloc[0] = self.small - 1.0        # flagged: the previous one was small
-            prev_t.iloc[0] = self.flag.get()[0]
-            self.handle.deleteTimer(int(self.flag.get()[0]) + self.within + 1)
+            prev_t.iloc[0] = t_flag
+            self.handle.deleteTimer(int(timer))
             self.flag.clear()
-        hit = (prev_amt < self.small) & (pdf[self.amount] > self.large) & \
-              (pdf["t_ms"] - prev_t <= self.within)
+        hit = (prev_amt < self.small) & (pdf[self.amount] > self.large)
+        if not self.processing:
+            hit = hit & (pdf["t_ms"] - prev_t <= self.within)
         last = pdf.iloc[-1]
         if last[self.amount] < self.small:
-            self.flag.update((int(last["t_ms"]),))
-            self.handle.registerTimer(int(last["t_ms"]) + self.within + 1)
+            timer = self._arm(int(last["t_ms"]), timerValues)
+            self.flag.update((int(last["t_ms"]), int(timer)))
+            self.handle.registerTimer(int(timer))
         out = pdf[hit]
         if len(out):
             yield pd.DataFrame({"account_id": out[self.key].astype("int64"),
