@@ -49,3 +49,22 @@ def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t
              .withColumn("matched", pos % 2 == 1)
              .withColumn("unmatched_reason", reason)
              .drop("_p_side", "_p_t", "_n_side", "_n_t", "_idx", "_start", "_next_new", "_island"))
+
+
+def connect(a: DataFrame, b: DataFrame, side_a: str = "ride", side_b: str = "fare",
+            side: str = "side") -> DataFrame:
+    """JN-5: two heterogeneous keyed inputs as one tagged stream sharing
+    per-key state (``unionByName`` with missing columns as nulls).  For two
+    *streams* with their own watermarks Spark takes the minimum by default;
+    ``spark.sql.streaming.multipleWatermarkPolicy=max`` lets the faster input
+    advance it (WM-3; Spark has no wall-clock idleness)."""
+    return a.withColumn(side, F.lit(side_a)).unionByName(
+        b.withColumn(side, F.lit(side_b)), allowMissingColumns=True)
+
+
+def as_pair(matched: DataFrame, left_cols, right_cols, left: str = "ride",
+            right: str = "fare") -> DataFrame:
+    """PRJ-5: matched rows as the nested pair ``struct(ride, fare)`` of the
+    reference's RideAndFare / RideFare records."""
+    return matched.select(F.struct(F.struct(*left_cols).alias(left),
+                                   F.struct(*right_cols).alias(right)).alias("pair"))
