@@ -105,12 +105,13 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
             base = base.withColumn(name, o)
         order_cols.append(name)
     ins = {}
-    for out, (fn, expr, _) in running.items():
-        ins[out] = f"_in_{out}"
-        base = base.withColumn(ins[out], _as_col(expr))
-    for out, expr in {**lag, **lead}.items():
-        ins[out] = f"_in_{out}"
-        base = base.withColumn(ins[out], _as_col(expr))
+    inputs = {**{o: e for o, (_, e, _) in running.items()}, **lag, **lead}
+    for out, expr in inputs.items():
+        if isinstance(expr, str) and expr in df.columns:
+            ins[out] = expr                       # plain column: no copy in the cache
+        else:
+            ins[out] = f"_in_{out}"
+            base = base.withColumn(ins[out], _as_col(expr))
 
     c = base if CHUNK in df.columns else chunked(base, keys, order_cols, n_chunks)
     part = [CHUNK, *keys]

@@ -118,7 +118,9 @@ def window_min_changelog(df: DataFrame, key: str, value: str, size_ms: int, dela
                         F.coalesce("fire_wm", F.lit(END_OF_INPUT_WM)).alias("watermark_ms"),
                         F.when(F.col("fire_wm").isNull(), "final").otherwise("on_time")
                          .alias("kind")))
-    acc = s.filter(F.col("status") != "too_late")
+    need = dict.fromkeys([key, "win_start_ms", "win_end_ms", *order, value, *fields,
+                          "status", "wm_before"])
+    acc = s.filter(F.col("status") != "too_late").select(*need)   # narrow before the scan's cache
     late = (keyed_scan(acc, [key, "win_start_ms"], list(order),
                        running={"_rec": ("min", rec, True)}, n_chunks=n_chunks)
             .filter(F.col("status") == "late")

@@ -52,7 +52,7 @@ def hourly_best_user(spark, d):
 def hourly_tips_inclusive_end(spark, d):
     """J9: hand-built hourly window keyed by its last millisecond; rows at or
     below the monotonous watermark (replay order) are dropped."""
-    e = watermark.with_arrival(events(spark, d))
+    e = watermark.with_arrival(events(spark, d).select("event_id", "user_id", "t_ms", "value"))
     kept = watermark.drop_late_rows(e, delay_ms=0)
     g = kept.groupBy("user_id", inclusive_window_end_ms("t_ms", P.HOURLY_MS).alias("_end")) \
             .agg(windows.money_sum("value").alias("tips"))
@@ -63,7 +63,7 @@ def hourly_tips_inclusive_end(spark, d):
 def rolling_hour_best(spark, d):
     """AGG-10: rolling arg-max per hour, one output per hourly sum (sums of an
     hour arrive in user order)."""
-    h = hourly_sums(spark, d)
+    h = hourly_sums(spark, d).select("window_end", "user_id", "tips")
     best = F.struct(F.col("tips").alias("v"), (-F.col("user_id")).alias("nk"),
                     F.col("user_id").alias("k"))
     s = keyed_scan(h, ["window_end"], ["user_id"], running={"_best": ("max", best, True)})
@@ -92,7 +92,7 @@ def window_min_with_bounds(spark, d):
 
 
 def _late_scan(spark, d):
-    e = watermark.with_arrival(events(spark, d))
+    e = watermark.with_arrival(events(spark, d).select("event_id", "user_id", "ts", "t_ms", "value"))
     s = watermark.with_watermark_before(e, P.LATE_DELAY_MS, with_after=True)
     return watermark.classify_lateness(s, P.LATE_SIZE_MS, P.LATE_LATENESS_MS)
 
@@ -112,7 +112,7 @@ def window_min_late_changelog(spark, d):
     firing when the watermark passes the window, one re-firing per
     late-but-allowed row, or the end-of-input firing - with the watermark at
     emission time."""
-    e = watermark.with_arrival(events(spark, d))
+    e = watermark.with_arrival(events(spark, d).select("event_id", "user_id", "ts", "t_ms", "value"))
     log, _ = watermark.window_min_changelog(e, "user_id", "value", P.LATE_SIZE_MS,
                                             P.LATE_DELAY_MS, P.LATE_LATENESS_MS)
     return log.select("user_id", ntz_from_ms("win_start_ms").alias("window_start"),
