@@ -26,13 +26,15 @@ def top_n(means: DataFrame, n: int, value: str, key: str,
     """
     w = Window.partitionBy(*window_cols).orderBy(F.col(value).desc(), F.col(key))
     k = n + 1 if exclude_last else n
+    # BIGINT like SQL's row_number; the filter stays on the window value so the
+    # planner still inserts the partial WindowGroupLimit
     ranked = means.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
     if exclude_last:
         m = F.count(F.lit(1)).over(Window.partitionBy(*window_cols))
         ranked = ranked.withColumn("_m", m) \
                        .filter(F.col(rank_col) <= F.least(F.lit(n), F.col("_m") - 1)) \
                        .drop("_m")
-    return ranked
+    return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
 def fixed4(sum_cents, n):

@@ -153,7 +153,8 @@ cols AS (SELECT sl.*, gx.x,
 cols2 AS (SELECT *, CASE WHEN x = ex THEN ey
           ELSE greatest(a, CAST(floor((x - sx + 0.5) * s + sy - 0.5 - 0.05) AS INTEGER) + 1) END AS b
    FROM cols),
-cells AS (SELECT x + {G.NUMBER_OF_GRID_X} * (CASE WHEN falling THEN 2 * sy - gy.y ELSE gy.y END) AS cell_id
+cells AS (SELECT CAST(x + {G.NUMBER_OF_GRID_X} * (CASE WHEN falling THEN 2 * sy - gy.y ELSE gy.y END)
+                       AS INTEGER) AS cell_id
    FROM cols2, generate_series(a, b) AS gy(y))"""
 
 

@@ -40,7 +40,8 @@ def top_n_batch(n: int):
     def rank(batch_df: DataFrame, batch_id: int) -> DataFrame:
         w = Window.partitionBy("window_start", "window_end") \
                   .orderBy(F.col("avg_value").desc(), F.col("user_id"))
-        return batch_df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+        return batch_df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n) \
+                       .withColumn("rank", F.col("rank").cast("bigint"))
     return rank
 
 
