@@ -13,9 +13,10 @@ a third of the data.
    bounds come from a sample, so a hot key is spread over several chunks,
    each chunk holding a contiguous slice of the key's sequence;
 2. run the window functions inside ``(chunk, key)`` - bounded work per task;
-3. summarise each ``(chunk, key)`` (count, sum, min, max, first and last row)
-   with a partial aggregate and carry the summaries of earlier / later chunks
-   of the same key along with a small window over the summary rows;
+   this output is persisted once, so everything below sees one cut;
+3. summarise each ``(chunk, key)`` (totals, first and last row) from its first
+   and last rows only, and carry the summaries of earlier / later chunks of
+   the same key along with a small window over the summary rows;
 4. only ``(chunk, key)`` pairs that share their key with another chunk need a
    carry.  A chunk boundary splits at most one key, so the carry table has at
    most ``2 * n`` rows: a proven bound, so it is broadcast;
@@ -53,14 +54,16 @@ def chunked(df: DataFrame, keys, order, n: int | None = None) -> DataFrame:
     it (it only coalesces shuffles whose count it chose itself).
 
     Range bounds come from a sample taken when the exchange runs, so two
-    separate executions of the same plan may cut differently.  The local scan
-    and the chunk summaries must see the same cut, hence the tagged rows are
-    persisted once and both read that.  A lost cached block is rebuilt from the
-    same shuffle (same partitioner), so the cut survives executor loss."""
+    separate executions of the same plan may cut differently: whatever is
+    derived from the tags must be computed once and shared (see
+    :func:`keyed_scan`)."""
     cols = [*[F.col(k) for k in keys], *[_as_col(o) for o in order]]
-    out = df.repartitionByRange(n_chunks_for(df, n), *cols) \
-            .withColumn(CHUNK, F.spark_partition_id()) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+    return df.repartitionByRange(n_chunks_for(df, n), *cols) \
+             .withColumn(CHUNK, F.spark_partition_id())
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
     _PERSISTED.append(out)
     return out
 
@@ -118,33 +121,38 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
     w = Window.partitionBy(*part).orderBy(*order_cols)
     unb = Window.unboundedPreceding
 
-    # -- 2. local scan inside (chunk, key)
-    local = c
+    # -- 2. local scan inside (chunk, key); first / last row flags
+    local = c.withColumn("_first", F.lag(F.lit(1)).over(w).isNull()) \
+             .withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    total = {}
     for out, (fn, _, inclusive) in running.items():
         frame = w.rowsBetween(unb, 0 if inclusive else -1)
         local = local.withColumn(f"_l_{out}", getattr(F, fn)(F.col(ins[out])).over(frame))
+        total[out] = f"_l_{out}"
+        if not inclusive:                      # the chunk total, read at the last row
+            total[out] = f"_t_{out}"
+            local = local.withColumn(total[out], getattr(F, fn)(F.col(ins[out]))
+                                     .over(w.rowsBetween(unb, 0)))
+    for out in lag:
+        local = local.withColumn(f"_l_{out}", F.lag(ins[out]).over(w))
+    for out in lead:
+        local = local.withColumn(f"_l_{out}", F.lead(ins[out]).over(w))
+    # The window output is computed once and shared by the summary and the
+    # result: both see the same cut.  A lost block is rebuilt from the same
+    # shuffles (same range partitioner), so the cut also survives executor loss.
+    local = _persist(local)
+
+    # -- 3. per (chunk, key) summary from its first and last rows only
+    last, first = F.col("_last"), F.col("_first")
+    aggs = [F.max(F.when(last, F.col(total[out]))).alias(f"_s_{out}") for out in running]
     if lag:
-        local = local.withColumn("_first", F.lag(F.lit(1)).over(w).isNull())
-        for out in lag:
-            local = local.withColumn(f"_l_{out}", F.lag(ins[out]).over(w))
-    if lead:
-        local = local.withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
-        for out in lead:
-            local = local.withColumn(f"_l_{out}", F.lead(ins[out]).over(w))
-
-    # -- 3. per (chunk, key) summaries; partial aggregation, tiny output
-    aggs = []
-    for out, (fn, _, _) in running.items():
-        aggs.append(getattr(F, fn)(F.col(ins[out])).alias(f"_s_{out}"))
-    ostruct = [F.col(o).alias(f"o{i}") for i, o in enumerate(order_cols)]
-    if lag:
-        aggs.append(F.max(F.struct(*ostruct, *[F.col(ins[o]).alias(o) for o in lag]))
+        aggs.append(F.max(F.when(last, F.struct(*[F.col(ins[o]).alias(o) for o in lag])))
                     .alias("_s_last"))
     if lead:
-        aggs.append(F.min(F.struct(*ostruct, *[F.col(ins[o]).alias(o) for o in lead]))
+        aggs.append(F.max(F.when(first, F.struct(*[F.col(ins[o]).alias(o) for o in lead])))
                     .alias("_s_first"))
     aggs.append(F.lit(1).alias("_one"))
-    summary = c.groupBy(*part).agg(*aggs)
+    summary = local.filter(first | last).groupBy(*part).agg(*aggs)
 
     bw = Window.partitionBy(*keys).orderBy(CHUNK) if keys else Window.orderBy(CHUNK)
     before = bw.rowsBetween(unb, -1)
