@@ -77,7 +77,19 @@ def stream_long_rides(spark, d):
     return out.select("ride_id", ntz("start_time").alias("start_time"))
 
 
+_MATCH_RUNS: dict = {}
+
+
 def _matches(spark, d):
+    """One streaming run feeds both outputs of J7 (matches and the unmatched
+    side output, SIDE-1): the drained result is shared per session and input."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _MATCH_RUNS:
+        _MATCH_RUNS[key] = _run_matches(spark, d)
+    return _MATCH_RUNS[key]
+
+
+def _run_matches(spark, d):
     e = streaming_events(spark, d).filter(
         F.col("event_type").isin(P.MATCH_RIDE_TYPE, P.MATCH_FARE_TYPE))
     e = e.select("user_id", "event_id", "ts", "t_ms",
