@@ -55,12 +55,12 @@ def split_quarantine(parsed: DataFrame):
 
 
 def failfast(parsed: DataFrame) -> DataFrame:
-    """Raise at run time on the first malformed line."""
-    return parsed.withColumn(
-        "_corrupt_record",
-        F.when(F.col("_corrupt_record").isNotNull(),
-               F.raise_error(F.concat(F.lit("malformed line: "), F.col("_corrupt_record")))))\
-        .drop("_corrupt_record")
+    """Raise at run time on the first malformed line.  The check sits in a
+    filter predicate (evaluated for every row); a projected column that is
+    dropped afterwards would be pruned and never raise."""
+    bad = F.col("_corrupt_record")
+    check = F.when(bad.isNotNull(), F.raise_error(F.concat(F.lit("malformed line: "), bad)))
+    return parsed.filter(check.isNull()).drop("_corrupt_record")
 
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False,
