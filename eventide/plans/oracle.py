@@ -462,3 +462,11 @@ b AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UN
 s AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL {P.SESSION_GAP_MS // 60000} MINUTE AS session_end,
              count(*) AS n FROM b GROUP BY user_id, sid)
 SELECT * FROM s WHERE epoch_us(session_end) <= {_MAXMS} * 1000"""
+
+ORACLE["stream_rolling_best"] = f"""
+WITH h AS ({HOURLY}),
+c AS (SELECT * FROM h WHERE epoch_us(window_end) // 1000 <= {_MAXMS}),
+r AS (SELECT *, max(tips) OVER (PARTITION BY window_end ORDER BY user_id ROWS UNBOUNDED PRECEDING) AS mt
+      FROM c)
+SELECT window_end, user_id AS upto_user_id,
+       min(user_id) OVER (PARTITION BY window_end, mt) AS user_id, mt AS tips FROM r"""

@@ -141,3 +141,11 @@ def stream_key_count(spark, d):
     out = drain(jobs.running_key_count(streaming_events(spark, d)), "key_count",
                 output_mode="update")
     return out.groupBy("user_id").agg(F.max("n").alias("n"))
+
+
+@query("stream_rolling_best")
+def stream_rolling_best(spark, d):
+    """AGG-10 streaming: rolling best user per closed hour."""
+    out = drain(jobs.hourly_sums(streaming_events(spark, d), P.HOURLY), "rolling_best",
+                batch_fn=jobs.rolling_best_batch)
+    return out.select(ntz("window_end").alias("window_end"), "upto_user_id", "user_id", "tips")

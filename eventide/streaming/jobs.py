@@ -139,3 +139,26 @@ def running_key_count(events: DataFrame, key: str = "user_id") -> DataFrame:
     """AGG-1 streaming: running count per key; run in update mode (one row
     per changed key per micro-batch)."""
     return events.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def hourly_sums(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
+    """Per-user window sums, emitted once per closed window (append mode)."""
+    return (events.withWatermark("ts", delay)
+                  .groupBy(F.window("ts", size).alias("w"), "user_id")
+                  .agg(windows.money_sum("value").alias("tips"))
+                  .select(F.col("w.end").alias("window_end"), "user_id", "tips"))
+
+
+def rolling_best_batch(batch_df: DataFrame, batch_id: int) -> DataFrame:
+    """AGG-10 as a ``foreachBatch`` step: every sum of a closed window arrives
+    in the same micro-batch, so the rolling arg-max (sums in user order) is a
+    running ``max(struct)`` per window inside the batch; a window holds at most
+    one row per user."""
+    w = Window.partitionBy("window_end").orderBy("user_id") \
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    best = F.max(F.struct(F.col("tips").alias("v"), (-F.col("user_id")).alias("nk"),
+                          F.col("user_id").alias("k"))).over(w)
+    return batch_df.select("window_end", F.col("user_id").alias("upto_user_id"),
+                           best.alias("b")) \
+                   .select("window_end", "upto_user_id", F.col("b.k").alias("user_id"),
+                           F.col("b.v").alias("tips"))
