@@ -1,6 +1,6 @@
 """Record schemas of the reference's stream types, as Spark DDL strings."""
 
-# sensor line "id,seconds,temperature"; the window-training variant uses ms
+# sensor line "id,seconds,temperature"; one job variant stamps readings in ms
 SENSOR = "id STRING, timestamp BIGINT, temperature DOUBLE"
 # request line "user,operation,seconds"
 REQUEST = "user_id STRING, operation_type STRING, timestamp BIGINT"
