@@ -87,3 +87,30 @@ def test_fraud_rule_matches_state_machine(spark):
     got = {(r["k"], r["event_id"]) for r in patterns.small_then_large(df, "k", "amount").collect()}
     release()
     assert got == want
+
+
+def test_sessions_and_silence_match_plain_models(spark):
+    rnd = random.Random(5)
+    gap = 60_000
+    rows, want_sessions, want_silence = [], set(), set()
+    for key in range(250):
+        t, ts = 0, []
+        for _ in range(rnd.randint(1, 15)):
+            t += rnd.choice([1, 30, 59, 60, 61, 120, 600]) * 1000
+            ts.append(t)
+        start, count = ts[0], 0
+        for i, x in enumerate(ts):
+            count += 1
+            nxt = ts[i + 1] if i + 1 < len(ts) else None
+            if nxt is None or nxt - x > gap:           # silence emits, session closes
+                want_silence.add((key, i + 1, x))
+                want_sessions.add((key, start, x + gap, count))
+                if nxt is not None:
+                    start, count = nxt, 0
+        rows += [(key, key * 100 + i, x) for i, x in enumerate(ts)]
+    df = spark.createDataFrame(rows, "k long, event_id long, t_ms long")
+    got_sessions = {tuple(r) for r in patterns.sessions(df, "k", gap).collect()}
+    got_silence = {tuple(r) for r in patterns.silence_counts(df, "k", gap).collect()}
+    release()
+    assert got_sessions == want_sessions
+    assert got_silence == want_silence
