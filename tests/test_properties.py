@@ -114,3 +114,29 @@ def test_sessions_and_silence_match_plain_models(spark):
     release()
     assert got_sessions == want_sessions
     assert got_silence == want_silence
+
+
+def test_pairing_rule_hot_key_across_chunks(spark):
+    """One key holding most rows, cut into many chunks: the carry decides the
+    island of every chunk's first rows."""
+    rnd = random.Random(3)
+    rows, want_pairs, want_drop = [], set(), set()
+    for key, n in ((0, 3000), (1, 40), (2, 5)):
+        t, seq = 0, []
+        for _ in range(n):
+            t += rnd.choice([1, 2, 5, 10, 11, 20])
+            seq.append((rnd.choice("RF"), t))
+        pairs, dropped = _pending_machine(seq, 10)
+        want_pairs |= {(key, a, b) for a, b in pairs}
+        want_drop |= {(key, a, r) for a, r in dropped}
+        rows += [(key, i, s, tt) for i, (s, tt) in enumerate(seq)]
+    df = spark.createDataFrame(rows, "k long, event_id long, side string, t_ms long")
+    for chunks in (5, 16):
+        p = matching.pair_sequences(df, "k", "side", ["t_ms", "event_id"], timeout_ms=10,
+                                    carry=("event_id",), n_chunks=chunks).collect()
+        got_pairs = {(r["k"], r["prev_event_id"], r["event_id"]) for r in p if r["matched"]}
+        got_drop = {(r["k"], r["event_id"], r["unmatched_reason"]) for r in p
+                    if r["unmatched_reason"]}
+        release()
+        assert got_pairs == want_pairs
+        assert got_drop == want_drop
