@@ -68,3 +68,25 @@ def test_match_timeout_across_batches(spark):
     unmatched = sorted((r["event_id"], r["reason"]) for r in out if r["kind"] == "unmatched")
     assert matches == [(0, 1)]
     assert unmatched == [(2, "timeout"), (3, "timeout")]
+
+
+def test_f7_long_rides_streaming_forms(spark):
+    """F7 through both streaming forms: the exact keyed state machine and the
+    left-outer interval join (a far later ride moves the watermark)."""
+    H = 3_600_000
+    t0 = 1_600_000_000_000
+    rides = [(1, True, 0), (1, False, 2 * H),            # exactly 2 h: no alert
+             (2, True, 0), (2, False, 2 * H + 1),        # 2 h + 1 ms: alert
+             (3, True, 0),                               # never ends: alert at the watermark
+             (4, False, 5 * H),                          # END alone: nothing
+             (5, False, 3 * H), (5, True, 0),            # END first, 3 h: alert
+             (9, True, 10 * H)]                          # moves the watermark, still open
+    s = _files(spark, "rides-src", [[(r, st, t0 + t) for r, st, t in rides]],
+               "ride_id long, is_start boolean, t_ms long")
+    s = s.withColumn("event_time", F.timestamp_millis("t_ms")).drop("t_ms")
+    exact = drain(jobs.long_rides(s, 2 * H), "long-rides-exact")
+    assert sorted(r["ride_id"] for r in exact.collect()) == [2, 3, 5]
+    starts = s.filter("is_start").select("ride_id", "event_time")
+    ends = s.filter(~F.col("is_start")).select("ride_id", "event_time")
+    joined = drain(jobs.long_rides_join(starts, ends, 2 * H, 6 * H), "long-rides-join")
+    assert sorted(r["ride_id"] for r in joined.collect()) == [2, 3, 5]
