@@ -90,3 +90,18 @@ def test_f7_long_rides_streaming_forms(spark):
     ends = s.filter(~F.col("is_start")).select("ride_id", "event_time")
     joined = drain(jobs.long_rides_join(starts, ends, 2 * H, 6 * H), "long-rides-join")
     assert sorted(r["ride_id"] for r in joined.collect()) == [2, 3, 5]
+
+
+def test_pseudo_window_across_batches(spark):
+    """F8 shape on the hand-built window: sums per driver and hour keyed by the
+    hour's last millisecond; a row at or below the watermark is dropped."""
+    base = 1_599_998_400_000                     # an hour boundary
+    M = 60_000
+    b = [[(0, 1, base + 10 * M, 5.0), (1, 1, base + 50 * M, 6.0), (2, 2, base + 20 * M, 10.0)],
+         [(3, 2, base + 60 * M, 1.0), (4, 1, base + 5 * M, 9.0)],      # event 4 is late
+         [(5, 3, base + 180 * M, 2.0)]]
+    s = _files(spark, "pw-src", b, "event_id long, user_id long, t_ms long, value double")
+    s = s.withColumn("ts", F.timestamp_millis("t_ms"))
+    out = drain(jobs.pseudo_window(s, 60 * M), "pw-multi")
+    got = sorted((r["user_id"], r["window_end_ms"] - base, r["tips"]) for r in out.collect())
+    assert got == [(1, 60 * M - 1, 11.0), (2, 60 * M - 1, 10.0), (2, 120 * M - 1, 1.0)]
