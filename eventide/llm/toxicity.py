@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -16,103 +17,151 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.llm.common import arrow_batches, free_name
+from eventide.llm.common import arrow_batches
 
-#: Expected labelled rows of the training sample, and its documents at most in one partition's share.
+#: Expected labelled rows of the training sample.
 TRAIN_ROWS = 6000
 GRADES, MIN_DOCS, L2, STEPS = 3, 5, 1.0, 200
+#: Features that differ between toxic and clean texts by this z value take part, the strongest so many.
+SELECT_Z, SELECT_MOST = 3.5, 4000
 #: A document is rejected from this probability of any toxicity.
-REJECT = 0.5
+REJECT = 0.35
+#: Lengths of the word beginnings that are features beside the words (inflected and joined words).
+STEMS = range(4, 9)
+#: Words whose features a worker keeps.
+CACHE = 300_000
+# Odd multipliers of the min-hash functions.
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 _WORD = re.compile(r"[^\W\d_]+")
+_cache: dict = {}
 
 
-def features(text: str) -> Counter:
-    """Occurrences of the words (runs of letters, in lower case) of a whole text."""
-    return Counter(_WORD.findall(text.lower()))
+def words_of(text: str) -> list[str]:
+    """Runs of letters, in lower case."""
+    return _WORD.findall(text.lower())
 
 
-def _sketches(words: list[str], hashes: int = 4) -> list[tuple[int, int]]:
-    grams = {" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))}
-    return [(s, min(xxhash.xxh64_intdigest(g, s) for g in grams)) for s in range(hashes)]
+def word_features(w: str) -> list[str]:
+    return [w] + [w[:k] + "*" for k in STEMS if len(w) >= k]
 
 
-def distinct_texts(rows: list[tuple[str, int]]) -> list[tuple[Counter, int]]:
-    """Features and labels without near copies: rare words of a copied text would
+def features(words: list[str]) -> Counter:
+    """Occurrences of every word and word beginning of a text."""
+    out: Counter = Counter()
+    for w, n in Counter(words).items():
+        for f in word_features(w):
+            out[f] += n
+    return out
+
+
+def values(n: int, words: int) -> tuple[float, float]:
+    """The two numbers of a feature: its count, and its rate among the text's words."""
+    return math.log1p(n), math.log1p(100 * n / max(words, 20))
+
+
+def _sketches(words: list[str]) -> list[tuple[int, int]]:
+    """Min-hashes of the word triples of a text under four hash functions."""
+    grams = np.array([xxhash.xxh64_intdigest(" ".join(words[i:i + 3])) for i in range(max(1, len(words) - 2))], np.uint64)
+    return [(k, int((grams * np.uint64(m) ^ (grams >> np.uint64(29))).min())) for k, m in enumerate(_ODD)]
+
+
+def distinct_texts(rows: list[tuple[str, int]]) -> list[tuple[Counter, int, int]]:
+    """(features, words, label) without near copies: rare words of a copied text would
     look like evidence.  Texts that share a min-hash of word triples are copies."""
     seen, kept = set(), []
     for text, label in rows:
-        words = _WORD.findall(text.lower())
+        words = words_of(text)
+        if not words:
+            continue
         marks = _sketches(words)
-        if not words or seen.intersection(marks):
+        if seen.intersection(marks):
             continue
         seen.update(marks)
-        kept.append((Counter(words), label))
+        kept.append((features(words), len(words), label))
     return kept
 
 
-def grade(rows: list[tuple[Counter, int]]) -> np.ndarray:
-    """Ordered grades from binary labels: 0 for clean texts; toxic ones are split into
-    equal thirds by their occurrences of words that are far more common among toxic texts."""
-    bad = sum(y for _, y in rows)
-    good = len(rows) - bad
+def evidence(rows: list[tuple[Counter, int, int]]) -> dict[str, float]:
+    """z value of every frequent feature: its share of toxic texts against clean ones."""
     docs = [Counter(), Counter()]
-    for x, y in rows:
+    for x, _, y in rows:
         docs[y].update(x.keys())
-    marked = {w for w, n in docs[1].items() if n >= MIN_DOCS
-              and math.log((n + .5) / (bad + 1)) - math.log((docs[0][w] + .5) / (good + 1)) >= 2.5}
-    score = np.array([sum(n for w, n in x.items() if w in marked) if y else -1 for x, y in rows])
-    if not bad:
+    bad = sum(y for _, _, y in rows)
+    good, out = len(rows) - bad, {}
+    for f, n in (docs[0] + docs[1]).items():
+        if n >= MIN_DOCS and bad and good:
+            p = n / len(rows)
+            out[f] = (docs[1][f] / bad - docs[0][f] / good) / math.sqrt(p * (1 - p) * (1 / bad + 1 / good) + 1e-12)
+    return out
+
+
+def grade(rows: list[tuple[Counter, int, int]], z: dict[str, float]) -> np.ndarray:
+    """Ordered grades from binary labels: 0 for clean texts; toxic ones are split into
+    equal thirds by the share of their words that are strong evidence."""
+    marked = {f for f, v in z.items() if v >= 2 * SELECT_Z and not f.endswith("*")}
+    score = np.array([sum(n for f, n in x.items() if f in marked) / w if y else -1 for x, w, y in rows])
+    if not (score >= 0).any():
         return np.zeros(len(rows), np.int64)
     cuts = np.quantile(score[score >= 0], [1 / 3, 2 / 3], method="nearest")
     return np.where(score < 0, 0, 1 + np.searchsorted(cuts, score, side="left")).astype(np.int64)
 
 
 def fit(texts: list[tuple[str, int]]) -> dict:
-    """{weights: word -> weight, cuts: c_0 .. c_K-1} by full-batch Adam on the
-    regularised log-likelihood; words in fewer than MIN_DOCS texts are no features."""
+    """{weights: feature -> (of its count, of its rate), cuts: c_0 .. c_K-1} by full-batch
+    Adam on the regularised log-likelihood."""
     rows = distinct_texts(sorted(texts))
-    grades = grade(rows)
+    z = evidence(rows)
+    grades = grade(rows, z)
     if len(rows) < 2 or not grades.any():
         return {"weights": {}, "cuts": [20.0] * GRADES}
-    df = Counter(w for x, _ in rows for w in x)
-    vocab = {w: i for i, w in enumerate(sorted(w for w, n in df.items() if n >= MIN_DOCS))}
+    strong = sorted((f for f, v in z.items() if abs(v) >= SELECT_Z), key=lambda f: (-abs(z[f]), f))[:SELECT_MOST]
+    vocab = {f: 2 * i for i, f in enumerate(strong)}
     r, c, v = [], [], []
-    for i, (x, _) in enumerate(rows):
-        for w, n in x.items():
-            if w in vocab:
+    for i, (x, words, _) in enumerate(rows):
+        for f in x.keys() & vocab.keys():
+            for j, value in enumerate(values(x[f], words)):
                 r.append(i)
-                c.append(vocab[w])
-                v.append(math.log1p(n))
-    r, c, v = np.array(r, np.int64), np.array(c, np.int64), np.array(v)
-    n, d = len(rows), len(vocab)
-    above = grades[:, None] > np.arange(GRADES)[None, :]
-    share = np.clip(above.mean(0), 1e-3, 1 - 1e-3)
-    theta = np.concatenate([np.zeros(d), [-math.log(share[0] / (1 - share[0]))], np.full(GRADES - 1, math.log(1.0))])
+                c.append(vocab[f] + j)
+                v.append(value)
+    r, c, v = np.array(r, np.int64), np.array(c, np.int64), np.array(v, np.float64)
+    n, d = len(rows), 2 * len(vocab)
+    share = np.clip((grades > 0).mean(), 1e-3, 1 - 1e-3)
+    at = np.arange(n)
+    theta = np.concatenate([np.zeros(d), [-math.log(share / (1 - share))], np.zeros(GRADES - 1)])
     m1, m2 = np.zeros_like(theta), np.zeros_like(theta)
+    one, zero = np.ones((n, 1)), np.zeros((n, 1))
     for step in range(1, STEPS + 1):
-        w, cuts = theta[:d], theta[d] + np.concatenate([[0], np.cumsum(np.exp(theta[d + 1:]))])
+        w, gaps = theta[:d], np.exp(theta[d + 1:])
         s = np.bincount(r, weights=w[c] * v, minlength=n)
-        p = 1 / (1 + np.exp(-np.clip(s[:, None] - cuts[None, :], -40, 40)))
-        full = np.concatenate([np.ones((n, 1)), p, np.zeros((n, 1))], axis=1)
-        like = np.maximum(full[np.arange(n), grades] - full[np.arange(n), grades + 1], 1e-12)
-        slope = np.concatenate([np.zeros((n, 1)), p * (1 - p), np.zeros((n, 1))], axis=1)
-        low, high = slope[np.arange(n), grades] / like, slope[np.arange(n), grades + 1] / like
-        ds = low - high
-        dc = np.zeros(GRADES)
-        for k in range(GRADES):
-            dc[k] = high[grades == k].sum() - low[grades == k + 1].sum()
-        tail = np.cumsum(dc[::-1])[::-1]
-        g = np.concatenate([np.bincount(c, weights=ds[r] * v, minlength=d) - L2 * w, [tail[0]], tail[1:] * np.exp(theta[d + 1:])])
+        cuts = theta[d] + np.concatenate([[0], np.cumsum(gaps)])
+        p = 1 / (1 + np.exp(-np.clip(s[:, None] - cuts[None, :], -40, 40)))  # P(grade > k)
+        above, slope = np.concatenate([one, p, zero], axis=1), np.concatenate([zero, p * (1 - p), zero], axis=1)
+        like = np.maximum(above[at, grades] - above[at, grades + 1], 1e-12)
+        low, high = slope[at, grades] / like, slope[at, grades + 1] / like
+        of_cut = np.array([high[grades == k].sum() - low[grades == k + 1].sum() for k in range(GRADES)])
+        later = np.cumsum(of_cut[::-1])[::-1]  # a cut moves with all gaps before it
+        g = np.concatenate([np.bincount(c, weights=(low - high)[r] * v, minlength=d) - L2 * w, [later[0]], later[1:] * gaps])
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
-        theta = theta + 0.1 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
+        theta = theta + 0.05 * (m1 / (1 - 0.9 ** step)) / (np.sqrt(m2 / (1 - 0.999 ** step)) + 1e-8)
     cuts = theta[d] + np.concatenate([[0], np.cumsum(np.exp(theta[d + 1:]))])
-    return {"weights": {w: float(theta[i]) for w, i in vocab.items()}, "cuts": [float(x) for x in cuts]}
-
-
-def severity(text: str, model: dict) -> tuple[float, float]:
-    """(expected severity, probability of any)."""
-    get = model["weights"].get
-    s = sum(get(w, 0.0) * math.log1p(n) for w, n in features(text).items())
+    return {"weights": {f: (float(theta[i]), float(theta[i + 1])) for f, i in vocab.items()}, "cuts": [float(x) for x in cuts]}
+
+
+def severity(text: str, model: dict, known: dict | None = None) -> tuple[float, float]:
+    """(expected severity, probability of any) of a whole text; ``known`` keeps the
+    features of words that the model has."""
+    weights, known = model["weights"], {} if known is None else known
+    words, hits = words_of(text), Counter()
+    for w, n in Counter(words).items():
+        found = known.get(w)
+        if found is None:
+            found = known[w] = tuple(f for f in word_features(w) if f in weights)
+        for f in found:
+            hits[f] += n
+    s = 0.0
+    for f in sorted(hits):  # a fixed order of summation
+        (a, b), (x, y) = weights[f], values(hits[f], len(words))
+        s += a * x + b * y
     p = [1 / (1 + math.exp(-max(-40.0, min(40.0, s - c)))) for c in model["cuts"]]
     return sum(p), p[0]
 
@@ -136,10 +185,13 @@ def score(docs: DataFrame, model: dict, text_col: str = "text", out: str = "toxi
     Every whole text is judged alone (no shuffle; other columns stay).  A null or
     empty text, or one without known words, has the score of no evidence.  Severity is
     between 0 and the number of thresholds."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    shared, key = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex  # bounded by the sample
 
     def judge(texts: pd.Series) -> pd.DataFrame:
-        got = [severity(t or "", shared.value) for t in texts]
+        if key not in _cache or len(_cache[key]) > CACHE:
+            _cache.clear()
+            _cache[key] = {}
+        got = [severity(t or "", shared.value, _cache[key]) for t in texts]
         return pd.DataFrame({"severity": [g[0] for g in got], "p_toxic": [g[1] for g in got],
                              "rejected": [g[1] >= REJECT for g in got]})
 
