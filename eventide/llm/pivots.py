@@ -102,8 +102,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     pick = Window.partitionBy("dim").orderBy(F.xxhash64("id", "v"), "id")
     sample = (rows.withColumn("r", F.row_number().over(pick)).where(F.col("r") <= PIVOT_SAMPLE)
               .orderBy("dim", "r").limit(64 * PIVOT_SAMPLE).collect())
-    table = {d: choose_pivots(np.array([r["v"] for r in sample if r["dim"] == d], np.int64).reshape(-1, d), pivots)
-             for d in {r["dim"] for r in sample}}
+    by_dim: dict[int, list] = {}
+    for r in sample:
+        by_dim.setdefault(r["dim"], []).append(r["v"])
+    table = {d: choose_pivots(np.array(vs, np.int64).reshape(len(vs), d), pivots) for d, vs in by_dim.items()}
 
     def distances(batches):
         for pdf in batches:
@@ -127,7 +129,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
         parts = [(np.empty(0, np.int64),) * 3]
         for dim in set(left["dim"]) & set(right["dim"]):
             a, b = left[left["dim"] == dim], right[right["dim"] == dim]
-            q, x = (np.array(f["v"].tolist(), np.int64).reshape(-1, dim) for f in (a, b))
+            q, x = (np.array(f["v"].tolist(), np.int64).reshape(len(f), dim) for f in (a, b))
             qd, xd = (np.array(f["d"].tolist(), np.float64).reshape(len(f), -1) for f in (a, b))
             parts += search_block(a["id"].to_numpy(), q, qd, b["id"].to_numpy(), x, xd, k)[0]
         return pd.DataFrame({n: np.concatenate([p[i] for p in parts])

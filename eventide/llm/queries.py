@@ -99,7 +99,7 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(load(spark, sf_dir, "documents").select("doc_id", "text"), out="spans")
-    of = [F.size(F.filter("spans", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secret_scan.BASE)]
+    of = [secret_scan.count_kind(F.col("spans"), k).alias(f"n_{k}") for k in secret_scan.BASE]
     base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
     return found.select("doc_id", *of, F.sha2(secret_scan.render(base), 256).alias("base_sha256"),
                         secret_scan.render(F.col("spans")).alias("spans"))

@@ -24,8 +24,9 @@ BASE = {
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 IDENTIFIER = r"[A-Za-z][A-Za-z0-9_-]{4,}"
-#: Expected rows of the training sample; log odds from which a string is a secret.
-TRAIN_ROWS, LOG_ODDS = 4096, 12.0
+#: Expected rows of the training sample; log odds from which a string is a secret; pseudo-counts;
+#: least different characters (rules and separators are not random strings).
+TRAIN_ROWS, LOG_ODDS, BACKOFF, DISTINCT = 4096, 12.0, 5.0, 8
 KINDS = (*BASE, "markov")
 MASK = "[SECRET]"
 
@@ -64,9 +65,11 @@ def matches(text: Column, pattern: str, group: int, kind: int) -> Column:
 
 
 def base_spans(text: Column) -> Column:
-    kinds = [F.filter(matches(text, p, g, i), lambda m, least=least: F.length(m["value"]) >= least)
-             for i, (p, g, least) in enumerate(BASE.values())]
-    return F.concat(*kinds)
+    def long_enough(least):
+        return lambda m: F.length(m["value"]) >= least
+
+    return F.concat(*[F.filter(matches(text, p, g, i), long_enough(least))
+                      for i, (p, g, least) in enumerate(BASE.values())])
 
 
 def pair_counts(strings: DataFrame, col: str) -> Counter:
@@ -79,13 +82,17 @@ def pair_counts(strings: DataFrame, col: str) -> Counter:
     return Counter({r["p"]: r["n"] for r in rows})
 
 
-def transition(counts: Counter, mix: float) -> dict[tuple[str, str], float]:
-    """log P(next | previous): add-one counts, mixed with the uniform distribution."""
+def transition(counts: Counter, uniform: float) -> dict[tuple[str, str], float]:
+    """log P(next | previous): pair counts smoothed by ``BACKOFF`` pseudo-counts of the next
+    character's own frequency, mixed with a share of the uniform distribution."""
+    ends = {b: sum(counts[a + b] for a in ALPHABET) + 0.5 for b in ALPHABET}
+    total = sum(ends.values())
     out = {}
     for a in ALPHABET:
-        total = sum(counts[a + b] for b in ALPHABET) + len(ALPHABET)
+        n = sum(counts[a + b] for b in ALPHABET)
         for b in ALPHABET:
-            out[a, b] = math.log(mix / len(ALPHABET) + (1 - mix) * (counts[a + b] + 1) / total)
+            p = (counts[a + b] + BACKOFF * ends[b] / total) / (n + BACKOFF)
+            out[a, b] = math.log(uniform / len(ALPHABET) + (1 - uniform) * p)
     return out
 
 
@@ -125,7 +132,8 @@ def scan(docs: DataFrame, text_col: str = "text", out: str = "secrets", model: l
     :func:`train`) is fitted on ``docs`` if not given."""
     model = train(docs, text_col) if model is None else model
     text = F.coalesce(F.col(text_col), F.lit(""))
-    learned = F.filter(matches(text, TOKEN, 0, len(BASE)), lambda m: ratio(m["value"], model) > LOG_ODDS)
+    learned = F.filter(matches(text, TOKEN, 0, len(BASE)), lambda m: (
+        F.size(F.array_distinct(F.split(m["value"], ""))) >= DISTINCT) & (ratio(m["value"], model) > LOG_ODDS))
     spans = F.array_sort(F.transform(F.concat(base_spans(text), learned), lambda m: F.struct(
         m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"))))
     return docs.withColumn(out, spans)
@@ -150,3 +158,7 @@ def redact(text: Column, spans: Column, mask: str = MASK) -> Column:
     done = F.aggregate(spans, start, step, lambda s: F.concat(
         F.array_join(s["out"], ""), F.substring(text, (s["at"] + 1).cast("int"), F.length(text))))
     return F.when(F.size(spans) > 0, done).otherwise(text)
+
+
+def count_kind(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda s: s["kind"] == KINDS.index(kind))).cast("long")

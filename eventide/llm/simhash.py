@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from eventide.llm.common import arrow_batches, cut, free_name
+from eventide.llm.common import arrow_batches, cut
 
 BITS = 64
 #: Relative cost of one shuffled probe row and of one compared candidate pair.
@@ -115,8 +115,8 @@ def group_bits(n: int, both: np.ndarray, m: int) -> list[list[int]]:
 
 
 def ball(width: int, t: int) -> list[int]:
-    """Masks of all keys within ``t`` bits of a key."""
-    return [sum(1 << b for b in c) for k in range(t + 1) for c in combinations(range(width), k)]
+    """Masks (signed longs) of all keys within ``t`` bits of a key."""
+    return [(m ^ 1 << 63) - (1 << 63) for m in (sum(1 << b for b in c) for k in range(t + 1) for c in combinations(range(width), k))]
 
 
 def _ball_size(width: int, t: int) -> int:
@@ -162,7 +162,7 @@ def plan(fps: DataFrame, distance: int) -> tuple[list[list[int]], list[int]]:
     """Bit groups and thresholds of the cheapest search over ``fps`` (distinct)."""
     n, both = bit_statistics(fps)
     if not n:
-        return [list(range(BITS))], [distance]
+        return group_bits(0, both, distance + 1), [0] * (distance + 1)
     rate = 2 * (p := np.diag(both) / n) * (1 - p)
     options = {m: group_bits(n, both, m) for m in range(2, distance + 2)} or {1: [list(range(BITS))]}
     keys = [F.struct(F.lit(m * BITS + i).alias("part"), _key(g).alias("key"))
