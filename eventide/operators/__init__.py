@@ -1 +1 @@
-from .scan import keyed_scan, running_count, sequence_number, release  # noqa: F401
+from .scan import keyed_scan, running_count, sequence_number  # noqa: F401

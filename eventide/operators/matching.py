@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .scan import CHUNK, _persist, chunked
+from .scan import CHUNK, EDGE, chunked, deal
 
 
 def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t_ms",
@@ -33,7 +33,7 @@ def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t
     from two small windows over the per-chunk summary rows (at most two per
     chunk boundary, broadcast)."""
     order = list(order)
-    c = tagged if CHUNK in tagged.columns else chunked(tagged, [key], order, n_chunks)
+    c = tagged if CHUNK in tagged.columns else deal(chunked(tagged, [key], order, n_chunks), n_chunks)
     part = [CHUNK, key]
     w = Window.partitionBy(*part).orderBy(*order)
     unb = Window.unboundedPreceding
@@ -45,23 +45,25 @@ def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t
         return b_
 
     # -- local pass: index, neighbours, local island breaks (row 1 unknown)
-    loc = (c.withColumn("_li", F.row_number().over(w))
-            .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
-            .withColumn("_p_side", F.lag(side).over(w))
-            .withColumn("_p_t", F.lag(t_ms).over(w))
-            .withColumn("_n_side", F.lead(side).over(w))
-            .withColumn("_n_t", F.lead(t_ms).over(w)))
-    for col in carry:
-        loc = loc.withColumn(f"_p_{col}", F.lag(col).over(w))
-    loc = loc.withColumn("_new_l", F.when(F.col("_li") > 1, breaks(
-        F.col("_p_side"), F.col("_p_t"), F.col(side), F.col(t_ms))))
-    loc = loc.withColumn("_ls", F.max(F.when(F.col("_new_l"), F.col("_li")))
-                         .over(w.rowsBetween(unb, 0)))
-    loc = _persist(loc)
-
-    # -- per (chunk, key) summary from first and last rows
+    def local_pass(rows):
+        out = (rows.withColumn("_li", F.row_number().over(w))
+               .withColumn("_is_last", F.lead(F.lit(1)).over(w).isNull())
+               .withColumn("_p_side", F.lag(side).over(w))
+               .withColumn("_p_t", F.lag(t_ms).over(w))
+               .withColumn("_n_side", F.lead(side).over(w))
+               .withColumn("_n_t", F.lead(t_ms).over(w)))
+        for col in carry:
+            out = out.withColumn(f"_p_{col}", F.lag(col).over(w))
+        out = out.withColumn("_new_l", F.when(F.col("_li") > 1, breaks(
+            F.col("_p_side"), F.col("_p_t"), F.col(side), F.col(t_ms))))
+        return out.withColumn("_ls", F.max(F.when(F.col("_new_l"), F.col("_li")))
+                              .over(w.rowsBetween(unb, 0)))
+
+    loc = local_pass(c)
+
+    # -- per (chunk, key) summary of the keys that may cross a border, from their first and last rows
     last, first = F.col("_is_last"), F.col("_li") == 1
-    summary = loc.filter(first | last).groupBy(*part).agg(
+    summary = local_pass(c.filter(EDGE)).filter(first | last).groupBy(*part).agg(
         F.max(F.when(last, F.col("_li"))).alias("_m"),
         F.max(F.when(last, F.col("_ls"))).alias("_ls_c"),
         F.max(F.when(last, F.struct(F.col(side).alias("s"), F.col(t_ms).alias("t"),
@@ -109,7 +111,7 @@ def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t
                     F.when(superseded, F.lit("superseded")).otherwise(other))
     prev = [F.when(is_first, F.col(f"_prev_last.{x}")).otherwise(F.col(f"_p_{x}")).alias(f"prev_{x}")
             for x in carry]
-    keep = [x for x in tagged.columns if x != CHUNK]
+    keep = [x for x in tagged.columns if x not in (CHUNK, EDGE)]
     return j.select(*keep, *prev, pos.alias("pos"), (pos % 2 == 1).alias("matched"),
                     reason.alias("unmatched_reason"))
 

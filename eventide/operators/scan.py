@@ -9,20 +9,23 @@ a third of the data.
 
 ``keyed_scan`` computes the same values without that hot spot:
 
-1. range-partition the rows by ``(key, order)`` into ``n`` chunks; range
-   bounds come from a sample, so a hot key is spread over several chunks,
-   each chunk holding a contiguous slice of the key's sequence;
-2. run the window functions inside ``(chunk, key)`` - bounded work per task;
-   this output is persisted once, so everything below sees one cut;
-3. summarise each ``(chunk, key)`` (totals, first and last row) from its first
-   and last rows only, and carry the summaries of earlier / later chunks of
-   the same key along with a small window over the summary rows;
-4. only ``(chunk, key)`` pairs that share their key with another chunk need a
-   carry.  A chunk boundary splits at most one key, so the carry table has at
-   most ``2 * n`` rows: a proven bound, so it is broadcast;
+1. ``n - 1`` bounds of ``(key, order)`` are taken once from a bounded sample; a
+   row's chunk is a plain column (a binary search over the bounds), so that a
+   hot key is spread over several chunks, each holding a contiguous slice of
+   the key's sequence, and every reader of the plan sees the same cut;
+2. one shuffle on the chunk, then the window functions inside
+   ``(chunk, key)`` - bounded work per task.  Chunk labels are chosen such that
+   hash partitioning gives each chunk a task of its own;
+3. only a key that equals a bound's key can lie in two chunks.  The rows of
+   those keys are summarised per ``(chunk, key)`` by a two-phase aggregate, and
+   the summaries of earlier / later chunks of the same key are carried along;
+4. that carry table has at most two rows per bound: a proven size, so it is
+   broadcast;
 5. combine: ``running = local (+) carry``, ``lag = local lag, or the previous
    chunk's last row for the first row of a chunk`` and symmetrically for lead.
 
+Nothing is cached: a changed input is seen by the next query.
+
 The result equals the plain window functions (tests check this) for any data
 distribution.  ``order`` must be a list of ascending columns that is a total
 order inside each key (add an id as the last tie-breaker).
@@ -30,10 +33,15 @@ order inside each key (add an id as the last tie-breaker).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 CHUNK = "_chunk"
+#: True for rows whose key may lie in more than one chunk.
+EDGE = "_edge"
+#: Sampled rows per chunk that the bounds are taken from.
+SAMPLE_PER_CHUNK = 32
 _AGGS = {"count", "sum", "max", "min"}
 
 
@@ -45,34 +53,77 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-_PERSISTED: list = []
-
+@lru_cache(maxsize=None)
+def _hash_slots(n: int, upto: int) -> tuple[int, ...]:
+    spark = SparkSession.getActiveSession()
+    rows = (spark.range(upto).select(F.col("id").cast("int").alias("l"))
+            .select("l", F.pmod(F.hash("l"), F.lit(n)).alias("p")).orderBy("l").collect())
+    return tuple(r["p"] for r in rows)
 
-def chunked(df: DataFrame, keys, order, n: int | None = None) -> DataFrame:
-    """Range-partition by ``(keys, order)`` into ``n`` chunks and tag rows with
-    their chunk.  The partition count is explicit, so adaptive execution keeps
-    it (it only coalesces shuffles whose count it chose itself).
 
-    Range bounds come from a sample taken when the exchange runs, so two
-    separate executions of the same plan may cut differently: whatever is
-    derived from the tags must be computed once and shared (see
-    :func:`keyed_scan`)."""
-    cols = [*[F.col(k) for k in keys], *[_as_col(o) for o in order]]
-    return df.repartitionByRange(n_chunks_for(df, n), *cols) \
-             .withColumn(CHUNK, F.spark_partition_id())
+def chunk_labels(n: int) -> list[int]:
+    """``n`` ascending labels that hash partitioning into ``n`` tasks keeps apart."""
+    upto = 16 * n + 64
+    while True:
+        taken, labels = set(), []
+        for label, slot in enumerate(_hash_slots(n, upto)):
+            if slot not in taken:
+                taken.add(slot)
+                labels.append(label)
+        if len(labels) == n:
+            return labels
+        upto *= 2
 
 
-def _persist(df: DataFrame) -> DataFrame:
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _PERSISTED.append(out)
-    return out
+def _literal(row, cols, types) -> Column:
+    return F.struct(*[F.lit(row[c]).cast(t).alias(f"c{i}") for i, (c, t) in enumerate(zip(cols, types))])
 
 
-def release() -> None:
-    """Drop the persisted chunk tags of all scans built so far (call after the
-    results that depend on them have been written or collected)."""
-    while _PERSISTED:
-        _PERSISTED.pop().unpersist()
+def chunked(df: DataFrame, keys, order, n: int | None = None) -> DataFrame:
+    """Tag rows with their chunk and whether their key may cross a chunk border.
+    ``keys`` and ``order`` are column names; :func:`deal` then shuffles on the chunk.
+
+    The bounds are quantiles of the ``SAMPLE_PER_CHUNK * n`` rows with the smallest
+    hashes, so that the same rows always give the same cut."""
+    n = n_chunks_for(df, n)
+    cols = [*keys, *order]
+    types = [df.schema[c].dataType for c in cols]
+    m = SAMPLE_PER_CHUNK * n
+    sample = []
+    if n > 1:
+        sample = (df.select(*cols).withColumn("_h", F.xxhash64(*cols)).orderBy("_h").limit(m)
+                  .orderBy(*cols).drop("_h").collect())  # at most m rows
+    bounds = []
+    for i in range(1, n):
+        if sample:
+            row = sample[i * len(sample) // n]
+            if not bounds or row != bounds[-1]:
+                bounds.append(row)
+    labels = chunk_labels(n)[:len(bounds) + 1]
+    if not bounds:
+        return df.withColumn(CHUNK, F.lit(labels[0])).withColumn(EDGE, F.lit(False))
+    row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
+    ladder = F.array(*[_literal(b, cols, types) for b in bounds])
+    names = F.array(*[F.lit(x) for x in labels])
+    top = 1 << (len(bounds).bit_length() - 1)
+    steps = F.array(*[F.lit(top >> k) for k in range(top.bit_length())])
+    # the number of bounds that are not above the row: a binary search in falling powers of two
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        (at + step <= len(bounds)) & (F.get(ladder, F.least(at + step, F.lit(len(bounds))) - 1) <= row),
+        at + step).otherwise(at))
+    tagged = df.withColumn(CHUNK, F.get(names, below))
+    if keys:
+        seen = list({tuple(b[c] for c in keys): b for b in bounds}.values())
+        key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keys)])
+        edge = F.array_contains(F.array(*[_literal(b, keys, types) for b in seen]), key)
+    else:
+        edge = F.lit(True)
+    return tagged.withColumn(EDGE, edge)
+
+
+def deal(tagged: DataFrame, n: int | None = None) -> DataFrame:
+    """One shuffle that gives every chunk a task of its own."""
+    return tagged.repartition(n_chunks_for(tagged, n), CHUNK)
 
 
 def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
@@ -85,11 +136,10 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
              ``count`` counts non-null values of ``expr``.
     lag / lead: ``{out: expr}`` value of the previous / next row of the key
              (null at the key's first / last row).
-    keep_chunks: keep the chunk column in the output.  A later scan over the
-             same keys and order then reuses those chunks: no new sample,
-             range shuffle or cache, and since the output is still hash
-             partitioned by (chunk, key), its window and summary need no
-             exchange either.
+    keep_chunks: keep the chunk columns in the output.  A later scan over the
+             same keys and order then reuses those chunks: no new sample, and
+             since the output is still hash partitioned by the chunk, its
+             windows need no exchange either.
     """
     keys = list(keys)
     running = dict(running or {})
@@ -116,7 +166,8 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
             ins[out] = f"_in_{out}"
             base = base.withColumn(ins[out], _as_col(expr))
 
-    c = base if CHUNK in df.columns else chunked(base, keys, order_cols, n_chunks)
+    tagged = base if CHUNK in df.columns else chunked(base, keys, order_cols, n_chunks)
+    c = base if CHUNK in df.columns else deal(tagged, n_chunks)
     part = [CHUNK, *keys]
     w = Window.partitionBy(*part).orderBy(*order_cols)
     unb = Window.unboundedPreceding
@@ -124,35 +175,23 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
     # -- 2. local scan inside (chunk, key); first / last row flags
     local = c.withColumn("_first", F.lag(F.lit(1)).over(w).isNull()) \
              .withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
-    total = {}
     for out, (fn, _, inclusive) in running.items():
         frame = w.rowsBetween(unb, 0 if inclusive else -1)
         local = local.withColumn(f"_l_{out}", getattr(F, fn)(F.col(ins[out])).over(frame))
-        total[out] = f"_l_{out}"
-        if not inclusive:                      # the chunk total, read at the last row
-            total[out] = f"_t_{out}"
-            local = local.withColumn(total[out], getattr(F, fn)(F.col(ins[out]))
-                                     .over(w.rowsBetween(unb, 0)))
     for out in lag:
         local = local.withColumn(f"_l_{out}", F.lag(ins[out]).over(w))
     for out in lead:
         local = local.withColumn(f"_l_{out}", F.lead(ins[out]).over(w))
-    # The window output is computed once and shared by the summary and the
-    # result: both see the same cut.  A lost block is rebuilt from the same
-    # shuffles (same range partitioner), so the cut also survives executor loss.
-    local = _persist(local)
-
-    # -- 3. per (chunk, key) summary from its first and last rows only
-    last, first = F.col("_last"), F.col("_first")
-    aggs = [F.max(F.when(last, F.col(total[out]))).alias(f"_s_{out}") for out in running]
+
+    # -- 3. per (chunk, key) summary of the keys that may cross a border
+    at = F.struct(*[F.col(o) for o in order_cols])
+    aggs = [getattr(F, fn)(F.col(ins[out])).alias(f"_s_{out}") for out, (fn, _, _) in running.items()]
     if lag:
-        aggs.append(F.max(F.when(last, F.struct(*[F.col(ins[o]).alias(o) for o in lag])))
-                    .alias("_s_last"))
+        aggs.append(F.max_by(F.struct(*[F.col(ins[o]).alias(o) for o in lag]), at).alias("_s_last"))
     if lead:
-        aggs.append(F.max(F.when(first, F.struct(*[F.col(ins[o]).alias(o) for o in lead])))
-                    .alias("_s_first"))
+        aggs.append(F.min_by(F.struct(*[F.col(ins[o]).alias(o) for o in lead]), at).alias("_s_first"))
     aggs.append(F.lit(1).alias("_one"))
-    summary = local.filter(first | last).groupBy(*part).agg(*aggs)
+    summary = tagged.filter(EDGE).groupBy(*part).agg(*aggs)
 
     bw = Window.partitionBy(*keys).orderBy(CHUNK) if keys else Window.orderBy(CHUNK)
     before = bw.rowsBetween(unb, -1)
@@ -191,9 +230,9 @@ def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,
         outs.append(F.when(F.col("_last"), F.col("_c_first").getField(out))
                     .otherwise(F.col(f"_l_{out}")).alias(out))
     keep = [c_ for c_ in df.columns
-            if c_ not in running and c_ not in lag and c_ not in lead and c_ != CHUNK]
+            if c_ not in running and c_ not in lag and c_ not in lead and c_ not in (CHUNK, EDGE)]
     if keep_chunks:
-        keep.append(CHUNK)
+        keep += [CHUNK, EDGE]
     return j.select(*[F.col(k) for k in keep], *outs)
 
 

@@ -11,7 +11,6 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from eventide.operators.scan import release  # noqa: E402
 from eventide.plans.catalog import QUERIES  # noqa: E402
 from eventide.session import build_session  # noqa: E402
 
@@ -47,7 +46,6 @@ def main():
         if name.startswith("stream_"):
             continue
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
-        release()
         lines += [f"## {name}", "", "```"] + skeleton(plan) + ["```", ""]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))),
                            "PLANS.md"), "w") as f:

@@ -4,7 +4,6 @@ query restricted to what the final watermark has closed."""
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from eventide.operators.scan import release
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,7 +21,6 @@ def test_hourly_best_lanes_agree(spark):
     batch = q["hourly_best_user"](spark, SF).filter(F.col("window_end") <= F.lit(_max_ts(spark)))
     stream = q["stream_hourly_best"](spark, SF)
     assert _rows(stream) == _rows(batch)
-    release()
 
 
 def test_fraud_lanes_agree(spark):
@@ -30,7 +28,6 @@ def test_fraud_lanes_agree(spark):
     batch = q["fraud_alerts"](spark, SF).select("account_id", "event_id")
     stream = q["stream_fraud"](spark, SF).select("account_id", "event_id")
     assert _rows(stream) == _rows(batch)
-    release()
 
 
 def test_window_min_lanes_agree(spark):
@@ -42,4 +39,3 @@ def test_rolling_best_lanes_agree(spark):
     q = queries()
     batch = q["rolling_hour_best"](spark, SF).filter(F.col("window_end") <= F.lit(_max_ts(spark)))
     assert _rows(q["stream_rolling_best"](spark, SF)) == _rows(batch)
-    release()

@@ -11,7 +11,6 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from compare import TABLES, digest  # noqa: E402
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
-from eventide.operators.scan import release  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,7 +32,6 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
     got = queries()[name](spark, SF).toPandas()
-    release()
     want = con.execute(oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)

@@ -5,7 +5,6 @@ bounded carry table."""
 import pytest
 
 from __spark_entry__ import queries
-from eventide.operators.scan import release
 
 SF = "/root/testdata/sf0.001"
 
@@ -13,7 +12,6 @@ SF = "/root/testdata/sf0.001"
 def plan(spark, name):
     df = queries()[name](spark, SF)
     text = df._jdf.queryExecution().executedPlan().toString()
-    release()
     return text
 
 
@@ -33,13 +31,16 @@ def test_aggregations_are_two_phase(spark, name):
     assert "partial_" in p
 
 
-@pytest.mark.parametrize("name", ["fraud_alerts", "running_count", "silence_counts_60s"])
-def test_keyed_scans_range_partition_and_broadcast_only_the_carry(spark, name):
+@pytest.mark.parametrize("name", ["fraud_alerts", "running_count", "silence_counts_60s", "rolling_hour_best",
+                                  "ride_fare_match", "timed_match"])
+def test_keyed_scans_shuffle_once_and_broadcast_only_the_carry(spark, name):
     p = plan(spark, name)
-    assert "rangepartitioning" in p
-    # every broadcast join is the scan's carry join, keyed by chunk
+    assert "rangepartitioning" not in p and "InMemoryTableScan" not in p
     joins = [ln for ln in p.splitlines() if "BroadcastHashJoin" in ln]
-    assert joins and all("_k__chunk" in ln for ln in joins)
+    assert joins and all("_k_" in ln for ln in joins)
+    # the rows meet their chunk in one shuffle by number; below it no window sorts them again
+    main = p[:p.index("BroadcastExchange")]
+    assert main.count("REPARTITION_BY_NUM") == 1 and "ENSURE_REQUIREMENTS" not in main.split("REPARTITION_BY_NUM")[0]
 
 
 def test_scans_read_only_needed_columns(spark):

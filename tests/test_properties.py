@@ -6,7 +6,6 @@ import random
 from pyspark.sql import functions as F
 
 from eventide.operators import matching, patterns
-from eventide.operators.scan import release
 
 
 def _pending_machine(seq, timeout):
@@ -54,7 +53,6 @@ def test_pairing_rule_matches_state_machine(spark):
         got_pairs |= {(r["k"], r["prev_event_id"], r["event_id"]) for r in p if r["matched"]}
         got_drop |= {(r["k"], r["event_id"], r["unmatched_reason"]) for r in p
                      if r["unmatched_reason"]}
-    release()
     assert got_pairs == want_pairs
     assert got_drop == want_drop
 
@@ -85,7 +83,6 @@ def test_fraud_rule_matches_state_machine(spark):
         rows += [(key, i, a, tt) for i, (a, tt) in enumerate(seq)]
     df = spark.createDataFrame(rows, "k long, event_id long, amount double, t_ms long")
     got = {(r["k"], r["event_id"]) for r in patterns.small_then_large(df, "k", "amount").collect()}
-    release()
     assert got == want
 
 
@@ -111,7 +108,6 @@ def test_sessions_and_silence_match_plain_models(spark):
     df = spark.createDataFrame(rows, "k long, event_id long, t_ms long")
     got_sessions = {tuple(r) for r in patterns.sessions(df, "k", gap).collect()}
     got_silence = {tuple(r) for r in patterns.silence_counts(df, "k", gap).collect()}
-    release()
     assert got_sessions == want_sessions
     assert got_silence == want_silence
 
@@ -137,6 +133,5 @@ def test_pairing_rule_hot_key_across_chunks(spark):
         got_pairs = {(r["k"], r["prev_event_id"], r["event_id"]) for r in p if r["matched"]}
         got_drop = {(r["k"], r["event_id"], r["unmatched_reason"]) for r in p
                     if r["unmatched_reason"]}
-        release()
         assert got_pairs == want_pairs
         assert got_drop == want_drop

@@ -4,7 +4,7 @@ distribution (one key holding half of all rows, many tiny keys, no key)."""
 import pytest
 from pyspark.sql import Window, functions as F
 
-from eventide.operators.scan import keyed_scan, release, sequence_number
+from eventide.operators.scan import keyed_scan, sequence_number
 
 
 def _data(spark, n=4000):
@@ -36,7 +36,6 @@ def test_keyed_scan_matches_windows(spark, chunks):
     cols = ["eid", "k", "t", "v", "cnt", "mx", "s", "mn", "pv", "pt", "nv", "ne"]
     a = sorted(tuple(r) for r in got.select(*cols).collect())
     b = sorted(tuple(r) for r in want.select(*cols).collect())
-    release()
     assert a == b
 
 
@@ -46,13 +45,37 @@ def test_hot_key_is_split_across_chunks(spark):
     c = chunked(df, ["k"], ["t", "eid"], 8)
     per_chunk = {r["_chunk"]: r["n"] for r in
                  c.filter(F.col("k") == 0).groupBy("_chunk").agg(F.count("*").alias("n")).collect()}
-    release()
     assert len(per_chunk) >= 3          # the key with half of the rows spans several tasks
 
 
+def test_chunks_are_even_and_each_has_a_task(spark):
+    from eventide.operators.scan import chunked, deal
+    c = deal(chunked(_data(spark), ["k"], ["t", "eid"], 8), 8)
+    got = c.groupBy("_chunk", F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    assert len(got) == len({r["p"] for r in got}) == 8
+    assert max(r["n"] for r in got) <= 2 * 4000 / 8
+
+
+def test_null_keys_and_few_rows(spark):
+    df = spark.createDataFrame([(i, None if i % 3 else "a", i % 5) for i in range(200)], "eid long, k string, t long")
+    got = keyed_scan(df, ["k"], ["t", "eid"], running={"n": ("count", F.lit(1), True)}, lag={"p": "eid"}, n_chunks=8)
+    w = Window.partitionBy("k").orderBy("t", "eid")
+    want = df.select("*", F.row_number().over(w).alias("n"), F.lag("eid").over(w).alias("p"))
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    for rows in (df.limit(0), df.limit(1)):
+        assert keyed_scan(rows, ["k"], ["t", "eid"], lag={"p": "eid"}, n_chunks=8).count() == rows.count()
+
+
+def test_a_changed_file_is_seen(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for n in (1000, 400):
+        _data(spark, n).write.mode("overwrite").parquet(path)
+        got = sequence_number(spark.read.parquet(path), ["t", "eid"])
+        assert got.count() == n and got.agg(F.max("position")).first()[0] == n
+
+
 def test_sequence_number_is_global_order(spark):
     df = _data(spark, 1000)
     got = sequence_number(df, ["t", "eid"]).select("eid", "position").collect()
     want = df.select("eid", F.row_number().over(Window.orderBy("t", "eid")).alias("position"))
-    release()
     assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want.collect())
