@@ -37,12 +37,12 @@ def top_n(means: DataFrame, n: int, value: str, key: str,
     return ranked.withColumn(rank_col, F.col(rank_col).cast("bigint"))
 
 
-def fixed4(sum_cents, n):
-    """Mean rendered with 4 decimals, rounded half up, by integer arithmetic
-    (identical text in every engine)."""
-    m4 = F.expr(f"({sum_cents} * 200 + {n}) div (2 * {n})")
-    return F.concat((m4 / 10000).cast("bigint").cast("string"), F.lit("."),
-                    F.lpad((m4 % 10000).cast("string"), 4, "0"))
+def fixed4(total, n):
+    """Mean ``total / n`` rendered with 4 decimals, rounded half up by magnitude,
+    from the total in units of 1e-8 as a decimal (identical text in every engine)."""
+    size = F.round(F.abs(F.col(total).cast("decimal(28,8)")) / F.col(n), 4).cast("decimal(28,4)")
+    sign = F.when((F.col(total) < 0) & (size > 0), "-").otherwise("")
+    return F.concat(sign, size.cast("string"))
 
 
 def top_n_report(means: DataFrame, n: int, key: str, window_end_ms: str = "window_end_ms",
@@ -55,7 +55,7 @@ def top_n_report(means: DataFrame, n: int, key: str, window_end_ms: str = "windo
     ranked = ranked.withColumn("_keep", F.col("_rn") <= F.least(F.lit(n), m - 1))
     line = F.concat(F.lit("No"), (F.col("_rn") - 1).cast("string"), F.lit(":"),
                     F.lit(ENTRY_ID_LABEL), F.col(key).cast("string"),
-                    F.lit(ENTRY_AVG_LABEL), fixed4("sum_cents", "n"), F.lit("\n"))
+                    F.lit(ENTRY_AVG_LABEL), fixed4("total", "n"), F.lit("\n"))
     entries = F.collect_list(F.when(F.col("_keep"), F.struct(F.col("_rn").alias("r"),
                                                              line.alias("l"))))
     body = F.array_join(F.transform(F.array_sort(entries), lambda x: x["l"]), "")

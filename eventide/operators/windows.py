@@ -11,25 +11,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def money_sum(col):
-    """Sum of two-decimal amounts, rounded back to cents (exact for any
-    summation order)."""
-    return F.round(F.sum(col), 2)
+def total_of(col, scale: int | None = None):
+    """Sum of raw values; with ``scale`` (money: 2) rounded to that many decimals,
+    which hides the order of summation.  Rounding is the caller's choice."""
+    return F.sum(col) if scale is None else F.round(F.sum(col), scale)
 
 
 def window_sum(df: DataFrame, key: str, value: str, size: str, ts: str = "ts",
-               out: str = "total") -> DataFrame:
+               out: str = "total", scale: int | None = None) -> DataFrame:
     """AGG-8 / AGG-2: per key and tumbling window, the sum of ``value``."""
     return (df.groupBy(F.window(ts, size).alias("w"), key)
-              .agg(money_sum(value).alias(out))
-              .select(F.col("w.start").alias("window_start"),
-                      F.col("w.end").alias("window_end"), key, out))
-
-
-def window_count(df: DataFrame, key: str, size: str, ts: str = "ts",
-                 out: str = "n") -> DataFrame:
-    return (df.groupBy(F.window(ts, size).alias("w"), key)
-              .agg(F.count(F.lit(1)).alias(out))
+              .agg(total_of(value, scale).alias(out))
               .select(F.col("w.start").alias("window_start"),
                       F.col("w.end").alias("window_end"), key, out))
 
@@ -63,13 +55,12 @@ def window_min_record(df: DataFrame, key: str, value: str, size: str,
 
 
 def window_mean(df: DataFrame, key: str, value: str, size: str, ts: str = "ts",
-                out: str = "avg_value") -> DataFrame:
-    """AGG-6/7: mean per key and window.  The mean is the cent-exact sum over
-    the count, so it is the same double in any engine and any order."""
+                out: str = "avg_value", scale: int | None = None) -> DataFrame:
+    """AGG-6/7: mean per key and window, with its sum and count.  With ``scale`` the
+    sum is rounded to that many decimals before it is divided, so that the mean
+    is the same double in any engine and any order of summation."""
     return (df.groupBy(F.window(ts, size).alias("w"), key)
-              .agg(money_sum(value).alias("_sum"), F.count(F.lit(1)).alias("_n"))
+              .agg(total_of(value, scale).alias("total"), F.count(value).alias("n"))
               .select(F.col("w.start").alias("window_start"),
                       F.col("w.end").alias("window_end"), key,
-                      (F.col("_sum") / F.col("_n")).alias(out),
-                      F.round(F.col("_sum") * 100).cast("bigint").alias("sum_cents"),
-                      F.col("_n").alias("n")))
+                      F.try_divide(F.col("total"), F.col("n")).alias(out), "total", "n"))

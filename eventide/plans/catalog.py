@@ -18,7 +18,7 @@ from ..operators import matching, patterns, topn, watermark, windows
 from ..operators.scan import keyed_scan, running_count
 from ..sources import lines as L
 from ..sources.rides import fares, ride_events, ride_starts
-from ..sources.tables import events, load, spread
+from ..sources.tables import events, load
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,7 +38,7 @@ def ntz(c):
 
 # --------------------------------------------------------------- J8 / J9 hourly tips
 def hourly_sums(spark, d):
-    return windows.window_sum(events(spark, d), "user_id", "value", P.HOURLY, out="tips")
+    return windows.window_sum(events(spark, d), "user_id", "value", P.HOURLY, out="tips", scale=P.MONEY)
 
 
 @query("hourly_best_user")
@@ -55,7 +55,7 @@ def hourly_tips_inclusive_end(spark, d):
     e = watermark.with_arrival(events(spark, d).select("event_id", "user_id", "t_ms", "value"))
     kept = watermark.drop_late_rows(e, delay_ms=0)
     g = kept.groupBy("user_id", inclusive_window_end_ms("t_ms", P.HOURLY_MS).alias("_end")) \
-            .agg(windows.money_sum("value").alias("tips"))
+            .agg(windows.total_of("value", P.MONEY).alias("tips"))
     return g.select("user_id", ntz_from_ms("_end").alias("window_end"), "tips")
 
 
@@ -122,7 +122,7 @@ def window_min_late_changelog(spark, d):
 
 # --------------------------------------------------------------- J5 top-N
 def _means(spark, d):
-    return windows.window_mean(events(spark, d), "user_id", "value", P.MIN_WINDOW)
+    return windows.window_mean(events(spark, d), "user_id", "value", P.MIN_WINDOW, scale=P.MONEY)
 
 
 @query("top3_mean")
@@ -169,7 +169,7 @@ def ride_order(spark, d):
 @query("word_count")
 def word_count(spark, d):
     """J1 over every line of every document (one replay window)."""
-    docs = spread(load(spark, d, "documents").select("text"))
+    docs = load(spark, d, "documents").select("text")
     words = docs.select(F.explode(text_lines("text")).alias("line")) \
                 .select(F.explode(line_tokens("line")).alias("word"))
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
@@ -281,8 +281,9 @@ def _nyc_starts(spark, d):
 
 @query("geofence")
 def geofence(spark, d):
-    """J10: rides that start and end inside the NYC box."""
-    return _nyc_starts(spark, d).select("ride_id", "start_lon", "start_lat", "end_lon", "end_lat")
+    """J10: START and END events of rides that start and end inside the NYC box."""
+    r = ride_events(spark, d).filter(geo.in_nyc("start_lon", "start_lat") & geo.in_nyc("end_lon", "end_lat"))
+    return r.select("ride_id", "is_start", "start_lon", "start_lat", "end_lon", "end_lat")
 
 
 @query("rides_per_cell")
@@ -300,7 +301,7 @@ def cell_centres(spark, d):
 
 @query("path_coverage")
 def path_coverage(spark, d):
-    r = spread(_nyc_starts(spark, d).select("start_lon", "start_lat", "end_lon", "end_lat"))
+    r = _nyc_starts(spark, d).select("start_lon", "start_lat", "end_lon", "end_lat")
     cells = geo.path_cells(r, geo.grid_x("start_lon"), geo.grid_y("start_lat"),
                            geo.grid_x("end_lon"), geo.grid_y("end_lat"))
     return cells.groupBy("cell_id").agg(F.count(F.lit(1)).alias("n"))

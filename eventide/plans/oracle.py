@@ -319,7 +319,8 @@ SELECT user_id, side, event_id, ts,
   CASE WHEN n_side = side AND n_t - t_ms <= {P.MATCH_TIMEOUT_MS} THEN 'superseded' ELSE 'timeout' END AS reason
 FROM p WHERE pos % 2 = 0 AND next_new = 1""",
 
-    "geofence": f"SELECT ride_id, start_lon, start_lat, end_lon, end_lat FROM ({NYC})",
+    "geofence": f"SELECT ride_id, is_start, start_lon, start_lat, end_lon, end_lat FROM ({RIDES}) "
+                f"WHERE {_in_box('start_lon', 'start_lat')} AND {_in_box('end_lon', 'end_lat')}",
 
     "rides_per_cell": f"""
 SELECT {_gx('start_lon')} + {_gy('start_lat')} * {G.NUMBER_OF_GRID_X} AS cell_id, count(*) AS n

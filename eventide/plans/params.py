@@ -17,6 +17,7 @@ HOURLY_MS = HOUR
 MIN_WINDOW = "15 minutes"         # J3 window-min and J5 top-N windows
 MIN_WINDOW_MS = 15 * MIN
 TOP_N = 3
+MONEY = 2                         # decimals of the stored amounts; results are rounded to them
 
 LATE_SIZE_MS = 15 * MIN           # J4 replay: window, disorder bound, lateness
 LATE_DELAY_MS = HOUR

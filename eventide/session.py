@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -45,6 +47,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings the library depends on to an existing
     session (session time zone is required for exact NTZ round trips)."""
+    ship_package(spark)
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled",
               "spark.sql.streaming.stateStore.providerClass"):
@@ -55,15 +58,44 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _package_zip() -> str:
+    """The package as a zip file that Spark hands to its Python workers."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="eventide-zip-"), "eventide.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    return path
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers that do not share the
+    driver's path (once per application)."""
+    sc = spark.sparkContext
+    if _SHIPPED.get("app") != sc.applicationId:
+        sc.addPyFile(_package_zip())
+        _SHIPPED["app"] = sc.applicationId
+
+
+_SHIPPED: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, streaming checkpoints and drained sink
-    output.  Uses the cluster's ``spark.checkpoint.dir`` when set; only when it
-    is unset (local tests) a scratch folder is created and registered."""
+    output: the cluster's ``spark.checkpoint.dir``.  Where it is unset, a local
+    master gets a scratch folder; any other master an error, because its
+    executors would each write to a disk of their own."""
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
         d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="eventide-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -77,12 +109,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path of any file system that Spark reads exists."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -3,8 +3,9 @@
 Parsing is ``split`` + ``try_cast`` rather than a CSV reader so that the rule
 is explicit and identical for files, sockets and in-table strings:
 
-* a blank (whitespace-only) line is dropped;
-* a line with the wrong number of fields, or a field that does not convert, is
+* a blank (whitespace-only) or null line is dropped;
+* fields beyond the record's are not read (a trailing separator is allowed);
+* a line with too few fields, or a field that does not convert, is
   quarantined: it is returned with ``_corrupt_record`` set to the raw line and
   all typed fields null;
 * ``mode="FAILFAST"`` raises on the first quarantined line instead.
@@ -30,7 +31,7 @@ def parse_lines(df: DataFrame, kind: str = "sensor", line_col: str = "value",
     line = F.col(line_col)
     parts = F.split(line, sep, -1)
     typed = []
-    ok = F.size(parts) == len(fields)
+    ok = F.size(parts) >= len(fields)  # further fields are not read
     for i, (name, dt) in enumerate(fields):
         raw = F.get(parts, i)
         if isinstance(dt, StringType):
@@ -39,7 +40,7 @@ def parse_lines(df: DataFrame, kind: str = "sensor", line_col: str = "value",
             val = raw.try_cast(dt)
             ok = ok & val.isNotNull()
         typed.append((name, val))
-    out = df.filter(F.trim(line) != "")
+    out = df.filter(~line.rlike(r"^\s*$"))
     return out.select(
         *keep,
         *[F.when(ok, v).alias(n) for n, v in typed],
@@ -78,23 +79,33 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False,
 def money_text(col):
     """Two-decimal rendering of a money value through integer cents, exact and
     identical in any engine (avoids engine-specific double printing)."""
-    cents = F.round(col * 100).cast("bigint")
-    return F.concat(F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
+    cents = F.round(F.abs(col) * 100).cast("bigint")
+    sign = F.when((col < 0) & (cents > 0), "-").otherwise("")
+    return F.concat(sign, F.floor(cents / 100).cast("bigint").cast("string"), F.lit("."),
                     F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
+def _field(c):
+    """A field as text; a null is an empty field, so that later ones keep their place."""
+    return F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(""))
+
+
+def instant(c):
+    """ISO instant; a fraction of a second is printed in milliseconds if there is one."""
+    whole = F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss")
+    part = F.date_format(c, "SSS")
+    return F.concat(whole, F.when(part == "000", "").otherwise(F.concat(F.lit("."), part)), F.lit("Z"))
+
+
 def render_lines(df: DataFrame, cols, sep: str = ",") -> DataFrame:
     """SNK-4: records to delimited lines (column ``value``)."""
-    return df.select(F.concat_ws(sep, *[F.col(c).cast("string") if isinstance(c, str) else c
-                                         for c in cols]).alias("value"))
+    return df.select(F.concat_ws(sep, *[_field(c) for c in cols]).alias("value"))
 
 
 def ride_line(df: DataFrame) -> DataFrame:
     """SNK-4 for rides: START/END flag, ISO instants, comma separated."""
     return df.select(F.concat_ws(
-        ",", F.col("ride_id").cast("string"),
-        F.when(F.col("is_start"), "START").otherwise("END"),
-        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
-        *[F.col(c).cast("string") for c in ("start_lon", "start_lat", "end_lon", "end_lat",
+        ",", _field("ride_id"), F.when(F.col("is_start"), "START").otherwise("END"),
+        _field(instant("event_time")), *[_field(c) for c in ("start_lon", "start_lat", "end_lon", "end_lat",
                                              "passenger_cnt", "taxi_id", "driver_id")]
     ).alias("value"))

@@ -43,11 +43,9 @@ def events(spark: SparkSession, sf_dir: str, cols=("event_id", "ts", "user_id",
     return df
 
 
-def streaming_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1):
+def streaming_events(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None):
     """Same rows as :func:`events`, as an unbounded file source."""
-    df = (spark.readStream.schema(load(spark, sf_dir, "events").schema)
-          .option("maxFilesPerTrigger", max_files_per_trigger)
-          .parquet(stream_path(sf_dir, "events")))
+    df = streaming_table(spark, sf_dir, "events", max_files_per_trigger)
     return (df.select("event_id", "ts", "user_id", "event_type", "value")
               .withColumn("ts", F.col("ts").cast("timestamp"))
               .withColumn("t_ms", event_millis("ts")))
@@ -58,20 +56,16 @@ def ntz(col):
     return F.col(col).cast("timestamp_ntz") if isinstance(col, str) else col.cast("timestamp_ntz")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin ``df`` over the cluster's cores when its scan yields fewer
-    partitions than cores (a small table in one row group).  Used before
-    row-expanding work (tokenising, path cells) so it is not done by one task.
-    On large inputs the scan already has many splits and nothing is added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+#: Session setting: files per micro-batch of the registered streaming queries (unset: all there are).
+FILES_PER_TRIGGER = "spark.eventide.maxFilesPerTrigger"
 
 
 def streaming_table(spark: SparkSession, sf_dir: str, name: str,
-                    max_files_per_trigger: int = 1) -> DataFrame:
-    """Any stored table as an unbounded file source."""
-    return (spark.readStream.schema(load(spark, sf_dir, name).schema)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(stream_path(sf_dir, name)))
+                    max_files_per_trigger: int | None = None) -> DataFrame:
+    """Any stored table as an unbounded file source, without a cap on the files of a
+    micro-batch unless one is given here or in ``spark.eventide.maxFilesPerTrigger``."""
+    cap = max_files_per_trigger or spark.conf.get(FILES_PER_TRIGGER, None)
+    reader = spark.readStream.schema(load(spark, sf_dir, name).schema)
+    if cap:
+        reader = reader.option("maxFilesPerTrigger", int(cap))
+    return reader.parquet(stream_path(sf_dir, name))

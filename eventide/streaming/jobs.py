@@ -14,13 +14,14 @@ from ..operators import windows
 from . import processors as PR
 
 
-def hourly_best(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
+def hourly_best(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds",
+                scale: int | None = None) -> DataFrame:
     """J8 streaming: window sums, then the per-window arg-max as a second
     (chained) aggregation on the first one's ``window`` column, which keeps
     its event-time watermark; append mode."""
     h = (events.withWatermark("ts", delay)
                .groupBy(F.window("ts", size).alias("w"), "user_id")
-               .agg(windows.money_sum("value").alias("tips")))
+               .agg(windows.total_of("value", scale).alias("tips")))
     best = F.max(F.struct(F.col("tips").alias("v"), (-F.col("user_id")).alias("nk"),
                           F.col("user_id").alias("k"))).alias("best")
     return h.groupBy("w").agg(best).select(F.col("w.end").alias("window_end"),
@@ -28,9 +29,9 @@ def hourly_best(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds
                                            F.col("best.v").alias("tips"))
 
 
-def window_means(events: DataFrame, size: str, delay: str) -> DataFrame:
+def window_means(events: DataFrame, size: str, delay: str, scale: int | None = None) -> DataFrame:
     """J5 first stage: per-window means, emitted once when the window closes."""
-    return windows.window_mean(events.withWatermark("ts", delay), "user_id", "value", size)
+    return windows.window_mean(events.withWatermark("ts", delay), "user_id", "value", size, scale=scale)
 
 
 def top_n_batch(n: int):
@@ -141,11 +142,12 @@ def running_key_count(events: DataFrame, key: str = "user_id") -> DataFrame:
     return events.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
 
 
-def hourly_sums(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds") -> DataFrame:
+def hourly_sums(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds",
+                scale: int | None = None) -> DataFrame:
     """Per-user window sums, emitted once per closed window (append mode)."""
     return (events.withWatermark("ts", delay)
                   .groupBy(F.window("ts", size).alias("w"), "user_id")
-                  .agg(windows.money_sum("value").alias("tips"))
+                  .agg(windows.total_of("value", scale).alias("tips"))
                   .select(F.col("w.end").alias("window_end"), "user_id", "tips"))
 
 

@@ -24,10 +24,6 @@ def _rows(rows) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
 
-def _cents(values: pd.Series) -> pd.Series:
-    return (values * 100).round().astype("int64")
-
-
 class SmallThenLarge(StatefulProcessor):
     """FRD-1: alert on an amount above ``large`` right after one below
     ``small`` within ``within_ms`` (flag state + clearing timer).
@@ -100,28 +96,29 @@ class SilenceCounter(StatefulProcessor):
 
     def init(self, handle):
         self.handle = handle
-        self.state = handle.getValueState("cnt", "count long, last long")
+        self.state = handle.getValueState("cnt", "count long, last long, emitted boolean")
 
     def handleInputRows(self, key, rows, timerValues):
         pdf = _rows(rows)
         if pdf.empty:
             return
         pdf = pdf.sort_values(["t_ms", "event_id"], kind="stable")
-        base, last = 0, None
+        base, last, emitted = 0, None, False
         if self.state.exists():
-            base, last = self.state.get()
-            self.handle.deleteTimer(int(last) + self.gap + 1)
+            base, last, emitted = self.state.get()
+            if not emitted:
+                self.handle.deleteTimer(int(last) + self.gap + 1)
         t = pdf["t_ms"].to_numpy()
         counts = base + pd.RangeIndex(1, len(t) + 1).to_numpy()
         emit_t, emit_c = [], []
-        if last is not None and t[0] - last > self.gap:
+        if last is not None and not emitted and t[0] - last > self.gap:
             emit_t.append(int(last))
             emit_c.append(int(base))
         gaps = (t[1:] - t[:-1]) > self.gap
         emit_t += [int(x) for x in t[:-1][gaps]]
         emit_c += [int(x) for x in counts[:-1][gaps]]
         new_last = int(max(t.max(), last if last is not None else t.max()))
-        self.state.update((int(counts[-1]), new_last))
+        self.state.update((int(counts[-1]), new_last, False))
         self.handle.registerTimer(new_last + self.gap + 1)
         if emit_t:
             yield pd.DataFrame({"user_id": [key[0]] * len(emit_t), "count": emit_c,
@@ -129,7 +126,10 @@ class SilenceCounter(StatefulProcessor):
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         if self.state.exists():
-            count, last = self.state.get()
+            count, last, emitted = self.state.get()
+            if emitted:
+                return
+            self.state.update((int(count), int(last), True))
             yield pd.DataFrame({"user_id": [key[0]], "count": [int(count)], "last_ms": [int(last)]})
 
     def close(self):
@@ -192,40 +192,40 @@ def long_ride_alert(max_ms: int):
 
 def pseudo_window(size_ms: int, value: str = "value"):
     """AGG-11 as an ``applyInPandasWithState`` function: a hand-built tumbling
-    window per key, sums kept in exact cents for every open window end (the
+    window per key, sums of the raw values kept for every open window end (the
     window's last millisecond), rows at or below the watermark dropped
     (LATE-3).  One timeout per key at the earliest open window; when it fires
     every window the watermark has passed is emitted and the next one armed."""
     def fn(key, pdfs, state):
         user = int(key[0])
-        ends, cents = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
+        ends, sums = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
         wm = state.getCurrentWatermarkMs()
         if state.hasTimedOut:
             done = [i for i, e in enumerate(ends) if e + 1 <= wm]
             if done:
                 yield pd.DataFrame({"user_id": [user] * len(done),
                                     "window_end_ms": [int(ends[i]) for i in done],
-                                    "tips": [cents[i] / 100.0 for i in done]})
+                                    "tips": [sums[i] for i in done]})
             ends = [e for i, e in enumerate(ends) if i not in set(done)]
-            cents = [c for i, c in enumerate(cents) if i not in set(done)]
+            sums = [s for i, s in enumerate(sums) if i not in set(done)]
         else:
             pdf = _rows(pdfs)
             if not pdf.empty:
                 pdf = pdf[pdf["t_ms"] > wm - 1]     # reference: late iff t <= wm - 1
                 w_end = pdf["t_ms"] - pdf["t_ms"] % size_ms + size_ms - 1
-                acc = dict(zip(ends, cents))
-                for e, c in _cents(pdf[value]).groupby(w_end).sum().items():
-                    acc[int(e)] = acc.get(int(e), 0) + int(c)
+                acc = dict(zip(ends, sums))
+                for e, s in pdf[value].astype("float64").groupby(w_end).sum().items():
+                    acc[int(e)] = acc.get(int(e), 0.0) + float(s)
                 ends = sorted(acc)
-                cents = [acc[e] for e in ends]
+                sums = [acc[e] for e in ends]
         if ends:
-            state.update((ends, cents))
+            state.update((ends, sums))
             state.setTimeoutTimestamp(max(min(ends), wm + 1))
         elif state.exists:
             state.remove()
 
     fn.OUTPUT = "user_id long, window_end_ms long, tips double"
-    fn.STATE = "ends array<long>, cents array<long>"
+    fn.STATE = "ends array<long>, sums array<double>"
     return fn
 
 

@@ -8,9 +8,9 @@ DataFrame.  Nothing passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from ..session import scratch_path
+from ..session import path_exists, scratch_path
 
 
 def drain(stream: DataFrame, name: str, output_mode: str = "append",
@@ -23,6 +23,7 @@ def drain(stream: DataFrame, name: str, output_mode: str = "append",
     spark = stream.sparkSession
     base = scratch_path(spark, f"stream-{name}")
     out, ckpt = f"{base}/data", f"{base}/checkpoint"
+    written: list = []
     w = stream.writeStream.queryName(f"{name}_{base[-6:]}").option("checkpointLocation", ckpt)
     if output_mode == "append" and batch_fn is None:
         q = w.format("parquet").option("path", out).outputMode("append") \
@@ -30,17 +31,14 @@ def drain(stream: DataFrame, name: str, output_mode: str = "append",
     else:
         def write_batch(batch_df, batch_id):
             df = batch_fn(batch_df, batch_id) if batch_fn else batch_df
+            written.append(df.schema)
             df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
         q = w.foreachBatch(write_batch).outputMode(output_mode) \
              .trigger(availableNow=True).start()
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    try:
-        return spark.read.parquet(out)
-    except Exception:  # noqa: BLE001 - nothing was emitted
-        return spark.createDataFrame([], stream.schema)
-
-
-def with_batch_id(batch_df: DataFrame, batch_id: int) -> DataFrame:
-    return batch_df.withColumn("batch_id", F.lit(batch_id))
+    schema = written[-1] if written else stream.schema
+    if not path_exists(spark, out):  # no micro-batch ran
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(out)

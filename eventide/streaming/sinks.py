@@ -8,21 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.timecols import window_start_ms
-from ..session import scratch_path
+from ..session import checkpoint_root, path_exists
 
 
 def start(stream: DataFrame, name: str, sink="console", path: str | None = None,
           output_mode: str = "append", trigger: str | None = "10 seconds",
           checkpoint: str | None = None, **options):
-    """Start a long-running query (CKP-1): named, checkpointed (shared
-    storage), periodic trigger.  ``sink`` is a format name (``console``,
+    """Start a long-running query (CKP-1): named, checkpointed below the shared
+    folder under its name, so that a restart goes on where it stopped; periodic
+    trigger (None: all there is, then stop).  ``sink`` is a format name (``console``,
     ``parquet``, ``memory`` for tests) or a ``foreachBatch`` function
     ``fn(batch_df, batch_id)`` supplied by the caller (SNK-2/3)."""
     spark = stream.sparkSession
     w = stream.writeStream.queryName(name).outputMode(output_mode) \
-              .option("checkpointLocation", checkpoint or scratch_path(spark, f"ckpt-{name}"))
-    if trigger:
-        w = w.trigger(processingTime=trigger)
+              .option("checkpointLocation", checkpoint or f"{checkpoint_root(spark)}/streams/{name}")
+    w = w.trigger(processingTime=trigger) if trigger else w.trigger(availableNow=True)
     for k, v in options.items():
         w = w.option(k, v)
     if callable(sink):
@@ -35,9 +35,13 @@ def fan_out(tag_col: str, paths: dict[str, str]) -> Callable:
     """SIDE-1: a ``foreachBatch`` function writing each tag's rows of a
     tagged output to its own path (per batch, overwrite: replay-safe)."""
     def write(batch_df: DataFrame, batch_id: int):
-        for tag, path in paths.items():
-            batch_df.filter(F.col(tag_col) == tag).drop(tag_col) \
-                    .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch_df.persist()  # computed once for all outputs
+        try:
+            for tag, path in paths.items():
+                batch_df.filter(F.col(tag_col) == tag).drop(tag_col) \
+                        .write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        finally:
+            batch_df.unpersist()
     return write
 
 
@@ -53,12 +57,17 @@ def late_splitter(state_path: str, main_path: str, late_path: str, size_ms: int,
         return f"{state_path}/wm_batch={batch_id}"
 
     def read_wm(spark, batch_id: int):
-        try:
-            return spark.read.parquet(wm_file(batch_id)).first()["wm"]
-        except Exception:  # noqa: BLE001 - first batch
-            return None
+        path = wm_file(batch_id)
+        return spark.read.parquet(path).first()["wm"] if path_exists(spark, path) else None
 
     def split(batch_df: DataFrame, batch_id: int):
+        batch_df.persist()  # read by both outputs and the new watermark
+        try:
+            split_once(batch_df, batch_id)
+        finally:
+            batch_df.unpersist()
+
+    def split_once(batch_df: DataFrame, batch_id: int):
         spark = batch_df.sparkSession
         wm = read_wm(spark, batch_id)
         if wm is None and batch_id > 0:
