@@ -19,6 +19,8 @@ from ..operators.scan import keyed_scan, running_count
 from ..sources import lines as L
 from ..sources.rides import fares, ride_events, ride_starts
 from ..sources.tables import events, load
+from ..schemas import LINE_SCHEMAS
+from ..session import scratch_path
 from . import params as P
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -362,3 +364,40 @@ def csv_roundtrip(spark, d):
 def csv_quarantine(spark, d):
     _, bad = L.split_quarantine(L.parse_lines(sensor_lines(spark, d), "sensor"))
     return bad.select(F.col("_corrupt_record").alias("line"))
+
+
+# --------------------------------------------------------------- text files of the four line formats
+def line_records(spark, d, kind):
+    """Rendered lines of one format: sensor and request lines from events, ride lines
+    from START / END events, fare lines from the line items."""
+    sec = F.expr("t_ms div 1000").cast("string")
+    if kind == "sensor":
+        return L.render_lines(events(spark, d), ["user_id", sec, L.money_text(F.col("value"))])
+    if kind == "request":
+        return L.render_lines(events(spark, d), ["user_id", "event_type", sec])
+    if kind == "ride":
+        return L.render_lines(ride_events(spark, d), [
+            "ride_id", F.when(F.col("is_start"), "START").otherwise("END"), F.unix_seconds("event_time")])
+    li = load(spark, d, "lineitem")
+    return L.render_lines(li, ["l_orderkey", L.money_text(F.col("l_extendedprice")),
+                               F.unix_seconds(F.col("l_shipdate").cast("timestamp"))])
+
+
+def line_files(spark, d, kind):
+    """The lines as text files in the shared folder; returns the folder."""
+    path = scratch_path(spark, f"lines-{kind}")
+    line_records(spark, d, kind).write.text(path)
+    return path
+
+
+def _from_files(kind):
+    def run(spark, d):
+        lines = L.read_lines(spark, line_files(spark, d, kind))
+        return L.split_quarantine(L.parse_lines(lines, kind))[0]
+    run.__name__ = f"lines_{kind}"
+    run.__doc__ = f"SRC-1..5: {kind} lines read back from text files as typed records."
+    return run
+
+
+for _kind in LINE_SCHEMAS:
+    query(f"lines_{_kind}")(_from_files(_kind))

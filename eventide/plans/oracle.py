@@ -381,6 +381,16 @@ SELECT f[1] AS id, TRY_CAST(f[2] AS BIGINT) AS timestamp, TRY_CAST(f[3] AS DOUBL
 FROM q WHERE ok"""
 ORACLE["csv_quarantine"] = _LINES + "\nSELECT line FROM q WHERE NOT ok"
 
+ORACLE["lines_sensor"] = ("SELECT CAST(user_id AS VARCHAR) AS id, epoch_us(ts) // 1000000 AS timestamp, "
+                          "round(value, 2) AS temperature FROM events")
+ORACLE["lines_request"] = ("SELECT CAST(user_id AS VARCHAR) AS user_id, event_type AS operation_type, "
+                           "epoch_us(ts) // 1000000 AS timestamp FROM events")
+ORACLE["stream_lines_request"] = ORACLE["lines_request"]
+ORACLE["lines_ride"] = (f"SELECT CAST(ride_id AS VARCHAR) AS ride_id, CASE WHEN is_start THEN 'START' ELSE 'END' END AS type, "
+                        f"epoch_us(event_time) // 1000000 AS timestamp FROM ({RIDES})")
+ORACLE["lines_fare"] = ("SELECT CAST(l_orderkey AS VARCHAR) AS ride_id, CAST(l_extendedprice AS DOUBLE) AS fare, "
+                        "epoch_us(l_shipdate) // 1000000 AS timestamp FROM lineitem")
+
 # ----------------------------------------------------------------- streaming lane
 # At the end of the available input the watermark is max(event time) - delay
 # (in ms); windows closed by it and timers with expiry <= it have fired.

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from ..functions.timecols import ntz_from_ms
 from ..sources.tables import streaming_events, streaming_table
+from ..sources import lines as L
 from ..streaming import jobs
 from ..streaming.runner import drain
 from . import params as P
-from .catalog import ntz, query
+from .catalog import line_files, ntz, query
 
 TOP_DELAY = "2 seconds"
 LONG_RIDE_DELAY = "60 seconds"
@@ -139,3 +140,10 @@ def stream_rolling_best(spark, d):
     out = drain(jobs.hourly_sums(streaming_events(spark, d), P.HOURLY, scale=P.MONEY), "rolling_best",
                 batch_fn=jobs.rolling_best_batch)
     return out.select(ntz("window_end").alias("window_end"), "upto_user_id", "user_id", "tips")
+
+
+@query("stream_lines_request")
+def stream_lines_request(spark, d):
+    """SRC-1 as a stream: request lines from a folder of text files, typed and quarantined."""
+    lines = L.read_lines(spark, line_files(spark, d, "request"), streaming=True)
+    return drain(L.split_quarantine(L.parse_lines(lines, "request"))[0], "lines_request")
