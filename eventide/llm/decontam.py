@@ -25,12 +25,12 @@ def canonical(text: Column) -> Column:
     """Words of a text; slots stand as ``⟨kind:value⟩`` with kind n(umber), u(nit) or p(roper name).
 
     Words with a digit are numbers; unit words after a number are units; capitalised
-    words that do not begin a sentence or line are names.  Other words are in lower
+    words that do not begin a sentence or line are names (words all in capitals are not).  Other words are in lower
     case without punctuation."""
     t = F.regexp_replace(text, "[⟨⟩]", " ")
     t = F.regexp_replace(t, r"(?<!\S)[^\s\d]*+(\d(?:[\d.,:/]*\d)?)(\S*)", "⟨n:$1⟩ $2")
     t = F.regexp_replace(t, rf"(?i)(⟩\s{{1,4}})({UNITS})(?![\p{{L}}\d⟩])", "$1⟨u:$2⟩")
-    t = F.regexp_replace(t, r"(?<=[\p{Ll}⟩,][\x20\t])(\p{Lu}[\p{L}'’-]*+)(?=[\s\p{P}]|$)", "⟨p:$1⟩")
+    t = F.regexp_replace(t, r"(?<=[\p{Ll}⟩,][\x20\t])(\p{Lu}\p{Ll}[\p{L}'’-]*+)(?=[\s\p{P}]|$)", "⟨p:$1⟩")
     t = F.regexp_replace(F.lower(t), r"[^\p{L}\p{M}⟨⟩:\d.\s]+|(?<=\D)[.:]+(?=\s|$)|(?<!⟨[nup]):", "")
     return F.filter(F.split(t, r"[\s.]*\s[\s.]*"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
 

@@ -23,6 +23,7 @@ def words(spark, text):
 def test_canonical_words(spark):
     assert words(spark, "It ran 12kg, then 3.5 Miles. With Anna Smith in Rome!") == [
         "it", "ran", "⟨n:12⟩", "⟨u:kg⟩", "then", "⟨n:3.5⟩", "⟨u:miles⟩", "with", "⟨p:anna⟩", "⟨p:smith⟩", "in", "⟨p:rome⟩"]
+    assert words(spark, "LA MER, ÉTÉ ET Paris, Rome") == ["la", "mer", "été", "et", "paris", "⟨p:rome⟩"]
     assert words(spark, " ... -- | ") == [] and words(spark, "") == []
     assert words(spark, "see: a... b :c ⟨n:1⟩") == ["see", "a", "b", "c", "⟨n:1⟩"]
 
@@ -35,6 +36,8 @@ def test_exact_and_reparameterised(spark):
             (9, "x " * 40000 + ITEM + " y" * 1000)]
     got = run(spark, docs)
     assert set(got) >= {(1, 1), (2, 1), (8, 1), (9, 1)}
+    low = ITEM.replace("Paris", "and")
+    assert set(run(spark, [(1, "NO, " + low.upper() + "!! YES!!")], [(1, low)])) == {(1, 1)}
     assert not {d for d, _ in got} & {3, 5, 6, 7, None}
     assert got[1, 1] == (1.0, 1.0) and got[2, 1][0] == 1.0 and got[2, 1][1] < 0.5
 
