@@ -23,10 +23,7 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
-    docs = docs.select("doc_id", "text", "lang", held.alias("held_out"))
-    model = langid.train(docs.where(~F.col("held_out")))
-    found = langid.identify(docs, model)
-    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, F.lit(False))
+    found = langid.identify(docs.select("doc_id", "text"), langid.train(docs.where(~held)))
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 

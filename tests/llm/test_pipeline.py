@@ -1,6 +1,5 @@
 """The pipeline: order, columns, decisions, odd rows."""
 
-import glob
 import os
 
 import pytest
@@ -74,4 +73,3 @@ def test_registered_once():
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
     assert "pipeline" in __spark_entry__.queries() and set(queries.ORACLE) <= set(queries.QUERIES)
-    assert glob is not None

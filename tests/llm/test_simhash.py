@@ -6,7 +6,6 @@ import random
 import numpy as np
 import pytest
 import xxhash
-from pyspark.sql import functions as F
 
 from eventide.llm import simhash
 
@@ -108,4 +107,3 @@ def test_empty(spark):
 
 def test_ball():
     assert len(simhash.ball(13, 2)) == simhash._ball_size(13, 2) == 1 + 13 + 78
-    assert F is not None
