@@ -27,8 +27,9 @@ from eventide.llm.common import arrow_batches
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
 #: Words whose pieces a worker keeps.
-CACHE = 500_000
-_WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+CACHE = 800_000
+LONG_WORD = 64
+_MARKED = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _cache: dict = {}
 
 
@@ -53,10 +54,21 @@ def read_model(path: str) -> dict:
     return {"kind": int(m.trainer_spec.model_type), "pieces": pieces, "bytes": byte_ids, "names": names, "unk": unk}
 
 
-def marked_words(text: str) -> list[str]:
-    """Words of a text whose pieces never cross their borders: a run of marks and the
-    other characters up to the next mark.  Blanks are marks, and one is put in front."""
-    return _WORDS.findall(MARK + text.replace(" ", MARK)) if text else []
+def _borders(pieces: set[str]) -> re.Pattern:
+    """Pattern of words that no piece crosses.  Beside the marks, borders are set between
+    ASCII characters that are not letters and others; characters that some piece joins to
+    the former are counted among them.  A model that joins many has no such borders."""
+    side = {chr(i) for i in range(128) if not chr(i).isalpha()}
+    pairs = {(a, b) for p in pieces for a, b in zip(p, p[1:]) if MARK not in (a, b)}
+    for _ in range(4):
+        joined = {c for a, b in pairs if (a in side) != (b in side) for c in (a, b)} - side
+        if not joined:
+            plain = "".join(map(re.escape, sorted(side)))
+            return re.compile(f"{MARK}*(?:[{plain}]+|[^{plain}{MARK}]+)|{MARK}+")
+        if len(joined) > 64:
+            break
+        side |= joined
+    return _MARKED
 
 
 class Encoder:
@@ -70,8 +82,9 @@ class Encoder:
         self.longest: dict[str, int] = {}
         for p in self.usable:
             self.longest[p[-2:]] = max(len(p), self.longest.get(p[-2:], 0))
-        self.stable: dict[tuple[str, str], bool] = {}
-        self.ids: dict[str, list[int]] = {}
+        self.stable: dict[str, dict[str, bool]] = {}
+        self.borders = _borders(self.usable)
+        self.ids: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
@@ -96,16 +109,18 @@ class Encoder:
             if piece in self.usable:
                 if k == n:
                     return piece
-                pair = (forward[n - k], piece)
-                known = self.stable.get(pair)
+                after = self.stable.get(forward[n - k])
+                if after is None:
+                    after = self.stable[forward[n - k]] = {}
+                known = after.get(piece)
                 if known is None:
-                    known = self.stable[pair] = self.merge(pair[0] + piece) == [*pair]
+                    known = after[piece] = self.merge(forward[n - k] + piece) == [forward[n - k], piece]
                 if known:
                     return piece
             k -= 1
         return word[n - 1:n]
 
-    def _best(self, word: str, n: int, forward: list[str], scores: list[float]) -> tuple[str, float]:
+    def _best(self, word: str, n: int, scores: list[float]) -> tuple[str, float]:
         """The last piece of the best segmentation of a prefix, and its score; of equal
         ones the longest piece."""
         last, best = word[n - 1:n], None
@@ -119,44 +134,52 @@ class Encoder:
                 last, best = piece, s
         return last, best
 
-    def piece_ids(self, piece: str) -> list[int]:
-        if piece not in self.ids:
-            if piece in self.pieces:
-                return self.ids.setdefault(piece, [self.pieces[piece][0]])
-            data = piece.encode()
-            return [self.bytes[b] for b in data] if self.bytes else [self.unk]
-        return self.ids[piece]
+    def piece_ids(self, piece: str) -> bytes:
+        """Ids of a piece as 32-bit integers; an unknown character is its bytes."""
+        if piece in self.pieces:
+            return self.ids.setdefault(piece, array("i", [self.pieces[piece][0]]).tobytes())
+        return array("i", [self.bytes[b] for b in piece.encode()] if self.bytes else [self.unk]).tobytes()
 
     def encode_words(self, words) -> dict[str, bytes]:
-        """Ids (as 32-bit integers) of distinct words: a depth-first walk over their trie
-        in sorted order."""
-        if len(self.stable) > CACHE:
-            self.stable.clear()
-        out, forward, scores, last = {}, [""], [0.0], ""
+        """Ids of distinct words: a depth-first walk over their trie in sorted order.  The
+        stack holds the last piece, the score and the ids of every prefix on the path."""
+        out, forward, scores, ids, last = {}, [""], [0.0], [b""], ""
+        get = self.ids.get
         for word in sorted(words):
             shared = 0
             for a, b in zip(last, word):
                 if a != b:
                     break
                 shared += 1
-            del forward[shared + 1:], scores[shared + 1:]
+            del forward[shared + 1:], scores[shared + 1:], ids[shared + 1:]
             for n in range(shared + 1, len(word) + 1):
                 if self.kind == BPE:
-                    forward.append(self._last_stable(word, n, forward))
+                    piece = self._last_stable(word, n, forward)
                 else:
-                    piece, s = self._best(word, n, forward, scores)
-                    forward.append(piece)
+                    piece, s = self._best(word, n, scores)
                     scores.append(s)
-            parts, n = [], len(word)
-            while n:
-                parts.append(forward[n])
-                n -= len(forward[n])
-            out[word] = array("i", [i for p in reversed(parts) for i in self.piece_ids(p)]).tobytes()
+                forward.append(piece)
+                # long words keep their ids until the end: copying every prefix would be quadratic
+                ids.append(ids[n - len(piece)] + (get(piece) or self.piece_ids(piece)) if n <= LONG_WORD else None)
+            out[word] = ids[-1] if len(word) <= LONG_WORD else self._read_back(word, forward, ids)
             last = word
         return out
 
+    def _read_back(self, word: str, forward: list[str], ids: list[bytes]) -> bytes:
+        parts, n = [], len(word)
+        while n > LONG_WORD:
+            parts.append(self.piece_ids(forward[n]))
+            n -= len(forward[n])
+        return ids[n] + b"".join(reversed(parts))
+
+    def split(self, text: str) -> list[str]:
+        """Words of a text whose pieces never cross their borders: a blank belongs to the
+        word after it, one is put in front, and if no piece of the model joins letters
+        and other characters, borders are there too."""
+        return self.borders.findall(MARK + text.replace(" ", MARK)) if text else []
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [marked_words(t) for t in texts]
+        split = [self.split(t) for t in texts]
         distinct = {w for ws in split for w in ws}
         if len(self.words) > CACHE:
             self.words.clear()
