@@ -33,6 +33,7 @@ CACHE = 300_000
 # Odd multipliers of the min-hash functions.
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 _WORD = re.compile(r"[^\W\d_]+")
+_BUCKETS = 1 << 20
 _cache: dict = {}
 
 
@@ -65,39 +66,49 @@ def _sketches(words: list[str]) -> list[tuple[int, int]]:
     return [(k, int((grams * np.uint64(m) ^ (grams >> np.uint64(29))).min())) for k, m in enumerate(_ODD)]
 
 
-def distinct_texts(rows: list[tuple[str, int]]) -> list[tuple[Counter, int, int]]:
-    """(features, words, label) without near copies: rare words of a copied text would
-    look like evidence.  Texts that share a min-hash of word triples are copies."""
+def distinct_texts(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Texts with words, without near copies: rare words of a copied text would look
+    like evidence.  Texts that share a min-hash of word triples are copies."""
     seen, kept = set(), []
     for text, label in rows:
         words = words_of(text)
         if not words:
             continue
         marks = _sketches(words)
-        if seen.intersection(marks):
-            continue
+        if not seen.intersection(marks):
+            kept.append((text, label))
         seen.update(marks)
-        kept.append((features(words), len(words), label))
     return kept
 
 
-def evidence(rows: list[tuple[Counter, int, int]]) -> dict[str, float]:
-    """z value of every frequent feature: its share of toxic texts against clean ones."""
-    docs = [Counter(), Counter()]
-    for x, _, y in rows:
-        docs[y].update(x.keys())
-    bad = sum(y for _, _, y in rows)
+def evidence(rows: list[tuple[str, int]]) -> dict[str, float]:
+    """z value of every frequent feature: its share of toxic texts against clean ones.
+
+    Features are made anew in each pass and only counts are kept.  The first pass counts
+    hash buckets; features of buckets that are too rare cannot be frequent."""
+    buckets = np.zeros(_BUCKETS, np.int32)
+    for text, _ in rows:
+        buckets[list({hash(f) % _BUCKETS for f in features(words_of(text))})] += 1
+    often = buckets >= MIN_DOCS
+    texts, toxic = Counter(), Counter()
+    for text, y in rows:
+        found = [f for f in features(words_of(text)) if often[hash(f) % _BUCKETS]]
+        texts.update(found)
+        if y:
+            toxic.update(found)
+    bad = sum(y for _, y in rows)
     good, out = len(rows) - bad, {}
-    for f, n in (docs[0] + docs[1]).items():
+    for f, n in texts.items():
         if n >= MIN_DOCS and bad and good:
             p = n / len(rows)
-            out[f] = (docs[1][f] / bad - docs[0][f] / good) / math.sqrt(p * (1 - p) * (1 / bad + 1 / good) + 1e-12)
+            out[f] = (toxic[f] / bad - (n - toxic[f]) / good) / math.sqrt(p * (1 - p) * (1 / bad + 1 / good) + 1e-12)
     return out
 
 
-def grade(rows: list[tuple[Counter, int, int]], z: dict[str, float]) -> np.ndarray:
+def grade(rows: list[tuple[dict, int, int]], z: dict[str, float]) -> np.ndarray:
     """Ordered grades from binary labels: 0 for clean texts; toxic ones are split into
-    equal thirds by the share of their words that are strong evidence."""
+    equal thirds by the share of their words that are strong evidence.  ``rows`` are
+    (occurrences of the chosen features, words, label)."""
     marked = {f for f, v in z.items() if v >= 2 * SELECT_Z and not f.endswith("*")}
     score = np.array([sum(n for f, n in x.items() if f in marked) / w if y else -1 for x, w, y in rows])
     if not (score >= 0).any():
@@ -109,16 +120,21 @@ def grade(rows: list[tuple[Counter, int, int]], z: dict[str, float]) -> np.ndarr
 def fit(texts: list[tuple[str, int]]) -> dict:
     """{weights: feature -> (of its count, of its rate), cuts: c_0 .. c_K-1} by full-batch
     Adam on the regularised log-likelihood."""
-    rows = distinct_texts(sorted(texts))
-    z = evidence(rows)
+    kept = distinct_texts(sorted(texts))
+    z = evidence(kept)
+    strong = sorted((f for f, v in z.items() if abs(v) >= SELECT_Z), key=lambda f: (-abs(z[f]), f))[:SELECT_MOST]
+    z = {f: z[f] for f in strong}
+    vocab = {f: 2 * i for i, f in enumerate(strong)}
+    rows = []
+    for text, y in kept:
+        words = words_of(text)
+        rows.append(({f: n for f, n in features(words).items() if f in vocab}, len(words), y))
     grades = grade(rows, z)
     if len(rows) < 2 or not grades.any():
         return {"weights": {}, "cuts": [20.0] * GRADES}
-    strong = sorted((f for f, v in z.items() if abs(v) >= SELECT_Z), key=lambda f: (-abs(z[f]), f))[:SELECT_MOST]
-    vocab = {f: 2 * i for i, f in enumerate(strong)}
     r, c, v = [], [], []
     for i, (x, words, _) in enumerate(rows):
-        for f in x.keys() & vocab.keys():
+        for f in sorted(x):
             for j, value in enumerate(values(x[f], words)):
                 r.append(i)
                 c.append(vocab[f] + j)
