@@ -12,10 +12,10 @@ without labelled evidence are allowed.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
+from eventide.llm.common import cut
+
 #: Children from which a node is generalised; levels of the tree (the rest of a path is one segment).
 FANOUT, LEVELS = 24, 4
 #: Pseudo-counts towards an even prior, share of bad labels that rejects, z of the merge test.
@@ -53,7 +53,8 @@ def form(path: Column) -> Column:
 def template_tree(urls: DataFrame) -> DataFrame:
     """(host, segments, template, bad, good, merged_bad, merged_good) from rows (host, segments,
     bad, good): one row per host and form."""
-    tree = urls.groupBy("host", "segments").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    # a row per host and form, read by every level: cut here, so that the URLs are read once
+    tree = cut(urls.groupBy("host", "segments").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")))
     tree = tree.withColumn("prefix", F.lit(""))
     for level in range(LEVELS):
         seg = F.get("segments", F.lit(level))
@@ -64,8 +65,8 @@ def template_tree(urls: DataFrame) -> DataFrame:
         tree = tree.join(wide, ["host", "prefix"], "left").withColumn(
             "prefix", F.when(F.col("seg").isNull(), F.col("prefix")).otherwise(
                 F.concat("prefix", F.lit("/"), F.when(F.col("wide"), F.lit("*")).otherwise(F.col("seg"))))).drop("wide")
-    tree = tree.withColumnRenamed("prefix", "template").drop("seg").withColumn(
-        "parent", F.regexp_replace("template", r"/[^/]*$", ""))
+    tree = cut(tree.withColumnRenamed("prefix", "template").drop("seg").withColumn(
+        "parent", F.regexp_replace("template", r"/[^/]*$", "")))
     branch = tree.groupBy("host", "parent", "template").agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
     pooled = branch.groupBy("host", "parent").agg(F.sum("b").alias("pb"), F.sum("g").alias("pg"))
     n, rate = F.col("b") + F.col("g"), F.try_divide(F.col("pb"), F.col("pb") + F.col("pg"))
