@@ -27,6 +27,8 @@ UNKNOWN = "und"
 CACHE, RUN_WORDS = 300_000, 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 _cache: dict = {}
+#: First letters of feature names: prefix, suffix, word, length, two and three letters.
+KINDS = "pswl23"
 
 
 def words_of(text: str) -> list[str]:
@@ -39,7 +41,7 @@ def word_features(w: str) -> list[str]:
     out = ["p" + w[:k] for k in (1, 2, 3)] + ["s" + w[-k:] for k in (1, 2, 3)] + ["w" + w, f"l{min(len(w), 12)}"]
     out += ["2" + p[i:i + 2] for i in range(len(p) - 1)]
     out += ["3" + p[i:i + 3] for i in range(len(p) - 2)]
-    return list(dict.fromkeys(out))
+    return out
 
 
 def forward_backward(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -159,6 +161,16 @@ class _Scorer:
 
     def __init__(self, model):
         self.model = model
+        # row 0 of the weights is that of unknown features; a table for each kind of feature
+        self.weights = np.vstack([np.zeros((1, len(model["langs"]))), model["weights"]])
+        self.tables: list[dict[str, int]] = [{} for _ in KINDS]
+        flags = {}
+        for f, i in model["features"].items():
+            if f[0] == "x":
+                flags[int(f[1:])] = i + 1
+            else:
+                self.tables[KINDS.index(f[0])][f[1:]] = i + 1
+        self.lexicon = {w: [flags[k] for k in ks if k in flags] for w, ks in model["lexicon"].items()}
         self.clear()
 
     def clear(self):
@@ -166,17 +178,30 @@ class _Scorer:
         self.rows = np.empty((1 << 12, len(self.model["langs"])))
 
     def add(self, words):
-        get, w = self.model["features"].get, self.model["weights"]
+        """Scores of new words: the sum of the weights of their features (row 0: no feature)."""
         if len(self.index) > CACHE:
             self.clear()
-        for word in words:
-            if word not in self.index:
-                at = len(self.index)
-                if at == len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.empty_like(self.rows)])
-                fs = [i for f in _all_features(word, self.model["lexicon"]) if (i := get(f)) is not None]
-                self.rows[at] = w[fs].sum(0) if fs else 0
-                self.index[word] = at
+        new = list(dict.fromkeys(w for w in words if w not in self.index))
+        if not new:
+            return
+        flat, sizes = [], []
+        prefix, suffix, word, length, two, three = (t.get for t in self.tables)
+        for w in new:
+            p = f"^{w[:40]}$"
+            n = len(p)
+            row = [prefix(w[:1], 0), prefix(w[:2], 0), prefix(w[:3], 0), suffix(w[-1:], 0), suffix(w[-2:], 0), suffix(w[-3:], 0),
+                   word(w, 0), length(str(min(len(w), 12)), 0), *self.lexicon.get(w, ())]
+            row += [two(p[i:i + 2], 0) for i in range(n - 1)]
+            row += [three(p[i:i + 3], 0) for i in range(n - 2)]
+            flat += row
+            sizes.append(len(row))
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        scores = np.add.reduceat(self.weights[np.array(flat)], starts, axis=0)
+        at = len(self.index)
+        if at + len(new) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty((max(len(self.rows), len(new)), self.rows.shape[1]))])
+        self.rows[at:at + len(new)] = scores
+        self.index.update(zip(new, range(at, at + len(new))))
 
     def posteriors(self, docs: list[list[str]]):
         """For each text (with words): (posteriors of its words (n, K))."""

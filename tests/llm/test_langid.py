@@ -49,6 +49,17 @@ def test_held_out_and_code_switching(model):
     assert np.diag(model["trans"]).min() > model["trans"][~np.eye(3, dtype=bool)].max()
 
 
+def test_word_scores_are_sums_of_feature_weights(model):
+    rnd = random.Random(4)
+    words = ["a", "the", "x" * 60, "undmit", "éß", *text(rnd, "bb", 50).split()]
+    scorer = langid._Scorer(model)
+    scorer.add(words)
+    scorer.add(["und", "a"])
+    for w in [*words, "und"]:
+        rows = [model["features"][f] for f in langid._all_features(w, model["lexicon"]) if f in model["features"]]
+        assert np.allclose(scorer.rows[scorer.index[w]], model["weights"][rows].sum(0))
+
+
 def test_frames(spark, model):
     rnd = random.Random(3)
     rows = [(1, text(rnd, "aa", 40)), (2, None), (3, ""), (4, "123 ... 😀"), (5, text(rnd, "bb", 20000)), (None, text(rnd, "cc", 5)), (1, text(rnd, "bb", 3)),
