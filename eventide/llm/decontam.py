@@ -1,20 +1,22 @@
 """Benchmark decontamination by template canonicalisation.
 
 Numbers, names and units become typed placeholders, so that a question with
-other parameters has the same template.  Windows of ``WINDOW`` template words of
-the documents meet those of the benchmark in a hash join.  Where a document
-covers ``COVER`` or more of an item's windows, the aligned slots are compared: within
+other parameters has the same template.  Windows of ``WINDOW`` words of the
+documents meet those of the benchmark in a hash join, as templates and word for word.
+Templates with fewer than ``PLAIN`` plain words count only beside a better window of
+the same alignment.  Where a document can
+cover ``COVER`` or more of an item's windows, the aligned slots are compared: within
 one alignment each benchmark value must stand for one value in the document.
 All of it is DataFrame functions.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.llm.common import broadcast_if, cut, let
 
-#: Words of a window, share of an item's windows that condemns, least plain words in a window.
+#: Words of a window, share of an item's windows that condemns, least plain words of a template that is evidence alone.
 WINDOW, COVER, PLAIN = 5, 0.8, 3
 # Unit words that follow a number.
 UNITS = ("kg|g|mg|km|m|cm|mm|mi|miles?|feet|ft|inches|inch|in|l|ml|liters?|litres?|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|"
@@ -40,6 +42,11 @@ def template(words: Column) -> Column:
     return F.transform(words, lambda w: F.when(w.startswith("⟨"), F.concat(F.substring(w, 1, 2), F.lit("⟩"))).otherwise(w))
 
 
+def literal(words: Column) -> Column:
+    """The same words with slots as their values."""
+    return F.transform(words, lambda w: F.when(w.startswith("⟨"), F.regexp_replace(w, "⟨[nup]:|⟩", "")).otherwise(w))
+
+
 def _windows(words: Column, size: int) -> Column:
     """Hashes of all windows; a shorter text is one window; none has none."""
     def hashes(ws):
@@ -47,7 +54,18 @@ def _windows(words: Column, size: int) -> Column:
             *[F.get(ws, i + j) for j in range(size)]))
         return F.when(F.size(ws) > 0, joined).otherwise(F.array().cast("array<bigint>"))
 
-    return let(words, hashes)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), hashes)
+
+
+def _views(words: Column, size: int) -> list[Column]:
+    """Hashes of all windows as templates and word for word (empty where that is the same)."""
+    slots = F.exists(words, lambda w: w.startswith("⟨"))
+    return [_windows(template(words), size),
+            F.when(slots, _windows(literal(words), size)).otherwise(F.array().cast("array<bigint>"))]
+
+
+def _placed(hashes: Column, size: int) -> Column:
+    return F.transform(hashes, lambda h, i: F.struct(i.alias("pos"), F.lit(size).alias("k"), h.alias("h")))
 
 
 def _named(df: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
@@ -56,15 +74,20 @@ def _named(df: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW,
                       plain: int = PLAIN) -> DataFrame:
-    """(item, at, h, values, n): every window of every item with its slots, and the item's
-    windows.  Windows with fewer than ``plain`` words outside slots say nothing and do not
-    count (those of texts shorter than a window always count)."""
-    b = _named(benchmark, id_col, text_col, "item").withColumn("t", template(F.col("words")))
-    b = b.select("item", "words", "t", F.posexplode(_windows(F.col("t"), size)).alias("at", "h"))
-    piece = F.slice("t", F.col("at") + 1, F.lit(size))
-    solid = F.size(F.filter(piece, lambda w: ~w.startswith("⟨"))) >= F.least(F.lit(plain), F.size("t"))
-    b = b.where(solid).select("item", "at", "h", F.slice("words", F.col("at") + 1, F.lit(size)).alias("values"))
-    count = b.groupBy("item").agg(F.countDistinct("at").alias("n"))
+    """(item, at, h, strong, firm, values, n, n_firm): every window of every item as template
+    and word for word, with its words.  Templates with fewer than ``plain`` words outside slots
+    are not ``strong``; ``firm`` windows have a strong template.  n and n_firm count an item's
+    windows.  Items of numbers and units alone have none."""
+    b = _named(benchmark, id_col, text_col, "item").where(F.exists("words", lambda w: ~w.rlike("^⟨[nu]:")))
+    b = b.select("item", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))).alias("at"))
+    b = b.select("item", "at", F.slice("words", F.col("at") + 1, F.lit(size)).alias("values"))
+    firm = F.size(F.filter("values", lambda w: ~w.startswith("⟨"))) >= F.least(F.lit(plain), F.size("values"))
+    b = b.withColumn("firm", firm)
+    as_template, as_words = (F.get(_windows(v(F.col("values")), size), F.lit(0)) for v in (template, literal))
+    keys = F.array(F.struct(as_template.alias("h"), F.col("firm").alias("strong")), F.struct(as_words.alias("h"), F.lit(True).alias("strong")))
+    b = b.select("item", "at", "firm", "values", F.explode(keys).alias("key")).groupBy("item", "at", "firm", "values", "key.h").agg(
+        F.max("key.strong").alias("strong"))
+    count = b.groupBy("item").agg(F.countDistinct("at").alias("n"), F.countDistinct(F.when(F.col("firm"), F.col("at"))).alias("n_firm"))
     return b.join(count, "item")
 
 
@@ -75,39 +98,48 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     are equal too.
 
     Coverage counts an item's distinct windows; of windows aligned at one offset only
-    those with consistent slots count.  Null and empty texts match nothing; a repeated
+    those with consistent slots count.  Items shorter than a window are found by windows of
+    their own length; those of fewer than ``PLAIN`` words only as whole texts.  Null and empty texts match nothing; a repeated
     document or item gives its pairs once; rows with a null id are left out (they
     cannot be named).  Other columns are not read."""
     bench = cut(benchmark_windows(benchmark.where(F.col(item_col).isNotNull()).select(item_col, item_text).distinct(),
                                   item_col, item_text, size))
-    hashes = bench.groupBy("h").agg(F.count("*").alias("k"))
-    n_hashes, n_rows = hashes.count(), bench.count()
+    hashes = bench.groupBy("h").agg(F.max("strong").alias("strong"))
+    n_hashes = hashes.count()
+    # lengths of the items shorter than a window: fewer than ``size`` rows
+    short = sorted(r["k"] for r in bench.select(F.size("values").alias("k")).distinct().collect() if PLAIN <= r["k"] < size)
+    sizes = [size, *short]
     docs = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
 
     words = _named(docs, id_col, text_col, "doc")
-    seen = words.select("doc", F.explode(F.array_distinct(_windows(template(F.col("words")), size))).alias("h"))
-    hit = seen.join(broadcast_if(hashes.select("h"), n_hashes, 16), "h").distinct()
-    need = bench.groupBy("item").agg(F.max("n").alias("n"))
-    pairs = (hit.join(bench.select("h", "item", "at").distinct(), "h").groupBy("doc", "item")
-             .agg(F.countDistinct("at").alias("c")).join(need, "item").where(F.col("c") >= cover * F.col("n")))
+    every = F.concat(*[v for k in sizes for v in _views(F.col("words"), k)])
+    seen = words.select("doc", F.explode(F.array_distinct(every)).alias("h"))
+    hit = seen.join(broadcast_if(hashes.where("strong").select("h"), n_hashes, 16), "h").distinct()
+    need = bench.groupBy("item").agg(F.max("n").alias("n"), F.max("n_firm").alias("n_firm"))
+    # Windows that are not firm may still count beside others.
+    pairs = (hit.join(bench.where("strong").select("h", "item", "at", "firm").distinct(), "h").groupBy("doc", "item")
+             .agg(F.countDistinct(F.when(F.col("firm"), F.col("at"))).alias("c")).join(need, "item")
+             .where(F.col("c") + F.col("n") - F.col("n_firm") >= cover * F.col("n")))
     pairs = cut(pairs.select("doc", "item", "n"))
     # Only the candidates' texts are read again, for positions and slots.
     n_docs = pairs.select("doc").distinct().count()
     near = broadcast_if(pairs.select(F.col("doc").alias("d")).distinct(), n_docs, 24)
     again = _named(docs.join(near, docs[id_col] == F.col("d"), "left_semi"), id_col, text_col, "doc")
-    again = again.withColumn("t", template(F.col("words")))
-    again = again.select("doc", "words", F.posexplode(_windows(F.col("t"), size)).alias("pos", "h"))
+    placed = F.concat(*[_placed(v, k) for k in sizes for v in _views(F.col("words"), k)])
+    again = again.select("doc", "words", F.explode(placed).alias("w")).select("doc", "words", "w.*")
     again = again.join(broadcast_if(hashes.select("h"), n_hashes, 16), "h").select(
-        "doc", "pos", "h", F.slice("words", F.col("pos") + 1, F.lit(size)).alias("found"))
-    aligned = (again.join(broadcast_if(bench.select("item", "at", "h", "values"), n_rows, 400), "h")
-               .join(pairs, ["doc", "item"])
-               .select("doc", "item", "n", "at", (F.col("pos") - F.col("at")).alias("shift"), "values", "found"))
+        "doc", "pos", "h", F.slice("words", F.col("pos") + 1, F.col("k")).alias("found"))
+    aligned = (again.join(pairs.join(bench.select("item", "at", "h", "strong", "values"), "item"), ["doc", "h"])
+               .groupBy("doc", "item", "n", "at", (F.col("pos") - F.col("at")).alias("shift"), "values", "found")
+               .agg(F.max("strong").alias("strong")))
     slots = F.filter(F.arrays_zip(F.col("values").alias("b"), F.col("found").alias("d")), lambda z: z["b"].startswith("⟨"))
     # A benchmark value that stands for two values of the document breaks its alignment.
     pairings = (aligned.select("doc", "item", "shift", F.explode(slots).alias("s")).groupBy("doc", "item", "shift", "s.b")
                 .agg(F.min("s.d").alias("lo"), F.max("s.d").alias("hi")))
     broken = pairings.where(F.col("lo") != F.col("hi")).select("doc", "item", "shift").distinct()
     sound = aligned.join(broken, ["doc", "item", "shift"], "left_anti")
+    # A group is one item at one place, so it has at most the item's windows.
+    sound = sound.withColumn("strong", F.max("strong").over(Window.partitionBy("doc", "item", "shift"))).where("strong")
     return (sound.groupBy("doc", "item", "at").agg(F.max("n").alias("n"), F.max(
                 (F.col("values") == F.col("found")).cast("int")).alias("same"))
             .groupBy("doc", "item").agg(F.max("n").alias("n"), F.count("*").alias("c"), F.sum("same").alias("same"))

@@ -56,6 +56,17 @@ def test_items_of_all_kinds(spark):
     assert set(got) == {(1, 1), (1, 2), (3, 5)}
 
 
+def test_items_rich_in_slots_and_short_items(spark):
+    """Few plain words: found word for word; with other values only beside a better window."""
+    bench = [(1, "Compute 12 + 45 - 3 * 7 = 9 now"), (2, "What is 12 / 4?"), (3, "Name the capital"),
+             (4, "Maria Lopez met John Smith in Paris, France on 3 May 1999 at 10 am")]
+    docs = [(i, f"some words before. {t} And some behind.") for i, t in bench]
+    docs += [(11, docs[0][1].replace("12", "13")), (12, docs[1][1].replace("12", "13")), (13, "the capital has a name"), (14, "what is 5 / 6 and 7 / 8 and 12 / 4")]
+    docs += [(16, "Compute 1 + 4 - 33 * 77 = 99 now")]
+    docs += [(15, docs[3][1].replace("1999", "2001").replace("Paris", "Rome"))]
+    assert set(run(spark, docs, bench)) == {(1, 1), (2, 2), (3, 3), (4, 4), (11, 1), (15, 4)}
+
+
 def test_against_plain_windows(spark):
     """Lower-case words without slots: cover is the share of an item's distinct five-word windows."""
     rnd = random.Random(1)
