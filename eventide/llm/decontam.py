@@ -28,22 +28,27 @@ def canonical(text: Column) -> Column:
 
     Words with a digit are numbers; unit words after a number are units; capitalised
     words that do not begin a sentence or line are names (words all in capitals are not).  Other words are in lower
-    case without punctuation."""
+    case (``ß`` as ``ss``, ``ς`` as ``σ``, for their upper case) without punctuation."""
     t = F.regexp_replace(text, "[⟨⟩]", " ")
     t = F.regexp_replace(t, r"(?<!\S)[^\s\d]*+(\d(?:[\d.,:/]*\d)?)(\S*)", "⟨n:$1⟩ $2")
     t = F.regexp_replace(t, rf"(?i)(⟩\s{{1,4}})({UNITS})(?![\p{{L}}\d⟩])", "$1⟨u:$2⟩")
     t = F.regexp_replace(t, r"(?<=[\p{Ll}⟩,][\x20\t])(\p{Lu}\p{Ll}[\p{L}'’-]*+)(?=[\s\p{P}]|$)", "⟨p:$1⟩")
-    t = F.regexp_replace(F.lower(t), r"[^\p{L}\p{M}⟨⟩:\d.\s]+|(?<=\D)[.:]+(?=\s|$)|(?<!⟨[nup]):", "")
+    t = F.regexp_replace(F.replace(F.translate(F.lower(t), "ς", "σ"), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{M}⟨⟩:\d.\s]+|(?<=\D)[.:]+(?=\s|$)|(?<!⟨[nup]):", "")
     return F.filter(F.split(t, r"[\s.]*\s[\s.]*"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
 
 
-def template(words: Column) -> Column:
-    """The same words with empty slots."""
-    return F.transform(words, lambda w: F.when(w.startswith("⟨"), F.concat(F.substring(w, 1, 2), F.lit("⟩"))).otherwise(w))
+def template(words: Column, kinds: str = "nup") -> Column:
+    """The same words with empty slots of some kinds, the other slots as their values."""
+    def shown(w):
+        value = F.regexp_replace(w, "⟨[nup]:|⟩", "")
+        return F.when(w.startswith("⟨"), F.when(F.substring(w, 2, 1).isin(*kinds), F.concat(F.substring(w, 1, 2), F.lit("⟩")))
+                      .otherwise(value)).otherwise(w)
+
+    return F.transform(words, shown)
 
 
 def literal(words: Column) -> Column:
-    """The same words with slots as their values."""
+    """The same words with slots as their values: the case of a name does not show."""
     return F.transform(words, lambda w: F.when(w.startswith("⟨"), F.regexp_replace(w, "⟨[nup]:|⟩", "")).otherwise(w))
 
 
@@ -58,10 +63,13 @@ def _windows(words: Column, size: int) -> Column:
 
 
 def _views(words: Column, size: int) -> list[Column]:
-    """Hashes of all windows as templates and word for word (empty where that is the same)."""
-    slots = F.exists(words, lambda w: w.startswith("⟨"))
+    """Hashes of all windows as templates, as templates with the names as words, and word for
+    word (empty where that is the same)."""
+    none = F.array().cast("array<bigint>")
+    names, numbers = F.exists(words, lambda w: w.startswith("⟨p")), F.exists(words, lambda w: w.rlike("^⟨[nu]"))
     return [_windows(template(words), size),
-            F.when(slots, _windows(literal(words), size)).otherwise(F.array().cast("array<bigint>"))]
+            F.when(names & numbers, _windows(template(words, "nu"), size)).otherwise(none),
+            F.when(names | numbers, _windows(literal(words), size)).otherwise(none)]
 
 
 def _placed(hashes: Column, size: int) -> Column:
@@ -74,17 +82,21 @@ def _named(df: DataFrame, id_col: str, text_col: str, out: str) -> DataFrame:
 
 def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW,
                       plain: int = PLAIN) -> DataFrame:
-    """(item, at, h, strong, firm, values, n, n_firm): every window of every item as template
-    and word for word, with its words.  Templates with fewer than ``plain`` words outside slots
+    """(item, at, h, strong, firm, values, n, n_firm): every window of every item as template,
+    with the names as words and word for word, with its words.  Templates with fewer than ``plain`` words outside slots
     are not ``strong``; ``firm`` windows have a strong template.  n and n_firm count an item's
     windows.  Items of numbers and units alone have none."""
     b = _named(benchmark, id_col, text_col, "item").where(F.exists("words", lambda w: ~w.rlike("^⟨[nu]:")))
     b = b.select("item", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))).alias("at"))
     b = b.select("item", "at", F.slice("words", F.col("at") + 1, F.lit(size)).alias("values"))
-    firm = F.size(F.filter("values", lambda w: ~w.startswith("⟨"))) >= F.least(F.lit(plain), F.size("values"))
-    b = b.withColumn("firm", firm)
-    as_template, as_words = (F.get(_windows(v(F.col("values")), size), F.lit(0)) for v in (template, literal))
-    keys = F.array(F.struct(as_template.alias("h"), F.col("firm").alias("strong")), F.struct(as_words.alias("h"), F.lit(True).alias("strong")))
+    def key(shown, slots):
+        rest = F.size(F.filter("values", lambda w: ~w.rlike(slots)))
+        strong = rest >= F.least(F.lit(plain), F.size("values")) if slots else F.lit(True)
+        return F.struct(F.get(_windows(shown, size), F.lit(0)).alias("h"), strong.alias("strong"))
+
+    values = F.col("values")
+    keys = F.array(key(template(values), "^⟨"), key(template(values, "nu"), "^⟨[nu]"), key(literal(values), ""))
+    b = b.withColumn("firm", F.size(F.filter("values", lambda w: ~w.startswith("⟨"))) >= F.least(F.lit(plain), F.size("values")))
     b = b.select("item", "at", "firm", "values", F.explode(keys).alias("key")).groupBy("item", "at", "firm", "values", "key.h").agg(
         F.max("key.strong").alias("strong"))
     count = b.groupBy("item").agg(F.countDistinct("at").alias("n"), F.countDistinct(F.when(F.col("firm"), F.col("at"))).alias("n_firm"))
@@ -98,7 +110,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     are equal too.
 
     Coverage counts an item's distinct windows; of windows aligned at one offset only
-    those with consistent slots count.  Items shorter than a window are found by windows of
+    those with consistent slots count.  Names that the document writes in
+    another case are compared as words.  Items shorter than a window are found by windows of
     their own length; those of fewer than ``PLAIN`` words only as whole texts.  Null and empty texts match nothing; a repeated
     document or item gives its pairs once; rows with a null id are left out (they
     cannot be named).  Other columns are not read."""
@@ -132,16 +145,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     aligned = (again.join(pairs.join(bench.select("item", "at", "h", "strong", "values"), "item"), ["doc", "h"])
                .groupBy("doc", "item", "n", "at", (F.col("pos") - F.col("at")).alias("shift"), "values", "found")
                .agg(F.max("strong").alias("strong")))
-    slots = F.filter(F.arrays_zip(F.col("values").alias("b"), F.col("found").alias("d")), lambda z: z["b"].startswith("⟨"))
+    # from here on the benchmark says what is a slot, and words are compared by their values
+    aligned = aligned.withColumn("slots", F.filter(
+        F.arrays_zip(literal(F.col("values")).alias("b"), literal(F.col("found")).alias("d"), F.col("values").alias("slot")),
+        lambda z: z["slot"].startswith("⟨"))).withColumn("same", literal(F.col("values")) == literal(F.col("found")))
     # A benchmark value that stands for two values of the document breaks its alignment.
-    pairings = (aligned.select("doc", "item", "shift", F.explode(slots).alias("s")).groupBy("doc", "item", "shift", "s.b")
+    pairings = (aligned.select("doc", "item", "shift", F.explode("slots").alias("s")).groupBy("doc", "item", "shift", "s.b")
                 .agg(F.min("s.d").alias("lo"), F.max("s.d").alias("hi")))
     broken = pairings.where(F.col("lo") != F.col("hi")).select("doc", "item", "shift").distinct()
     sound = aligned.join(broken, ["doc", "item", "shift"], "left_anti")
     # A group is one item at one place, so it has at most the item's windows.
     sound = sound.withColumn("strong", F.max("strong").over(Window.partitionBy("doc", "item", "shift"))).where("strong")
-    return (sound.groupBy("doc", "item", "at").agg(F.max("n").alias("n"), F.max(
-                (F.col("values") == F.col("found")).cast("int")).alias("same"))
+    return (sound.groupBy("doc", "item", "at").agg(F.max("n").alias("n"), F.max(F.col("same").cast("int")).alias("same"))
             .groupBy("doc", "item").agg(F.max("n").alias("n"), F.count("*").alias("c"), F.sum("same").alias("same"))
             .where(F.col("c") >= cover * F.col("n"))
             .select(F.col("doc").alias(id_col), F.col("item").alias(item_col), (F.col("c") / F.col("n")).alias("cover"),

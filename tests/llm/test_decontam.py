@@ -67,6 +67,16 @@ def test_items_rich_in_slots_and_short_items(spark):
     assert set(run(spark, docs, bench)) == {(1, 1), (2, 2), (3, 3), (4, 4), (11, 1), (15, 4)}
 
 
+def test_case_of_names(spark):
+    """Copies in other cases, with quotes or line breaks before names, also with other numbers."""
+    item = "In the year 1903 the physicist Marie Curie shared the Nobel Prize with Pierre Curie and then worked for 8 more years in Paris on the Große Straße"
+    forms = [item, item.lower(), item.upper(), item.title(), item.replace(" Marie", "\nMarie").replace(" Nobel", ' "Nobel').replace(" Paris", "\nParis")]
+    docs = list(enumerate(forms)) + [(10, item.upper().replace("1903", "1805").replace(" 8 ", " 9 ")), (11, item.lower().replace("the", "a"))]
+    got = run(spark, docs, [(1, item)])
+    assert {d for d, _ in got} == {0, 1, 2, 3, 4, 10}
+    assert all(got[i, 1] == (1.0, 1.0) for i in range(5)) and got[10, 1][1] < 1
+
+
 def test_against_plain_windows(spark):
     """Lower-case words without slots: cover is the share of an item's distinct five-word windows."""
     rnd = random.Random(1)
