@@ -6,7 +6,8 @@ documents meet those of the benchmark in a hash join, as templates and word for
 Templates with fewer than ``PLAIN`` plain words count only beside a better window of
 the same alignment.  Where a document can
 cover ``COVER`` or more of an item's windows, the aligned slots are compared: within
-one alignment each benchmark value must stand for one value in the document.
+one alignment each benchmark value stands for one value in the document, and windows
+with another value count only if they are equal word for word.
 All of it is DataFrame functions.
 """
 
@@ -110,7 +111,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     are equal too.
 
     Coverage counts an item's distinct windows; of windows aligned at one offset only
-    those with consistent slots count.  Names that the document writes in
+    those that are equal word for word or have consistent slots count.  Names that the document writes in
     another case are compared as words.  Items shorter than a window are found by windows of
     their own length; those of fewer than ``PLAIN`` words only as whole texts.  Null and empty texts match nothing; a repeated
     document or item gives its pairs once; rows with a null id are left out (they
@@ -147,13 +148,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                .agg(F.max("strong").alias("strong")))
     # from here on the benchmark says what is a slot, and words are compared by their values
     aligned = aligned.withColumn("slots", F.filter(
-        F.arrays_zip(literal(F.col("values")).alias("b"), literal(F.col("found")).alias("d"), F.col("values").alias("slot")),
-        lambda z: z["slot"].startswith("⟨"))).withColumn("same", literal(F.col("values")) == literal(F.col("found")))
-    # A benchmark value that stands for two values of the document breaks its alignment.
-    pairings = (aligned.select("doc", "item", "shift", F.explode("slots").alias("s")).groupBy("doc", "item", "shift", "s.b")
-                .agg(F.min("s.d").alias("lo"), F.max("s.d").alias("hi")))
-    broken = pairings.where(F.col("lo") != F.col("hi")).select("doc", "item", "shift").distinct()
-    sound = aligned.join(broken, ["doc", "item", "shift"], "left_anti")
+        F.transform(F.arrays_zip(literal(F.col("values")).alias("b"), literal(F.col("found")).alias("d"), F.col("values").alias("slot")),
+                    lambda z, j: z.withField("j", j)), lambda z: z["slot"].startswith("⟨"))).withColumn("same", literal(F.col("values")) == literal(F.col("found")))
+    # Of the values that a benchmark value stands for in one alignment, the most frequent counts
+    # (of equals its own); other windows go unless they are equal word for word.
+    place = ["doc", "item", "shift"]
+    pairings = aligned.select(*place, "at", "same", F.explode("slots").alias("s")).select(
+        *place, "at", "same", (F.col("at") + F.col("s.j")).alias("j"), "s.b", "s.d")
+    votes = pairings.groupBy(*place, "b", "d").agg(F.countDistinct("j").alias("v"))
+    best = votes.groupBy(*place, "b").agg(F.max_by("d", F.struct("v", F.col("b") == F.col("d"), "d")).alias("best"))
+    broken = pairings.where(~F.col("same")).join(best, [*place, "b"]).where(F.col("d") != F.col("best")).select(*place, "at").distinct()
+    sound = aligned.join(broken, [*place, "at"], "left_anti")
     # A group is one item at one place, so it has at most the item's windows.
     sound = sound.withColumn("strong", F.max("strong").over(Window.partitionBy("doc", "item", "shift"))).where("strong")
     return (sound.groupBy("doc", "item", "at").agg(F.max("n").alias("n"), F.max(F.col("same").cast("int")).alias("same"))

@@ -67,6 +67,17 @@ def test_items_rich_in_slots_and_short_items(spark):
     assert set(run(spark, docs, bench)) == {(1, 1), (2, 2), (3, 3), (4, 4), (11, 1), (15, 4)}
 
 
+def test_one_changed_slot(spark):
+    """A near copy with one inconsistent slot keeps all its other windows."""
+    item = ("take 5 red apples from the big box on the left then put 5 red apples in the small box and go back to the kitchen "
+            "where the old cook will count 5 red apples again before the long evening meal begins")
+    parts = item.split("5")
+    n = len(item.split()) - 4
+    docs = [(1, "5".join(parts[:2]) + "7" + "5".join(parts[2:])), (2, "8".join(parts[:2]) + "9" + "8".join(parts[2:])), (3, item.replace("5", "8"))]
+    got = run(spark, docs, [(1, item)])
+    assert got[1, 1] == (round((n - 5) / n, 3), 1.0) and got[2, 1][0] == round((n - 5) / n, 3) and got[3, 1][0] == 1.0
+
+
 def test_case_of_names(spark):
     """Copies in other cases, with quotes or line breaks before names, also with other numbers."""
     item = "In the year 1903 the physicist Marie Curie shared the Nobel Prize with Pierre Curie and then worked for 8 more years in Paris on the Große Straße"
