@@ -145,16 +145,17 @@ def parse(html: str) -> list[tuple]:
 
 
 def first_pass(block: tuple, has_content: bool) -> int:
-    """1 main text, -1 boilerplate, 0 undecided."""
+    """1 main text, -1 boilerplate, 0 undecided.  ``has_content``: the main text stands in regions
+    of content, so that blocks outside them are boilerplate."""
     text, linked, heading, content, bad, _ = block
     if bad or (has_content and not content):
         return -1
     words = text.lower().split()
     stops = sum(w.strip(".,;:!?()\"'«»") in STOP for w in words) / len(words)
+    if heading:  # a title may be a permalink: its neighbours decide
+        return 0
     if linked > LINKS * len("".join(words)):
         return 0 if content and len(words) <= 3 else -1
-    if heading:
-        return 0
     if len(text) >= SHORT and stops >= STOP_SOME:
         return 1
     if not content and text.startswith(("©", "Copyright")):
@@ -200,8 +201,16 @@ def second_pass(blocks: list[tuple], labels: list[int]) -> list[int]:
 def extract_text(html: str) -> str:
     """Main text: the blocks of the article in page order, two line feeds between."""
     blocks = [b for b in parse(html) if not b[4]]
-    has_content = any(b[3] for b in blocks)
-    labels = second_pass(blocks, [first_pass(b, has_content) for b in blocks])
+    labels = [first_pass(b, False) for b in blocks]
+    if any(b[3] for b in blocks):
+        # Place is evidence where the regions of content hold most of the main text (or all there is).
+        within, outside = (sum(len(b[0]) for b, label in zip(blocks, labels) if label > 0 and b[3] == side) for side in (True, False))
+        if within >= outside:
+            labels = [first_pass(b, True) for b in blocks]
+        else:  # teasers: the regions say nothing
+            blocks = [(*b[:3], False, *b[4:]) for b in blocks]
+            labels = [first_pass(b, False) for b in blocks]
+    labels = second_pass(blocks, labels)
     return "\n\n".join(b[0] for b, label in zip(blocks, labels) if label > 0)
 
 

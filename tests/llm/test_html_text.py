@@ -27,6 +27,16 @@ def test_furniture(name):
     assert H.extract_text(PAGES[name]) == want
 
 
+def test_teasers_are_not_the_article():
+    """The main text in a div beside teaser cards that are articles; a title that is a link."""
+    cards = "".join(f"<article><h3><a href=/{i}>Read this other story of ours</a></h3><p>Short teaser {i}.</p></article>" for i in range(4))
+    got = H.extract_text(f"<body><div>{ARTICLE}</div><div class=cards>{cards}</div></body>")
+    assert got.startswith(WANT)
+    linked = ARTICLE.replace("Title of it", "<a href=/x>Title of it and of all</a>")
+    for page in (f"<article>{linked}</article>", f"<body><div>{linked}</div></body>"):
+        assert H.extract_text(page) == WANT.replace("Title of it", "Title of it and of all")
+
+
 def test_references_and_space():
     assert H.extract_text("<article><p>a &amp; b&nbsp;c &lt;i&gt; &#233;&#x1F600;\n\t d<br>e <b>f</b>g</p></article>") == "a & b c <i> é😀 d e fg"
 
