@@ -70,5 +70,17 @@ def test_similar_branches_share_their_evidence(spark):
     assert got == {**{f"/s{c}": "block" for c in "abcde"}, "/sf": "allow"}
 
 
+def test_a_rule_on_one_section_says_nothing_of_others(spark):
+    """20 sections and 10 one-off typos below one host; then many small sections, too."""
+    for sections, pages in ((20, 10), (60, 12)):
+        names = ["de"] + [f"s{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(sections - 1)]
+        urls = [f"http://example.com/{n}/p{chr(97 + j)}" for n in names for j in range(pages)]
+        urls += [f"http://example.com/typo{c}/x" for c in "abcdefghij"]
+        df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        got = {r["path"]: r["verdict"] for r in urltree.judge(df, URL_RULES).collect()}
+        assert len(got) == len(urls) and {v for p, v in got.items() if p.startswith("/de/")} == {"block"}
+        assert {v for p, v in got.items() if not p.startswith("/de/")} == {"allow"}
+
+
 def test_empty(spark):
     assert urltree.judge(spark.createDataFrame([], "page_id long, url string"), URL_RULES).collect() == []
