@@ -7,11 +7,13 @@ import os
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from eventide.llm import chat, decontam, html_text, langid, pivots, secret_scan, simhash, spiece, toxicity, urltree
+from eventide.llm import align, bpe, chat, collocations, decontam, html_text, langid, pivots, secret_scan, simhash, spiece, toxicity, urltree
 from eventide.llm.common import arrow_batches, load
 
 #: Vocabulary file of the SentencePiece query (read on the driver, sent to the tasks).
 PIECE_MODEL = os.environ.get("EVENTIDE_PIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+#: Tokenizer file of the BPE query, read likewise.
+BYTE_BPE = os.environ.get("EVENTIDE_BYTE_BPE", "/opt/tokenizers/byte_bpe_50k.json")
 #: Rules of the URL query: verdict, host, path.
 URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
@@ -102,6 +104,29 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secret_scan.render(F.col("spans")).alias("spans"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = bpe.read_model(BYTE_BPE)
+    docs = load(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    back = bpe.decode(bpe.encode(docs, model), model)
+    return back.select("doc_id", bpe.n_tokens(F.col("ids")).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    best = collocations.top(collocations.mine(load(spark, sf_dir, "documents")), 2000)
+    return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(PIECE_MODEL, "rb") as f:
+        piece_model = f.read()
+    done = align.align(load(spark, sf_dir, "documents").select("doc_id", "text"), bpe.read_model(BYTE_BPE), piece_model)
+    groups = F.col("groups")
+    digest = done.select("doc_id", "n_a", "n_b", align.n_groups(groups).alias("n_groups"),
+                         F.when(groups == "", "").otherwise(F.sha2(groups, 256)).alias("groups_sha256"), "links")
+    return align.count_links(digest).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,7 +135,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_language, op3_decontamination, op4_url_filter, op5_sentencepiece, op6_toxicity, op7_chat, op8_top_k,
-    op9_html, op10_secrets, pipeline)}
+    op9_html, op10_secrets, op11_bpe, op12_collocations,
+    op13_alignment, pipeline)}
 
 _SAFE = r"regexp_replace(coalesce({}, ''), '<(\\*)\|', '<\1\\|', 'g')"
 ORACLE = {
@@ -137,4 +163,31 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id,
       FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e) WHERE q.vec_id % 50 = 0),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_collocations": r"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, words FROM (
+    SELECT lang, [w FOR w IN string_split_regex(unnest(string_split_regex(text, '[.,;:!?\n\x0B\x0C\r]')), '[ \t]+') IF w <> ''] AS words
+    FROM (SELECT coalesce(lang, 'und') AS lang,
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents))
+  WHERE len(words) > 0),
+sizes AS (SELECT lang, CAST(sum(len(words)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+grams AS (SELECT lang, m, words[i:i + m - 1] AS g
+          FROM pieces, generate_series(1, 5) s(m), LATERAL (SELECT unnest(generate_series(1, len(words) - m + 1)) AS i)),
+f AS (SELECT lang, m, g, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+inner_parts AS (
+  SELECT c.lang, c.f, c.g[i:i + k - 1] AS g
+  FROM f c, generate_series(2, 4) s(k), LATERAL (SELECT unnest(generate_series(1, c.m - k + 1)) AS i) WHERE k < c.m),
+longest AS (SELECT lang, g, max(f) AS f FROM inner_parts GROUP BY ALL),
+kept AS (SELECT f.* FROM f LEFT JOIN longest USING (lang, g)
+         WHERE f.m > 1 AND (longest.f IS NULL OR 100 * longest.f < 100 * f.f)),
+cuts AS (
+  SELECT c.lang, c.g, c.f AS a, k, x.f AS l, y.f AS r, sizes.n,
+         CAST((1000::HUGEINT * c.f * sizes.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+  FROM kept c JOIN generate_series(1, 4) s(k) ON k < c.m
+  JOIN f x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN f y ON y.lang = c.lang AND y.g = c.g[k + 1:c.m]
+  JOIN sizes ON sizes.lang = c.lang),
+best AS (SELECT *, array_to_string(g, ' ') AS phrase FROM cuts
+         QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best QUALIFY rank <= 2000""",
 }
