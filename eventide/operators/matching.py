@@ -116,13 +116,12 @@ def pair_sequences(tagged: DataFrame, key: str, side: str, order, t_ms: str = "t
                     reason.alias("unmatched_reason"))
 
 
-def connect(a: DataFrame, b: DataFrame, side_a: str = "ride", side_b: str = "fare",
-            side: str = "side") -> DataFrame:
+def connect(a: DataFrame, b: DataFrame, side_a="ride", side_b="fare", side: str = "side") -> DataFrame:
     """JN-5: two heterogeneous keyed inputs as one tagged stream sharing
     per-key state (``unionByName`` with missing columns as nulls).  For two
     *streams* with their own watermarks Spark takes the minimum by default;
     ``spark.sql.streaming.multipleWatermarkPolicy=max`` lets the faster input
-    advance it (WM-3; Spark has no wall-clock idleness)."""
+    advance it (WM-3)."""
     return a.withColumn(side, F.lit(side_a)).unionByName(
         b.withColumn(side, F.lit(side_b)), allowMissingColumns=True)
 

@@ -220,21 +220,18 @@ def long_rides(spark, d):
                     ntz_from_ms("end_ms").alias("end_time"))
 
 
-@query("ride_fare_match")
-def ride_fare_match(spark, d):
-    """J12: START rides paired 1:1 with fares of the same ride id."""
-    rides = ride_starts(spark, d).select(
-        "ride_id", F.lit(0).alias("side"), F.unix_millis("event_time").alias("t_ms"),
-        F.lit(None).cast("int").alias("fare_line"), F.lit(None).cast("bigint").alias("fare_part"),
-        F.lit(None).cast("float").alias("total_fare"))
-    fs = fares(spark, d).select("ride_id", F.lit(1).alias("side"),
-                                F.unix_millis("start_time").alias("t_ms"),
-                                "fare_line", "fare_part", "total_fare")
-    tagged = rides.unionByName(fs)
-    p = matching.pair_sequences(tagged, "ride_id", "side",
-                                ["t_ms", "side", "fare_line", "fare_part", "total_fare"],
-                                carry=("side", "t_ms", "fare_line", "total_fare"))
-    m = p.filter("matched")
+#: Order of a ride's rows in the match.
+FARE_ORDER = ["t_ms", "side", "fare_line", "fare_part", "total_fare"]
+
+
+def fare_match_rows(rides, paid):
+    """Both inputs of J12: ride starts, and fares with their fields."""
+    return (rides.select("ride_id", F.unix_millis("event_time").alias("t_ms")),
+            paid.select("ride_id", F.unix_millis("start_time").alias("t_ms"), "fare_line", "fare_part", "total_fare"))
+
+
+def match_record(m):
+    """A matched row and the one before it as ride time, fare time and the fare's fields."""
     ride_first = F.col("prev_side") == 0
     return m.select(
         "ride_id",
@@ -244,6 +241,14 @@ def ride_fare_match(spark, d):
         F.when(ride_first, F.col("total_fare")).otherwise(F.col("prev_total_fare")).alias("total_fare"))
 
 
+@query("ride_fare_match")
+def ride_fare_match(spark, d):
+    """J12: START rides paired 1:1 with fares of the same ride id."""
+    tagged = matching.connect(*fare_match_rows(ride_starts(spark, d), fares(spark, d)), 0, 1)
+    p = matching.pair_sequences(tagged, "ride_id", "side", FARE_ORDER, carry=("side", "t_ms", "fare_line", "total_fare"))
+    return match_record(p.filter("matched"))
+
+
 def _timed_pairs(spark, d):
     e = events(spark, d).filter(F.col("event_type").isin(P.MATCH_RIDE_TYPE, P.MATCH_FARE_TYPE))
     e = e.select("user_id", "event_id", "ts", "t_ms",

@@ -481,3 +481,9 @@ r AS (SELECT *, max(tips) OVER (PARTITION BY window_end ORDER BY user_id ROWS UN
       FROM c)
 SELECT window_end, user_id AS upto_user_id,
        min(user_id) OVER (PARTITION BY window_end, mt) AS user_id, mt AS tips FROM r"""
+
+# replayed to the end, in arrival order
+for _name, _of in (("ride_fare_match", "ride_fare_match"), ("late_rows", "late_rows"), ("late_changelog", "window_min_late_changelog")):
+    ORACLE[f"stream_{_name}"] = ORACLE[_of]
+
+ORACLE["stream_top3_gathered"] = ORACLE["stream_top3"]

@@ -12,13 +12,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timecols import ntz_from_ms
-from ..sources.tables import streaming_events, streaming_table
+from ..operators import matching, watermark
+from ..session import scratch_path
+from ..sources.rides import fares, ride_starts
+from ..sources.tables import events, streaming_events, streaming_table
 from ..sources import lines as L
-from ..streaming import jobs
-from ..streaming.runner import drain
+from ..streaming import carry, jobs, process
+from ..streaming.runner import advance, drain, drain_in_slices
 from . import params as P
-from .catalog import line_files, ntz, query
+from .catalog import FARE_ORDER, fare_match_rows, line_files, match_record, ntz, query
 
+#: Micro-batches of the queries that replay a table in its arrival order.
+SLICES = 5
+#: Watermark of the mark that ends a bounded replay (in the year 2260: pandas counts nanoseconds).
+END_MARK_MS = 9151488000000
 TOP_DELAY = "2 seconds"
 LONG_RIDE_DELAY = "60 seconds"
 
@@ -138,7 +145,7 @@ def stream_key_count(spark, d):
 def stream_rolling_best(spark, d):
     """AGG-10 streaming: rolling best user per closed hour."""
     out = drain(jobs.hourly_sums(streaming_events(spark, d), P.HOURLY, scale=P.MONEY), "rolling_best",
-                batch_fn=jobs.rolling_best_batch)
+                batch_fn=carry.rolling_best)
     return out.select(ntz("window_end").alias("window_end"), "upto_user_id", "user_id", "tips")
 
 
@@ -147,3 +154,89 @@ def stream_lines_request(spark, d):
     """SRC-1 as a stream: request lines from a folder of text files, typed and quarantined."""
     lines = L.read_lines(spark, line_files(spark, d, "request"), streaming=True)
     return drain(L.split_quarantine(L.parse_lines(lines, "request"))[0], "lines_request")
+
+
+@query("stream_ride_fare_match")
+def stream_ride_fare_match(spark, d):
+    """J12 streaming: rides and fares as two watermarked file streams, matched one to one without a
+    time-out; stopped and restarted between any two of five micro-batches."""
+    rides, paid = fare_match_rows(ride_starts(spark, d), fares(spark, d))
+    base = scratch_path(spark, "stream-ride_fare_match")
+    fields = ("side", "t_ms", "fare_line", "total_fare")
+
+    def build(streams):
+        a, b = (streams[s].withColumn("at", F.timestamp_millis("t_ms")).withWatermark("at", "0 seconds").drop("at")
+                for s in ("rides", "fares"))
+        return matching.connect(a, b, 0, 1)
+
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in matching.connect(rides, paid, 0, 1).schema)
+    step = carry.matched_pairs(carry.BatchState(spark, f"{base}/waiting", kinds), f"{base}/pairs", "ride_id", "side",
+                               FARE_ORDER, carry=fields)
+    out = drain_in_slices({"rides": (rides, "t_ms"), "fares": (paid, "t_ms")}, build, "ride_fare_match", SLICES,
+                          batch_fn=step, base=base)
+    return match_record(out)
+
+
+def _late_input(spark, d, name):
+    """Events in arrival order, and a step that gives every row its exact watermark."""
+    e = watermark.with_arrival(events(spark, d).select("event_id", "user_id", "ts", "t_ms", "value"))
+    base = scratch_path(spark, f"stream-{name}")
+    return e, base, lambda then=None: carry.exact_watermark(
+        carry.BatchState(spark, f"{base}/top", "top long"), P.LATE_DELAY_MS, then=then)
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark, d):
+    """RW-1 / LATE-2 streaming: the rows that are too late by the exact watermark, whatever the cut
+    into micro-batches."""
+    e, base, step = _late_input(spark, d, "late_rows")
+    s = drain_in_slices({"events": (e, "arr_ms")}, lambda s: s["events"], "late_rows", SLICES, batch_fn=step(
+        lambda rows, _: watermark.classify_lateness(rows, P.LATE_SIZE_MS, P.LATE_LATENESS_MS).where("status = 'too_late'")), base=base)
+    return s.select("event_id", "user_id", ntz("ts").alias("ts"), "value", ntz_from_ms("win_start_ms").alias("window_start"),
+                    F.col("wm_before").alias("watermark_ms"))
+
+
+@query("stream_late_changelog")
+def stream_late_changelog(spark, d):
+    """J4 streaming: one stream gives the rows their exact watermark, a second one keeps the windows in
+    keyed state; both are stopped and restarted between any two of five micro-batches."""
+    e, base, step = _late_input(spark, d, "late_changelog")
+    kept = ["user_id", "event_id", "t_ms", "t_us", "arr_ms", "value", "wm_before", "wm_after", "max_before"]
+    rows, log = f"{base}/data", f"{base}/log"
+    e = e.withColumn("t_us", F.unix_micros("ts"))
+    schema = e.select(*[c if c in e.columns else F.lit(None).cast("long").alias(c) for c in kept]).schema
+
+    def changes(batch, batch_id):
+        tagged = batch.persist()  # read for both kinds of emission
+        try:
+            fired = jobs.with_fire_watermark(process.output(tagged, "fire"), spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(rows))
+            late = process.output(tagged, "late").withColumn("kind", F.lit("late"))
+            both = fired.unionByName(late)
+            both.write.mode("overwrite").parquet(f"{base}/changes/batch_id={batch_id}")
+        finally:
+            tagged.unpersist()
+        return spark.read.schema(both.schema).parquet(f"{base}/changes/batch_id={batch_id}")
+
+    def second(_=None):
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(rows)
+        advance(jobs.late_changelog(stream, P.LATE_SIZE_MS, P.LATE_LATENESS_MS), "late_changelog_state", log, batch_fn=changes)
+
+    drain_in_slices({"events": (e, "arr_ms")}, lambda s: s["events"], "late_changelog", SLICES,
+                    batch_fn=step(lambda r, _: r.select(*kept)), base=base, each=second)
+    # the end of a bounded input: a mark with the last of all watermarks
+    mark = [END_MARK_MS if c == "wm_after" else None for c in kept]
+    spark.createDataFrame([mark], schema).write.parquet(f"{rows}/end")
+    second()
+    out = spark.read.parquet(f"{log}/data")
+    return out.select("user_id", ntz_from_ms("win_start_ms").alias("window_start"), ntz_from_ms("win_end_ms").alias("window_end"),
+                      "watermark_ms", "kind", "event_id", ntz(F.timestamp_micros("t_us")).alias("ts"), "value")
+
+
+@query("stream_top3_gathered")
+def stream_top3_gathered(spark, d):
+    """J5 streaming with list state (ST-2): the means of a window are gathered under its end, whatever the
+    batches they come in, until its timer ranks them."""
+    means = jobs.closed_means(streaming_events(spark, d), P.MIN_WINDOW, TOP_DELAY, P.MONEY)
+    out = drain(jobs.gathered_top_n(means, P.TOP_N, P.MIN_WINDOW_MS, time=None), "top3_gathered")
+    return out.select(ntz_from_ms("window_start_ms").alias("window_start"), ntz_from_ms("window_end_ms").alias("window_end"),
+                      "rank", "user_id", "avg_value")

@@ -114,3 +114,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the library itself wrote below the shared root."""
+    if not path.startswith(checkpoint_root(spark)):
+        raise ValueError(f"{path} is not below the shared root")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

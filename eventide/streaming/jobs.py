@@ -10,8 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..operators import windows
-from . import processors as PR
+from ..operators import watermark, windows
+from . import process, processors as PR
 
 
 def hourly_best(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds",
@@ -53,31 +53,62 @@ def window_min_updates(events: DataFrame, size: str, delay: str) -> DataFrame:
                                      tiebreak=("ts", "event_id"), fields=("event_id", "ts"))
 
 
-def _keyed(df: DataFrame, key: str, proc, delay: str = "0 seconds", ts: str = "ts",
-           time_mode: str = "EventTime"):
-    if time_mode == "EventTime":
-        df = df.withWatermark(ts, delay)
-    return df.groupBy(key).transformWithStateInPandas(proc, proc.OUTPUT, "append", time_mode)
-
-
 def fraud(events: DataFrame, small: float, large: float, within_ms: int,
           time_mode: str = "EventTime") -> DataFrame:
     proc = PR.SmallThenLarge("user_id", "value", small, large, within_ms, time_mode)
-    return _keyed(events, "user_id", proc, time_mode=time_mode)
+    return process.output(process.run(events, "user_id", proc, order=("t_ms", "event_id"), time_mode=time_mode), "alert")
 
 
 def silence(events: DataFrame, gap_ms: int) -> DataFrame:
-    return _keyed(events, "user_id", PR.SilenceCounter("user_id", gap_ms))
+    tagged = process.run(events.select("user_id", "event_id", "ts", "t_ms"), "user_id", PR.SilenceCounter(gap_ms),
+                         order=("t_ms", "event_id"))
+    return process.output(tagged, "silent")
 
 
-def _grouped(df: DataFrame, key: str, fn, delay: str = "0 seconds", ts: str = "ts"):
-    return df.withWatermark(ts, delay).groupBy(key).applyInPandasWithState(
-        fn, fn.OUTPUT, fn.STATE, "append", "EventTimeTimeout")
+def pseudo_window(events: DataFrame, size_ms: int, delay_ms: int = 0) -> DataFrame:
+    tagged = process.run(events.select("user_id", "ts", "t_ms", "value"), "user_id", PR.PseudoWindow(size_ms), delay_ms=delay_ms)
+    return process.output(tagged, "window")
+
+
+def gathered_top_n(means: DataFrame, n: int, size_ms: int, time: str | None = "window_end", delay_ms: int = 0) -> DataFrame:
+    """TOP-1 over window means (``end_ms``, ``user_id``, ``avg_value``) that may come in any batches.  ``time`` None: the
+    stream has its watermark already (:func:`closed_means`)."""
+    tagged = process.run(means, "end_ms", PR.GatheredTopN(n, size_ms), time=time, t_ms="end_ms", order=("user_id",),
+                         delay_ms=delay_ms)
+    return process.output(tagged, "top")
+
+
+def closed_means(events: DataFrame, size: str, delay: str, scale: int | None = None) -> DataFrame:
+    """Window means with their window's event time (``at``), for a stateful operator behind them."""
+    w = events.withWatermark("ts", delay).groupBy(F.window("ts", size).alias("w"), "user_id").agg(
+        windows.total_of("value", scale).alias("s"), F.count("value").alias("n"))
+    return w.select(F.window_time("w").alias("at"), F.unix_millis("w.end").alias("end_ms"), "user_id",
+                    (F.col("s") / F.col("n")).alias("avg_value"))
 
 
-def pseudo_window(events: DataFrame, size_ms: int) -> DataFrame:
-    return _grouped(events.select("user_id", "ts", "t_ms", "value"), "user_id",
-                    PR.pseudo_window(size_ms))
+def late_changelog(rows: DataFrame, size_ms: int, lateness_ms: int) -> DataFrame:
+    """AGG-5 / LATE-1 / LATE-2: the tagged output of :class:`PR.LateWindowMin` over rows with their exact
+    watermark (:func:`eventide.streaming.carry.exact_watermark`).  The watermark itself is the event time of
+    this stream, so its timers follow it and no row is dropped as late."""
+    # 1 ms of delay keeps rows that do not raise the watermark
+    rows = rows.withColumn("wm_ts", F.timestamp_millis(F.col("wm_after") + 2))
+    return process.run(rows, "user_id", PR.LateWindowMin(size_ms, lateness_ms), time="wm_ts", clock="wm_before",
+                       order=("arr_ms", "event_id"), delay_ms=1)
+
+
+def with_fire_watermark(fired: DataFrame, rows: DataFrame) -> DataFrame:
+    """``fire`` rows of :func:`late_changelog` with the watermark that made the window fire, and their kind:
+    the watermark after the row that first lifted it to the window's last millisecond, or the end of the
+    input.  Of ``rows`` (with their exact watermark) only those that raised it in the windows' range are read."""
+    span = fired.agg(F.min("win_end_ms"), F.max("win_end_ms")).first()
+    if span[0] is None:
+        span = (0, 0)
+    raisers = rows.where(F.col("t_ms").isNotNull() & (F.col("wm_after") >= span[0] - 1) & (F.col("wm_before").isNull() | (F.col("wm_before") < span[1])))
+    points = watermark.window_fire_points(raisers, fired.select("win_end_ms").distinct())
+    wm = F.col("fire_wm")
+    return fired.join(points, "win_end_ms", "left").select(
+        *[c for c in fired.columns], F.coalesce(wm, F.lit(watermark.END_OF_INPUT_WM)).alias("watermark_ms"),
+        F.when(wm.isNull(), "final").otherwise("on_time").alias("kind"))
 
 
 def long_rides_join(starts: DataFrame, ends: DataFrame, max_ms: int,
@@ -106,13 +137,19 @@ def long_rides(rides: DataFrame, max_ms: int, delay: str = "60 seconds") -> Data
     ride).  Costs one Python call per ride and micro-batch; with one key per
     ride prefer :func:`long_rides_join`."""
     r = rides.withColumn("t_ms", F.unix_millis("event_time"))
-    return _grouped(r, "ride_id", PR.long_ride_alert(max_ms), delay, ts="event_time")
+    fn = PR.long_ride_alert(max_ms)
+    return r.withWatermark("event_time", delay).groupBy("ride_id").applyInPandasWithState(
+        fn, fn.OUTPUT, fn.STATE, "append", "EventTimeTimeout")
 
 
-def one_to_one(tagged: DataFrame, timeout_ms: int | None) -> DataFrame:
-    """J7 / J12 streaming over a tagged union (``user_id, side, event_id,
-    t_ms, ts``)."""
-    return _keyed(tagged, "user_id", PR.OneToOneMatcher(timeout_ms))
+def one_to_one(tagged: DataFrame, timeout_ms: int) -> DataFrame:
+    """J7 streaming over a tagged union (``user_id, side, event_id, t_ms, ts``): matches and
+    unmatched rows, told apart by ``kind``.  Without a time-out see
+    :func:`eventide.streaming.carry.matched_pairs`."""
+    t = process.run(tagged, "user_id", PR.OneToOneMatcher(timeout_ms), order=("t_ms", "event_id"))
+    return t.select(F.coalesce("match__user_id", "unmatched__user_id").alias("user_id"), F.col(process.TAG).alias("kind"),
+                    *[F.col(f"match__{c}").alias(c) for c in ("ride_event_id", "ride_ms", "fare_event_id", "fare_ms")],
+                    *[F.col(f"unmatched__{c}").alias(c) for c in ("side", "event_id", "t_ms", "reason")])
 
 
 def word_counts_processing_time(lines: DataFrame, size: str = "10 seconds",
@@ -149,18 +186,3 @@ def hourly_sums(events: DataFrame, size: str = "1 hour", delay: str = "0 seconds
                   .groupBy(F.window("ts", size).alias("w"), "user_id")
                   .agg(windows.total_of("value", scale).alias("tips"))
                   .select(F.col("w.end").alias("window_end"), "user_id", "tips"))
-
-
-def rolling_best_batch(batch_df: DataFrame, batch_id: int) -> DataFrame:
-    """AGG-10 as a ``foreachBatch`` step: every sum of a closed window arrives
-    in the same micro-batch, so the rolling arg-max (sums in user order) is a
-    running ``max(struct)`` per window inside the batch; a window holds at most
-    one row per user."""
-    w = Window.partitionBy("window_end").orderBy("user_id") \
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    best = F.max(F.struct(F.col("tips").alias("v"), (-F.col("user_id")).alias("nk"),
-                          F.col("user_id").alias("k"))).over(w)
-    return batch_df.select("window_end", F.col("user_id").alias("upto_user_id"),
-                           best.alias("b")) \
-                   .select("window_end", "upto_user_id", F.col("b.k").alias("user_id"),
-                           F.col("b.v").alias("tips"))

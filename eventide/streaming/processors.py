@@ -1,139 +1,208 @@
-"""Keyed stateful processors for the streaming lane (ST-1..3, TMR-1..4).
-
-Each reproduces one keyed process function of the reference with
-``transformWithStateInPandas`` and event-time timers.  Spark fires a timer
-when ``expiry <= watermark`` and its watermark is ``max - delay`` (the
-reference's is ``max - delay - 1 ms`` and fires at ``timer <= watermark``), so
-a reference timer at ``T`` is registered at ``T + 1``.
-
-Within a micro-batch a key's rows are handled before its timers, so every
-processor first re-checks deadlines against row time (a timer that would have
-fired between two rows of the same batch is applied in order).  Rows of a key
-arrive as pandas frames and are handled vectorised where the state machine
-allows it; only the one-to-one matcher walks its rows.
+"""Keyed processes of the streaming lane (ST-1..3, TMR-1..4), on the surface of
+:mod:`eventide.streaming.process`.
+
+The rules compare a row's time with a deadline through timers alone: a timer at T fires
+before the first row after T, whether both are in one micro-batch or not.
 """
 
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
+from .process import CoProcess, KeyedProcess, List, Map, Value
 
-def _rows(rows) -> pd.DataFrame:
-    frames = [f for f in rows if len(f)]
-    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
+class SmallThenLarge(KeyedProcess):
+    """FRD-1: alert on an amount above ``large`` right after one below ``small`` within
+    ``within_ms`` (flag state and the timer that clears it).
 
-class SmallThenLarge(StatefulProcessor):
-    """FRD-1: alert on an amount above ``large`` right after one below
-    ``small`` within ``within_ms`` (flag state + clearing timer).
+    ``time_mode="EventTime"`` measures the window on event time; ``"ProcessingTime"`` is the reference's original
+    form (TMR-3): the flag is cleared ``within_ms`` of wall clock after the micro-batch that set it."""
 
-    ``time_mode="EventTime"`` (default, reproducible) measures the window on
-    event time; ``"ProcessingTime"`` is the reference's original form
-    (TMR-3): the flag is cleared by a wall-clock timer ``within_ms`` after the
-    micro-batch that set it, and rows carry no per-row deadline."""
+    states = {"flag": Value("timer long")}
+    outputs = {"alert": "account_id long, event_id long, t_ms long, amount double"}
 
-    OUTPUT = "account_id long, event_id long, t_ms long, amount double"
-
-    def __init__(self, key="user_id", amount="value", small=1.0, large=500.0, within_ms=60_000,
-                 time_mode="EventTime"):
+    def __init__(self, key="user_id", amount="value", small=1.0, large=500.0, within_ms=60_000, time_mode="EventTime"):
         self.key, self.amount, self.small, self.large, self.within = key, amount, small, large, within_ms
         self.processing = time_mode.lower() == "processingtime"
 
-    def init(self, handle):
-        self.handle = handle
-        self.flag = handle.getValueState("flag", "t long, timer long")
+    def on_row(self, row, ctx):
+        amount, flag = getattr(row, self.amount), ctx.state("flag")
+        if armed := flag.get():
+            if amount > self.large:
+                ctx.emit("alert", getattr(row, self.key), row.event_id, row.t_ms, amount)
+            ctx.delete(armed[0])
+            flag.clear()
+        if amount < self.small:
+            timer = (ctx.watermark if self.processing else row.t_ms) + self.within
+            flag.set(int(timer))
+            ctx.register(timer)
 
-    def _arm(self, t_ms: int, timerValues) -> int:
-        if self.processing:
-            return timerValues.getCurrentProcessingTimeInMs() + self.within
-        return t_ms + self.within + 1
+    def on_timer(self, t_ms, ctx):
+        ctx.state("flag").clear()
 
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _rows(rows)
-        if pdf.empty:
+
+class SilenceCounter(KeyedProcess):
+    """AGG-12: cumulative count per key, emitted after ``gap_ms`` without a row for the key.  The
+    count is never reset (reference behaviour)."""
+
+    states = {"seen": Value("count long, last long")}
+    outputs = {"silent": "user_id long, count long, last_ms long"}
+
+    def __init__(self, gap_ms=60_000):
+        self.gap = gap_ms
+
+    def on_row(self, row, ctx):
+        count, last = ctx.state("seen").get() or (0, row.t_ms)
+        ctx.delete(last + self.gap)
+        last = max(int(row.t_ms), last)
+        ctx.state("seen").set(count + 1, int(last))
+        ctx.register(last + self.gap)
+
+    def on_timer(self, t_ms, ctx):
+        ctx.emit("silent", ctx.key[0], *ctx.state("seen").get())
+
+
+class OneToOneMatcher(CoProcess):
+    """JN-2 / JN-3: at most one waiting row per key; a row of the other side matches it, a row of the same
+    side supersedes it, and after ``timeout_ms`` a timer drops it to the side output."""
+
+    states = {"waiting": Value("side string, event_id long, t long")}
+    outputs = {"match": "user_id long, ride_event_id long, ride_ms long, fare_event_id long, fare_ms long",
+               "unmatched": "user_id long, side string, event_id long, t_ms long, reason string"}
+
+    def __init__(self, timeout_ms: int):
+        self.timeout = timeout_ms
+
+    def on_left(self, row, ctx):
+        self._meet("ride", row, ctx)
+
+    def on_right(self, row, ctx):
+        self._meet("fare", row, ctx)
+
+    def _meet(self, side, row, ctx):
+        state, own = ctx.state("waiting"), (int(row.event_id), int(row.t_ms))
+        waiting = state.get()
+        if waiting:
+            ctx.delete(waiting[2] + self.timeout)
+            if waiting[0] != side:
+                ride, fare = (waiting[1:], own) if side == "fare" else (own, waiting[1:])
+                ctx.emit("match", ctx.key[0], *ride, *fare)
+                state.clear()
+                return
+            ctx.emit("unmatched", ctx.key[0], *waiting, "superseded")
+        state.set(side, *own)
+        ctx.register(own[1] + self.timeout)
+
+    def on_timer(self, t_ms, ctx):
+        ctx.emit("unmatched", ctx.key[0], *ctx.state("waiting").get(), "timeout")
+        ctx.state("waiting").clear()
+
+
+class PseudoWindow(KeyedProcess):
+    """AGG-11: a hand-built tumbling window per key: a map from the window's last millisecond to its sum and a
+    timer per window.  Rows at or below the watermark are dropped (LATE-3).  An entry is read and written only
+    when a row of its window comes, however many windows are open."""
+
+    states = {"sums": Map("window_end_ms long", "total double")}
+    outputs = {"window": "user_id long, window_end_ms long, tips double"}
+
+    def __init__(self, size_ms: int, value: str = "value"):
+        self.size, self.value = size_ms, value
+
+    def on_row(self, row, ctx):
+        if ctx.watermark is not None and row.t_ms <= ctx.watermark:
             return
-        pdf = pdf.sort_values(["t_ms", "event_id"], kind="stable")
-        prev_amt = pdf[self.amount].shift(1)
-        prev_t = pdf["t_ms"].shift(1)
-        if self.flag.exists():
-            t_flag, timer = self.flag.get()
-            prev_amt.iloc[0] = self.small - 1.0        # flagged: the previous one was small
-            prev_t.iloc[0] = t_flag
-            self.handle.deleteTimer(int(timer))
-            self.flag.clear()
-        hit = (prev_amt < self.small) & (pdf[self.amount] > self.large)
-        if not self.processing:
-            hit = hit & (pdf["t_ms"] - prev_t <= self.within)
-        last = pdf.iloc[-1]
-        if last[self.amount] < self.small:
-            timer = self._arm(int(last["t_ms"]), timerValues)
-            self.flag.update((int(last["t_ms"]), int(timer)))
-            self.handle.registerTimer(int(timer))
-        out = pdf[hit]
-        if len(out):
-            yield pd.DataFrame({"account_id": out[self.key].astype("int64"),
-                                "event_id": out["event_id"].astype("int64"),
-                                "t_ms": out["t_ms"].astype("int64"),
-                                "amount": out[self.amount].astype("float64")})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.flag.clear()
-        return iter([])
-
-    def close(self):
-        pass
-
-
-class SilenceCounter(StatefulProcessor):
-    """AGG-12: cumulative count per key, emitted after ``gap_ms`` without a
-    row for the key.  The count is never reset (reference behaviour)."""
-
-    OUTPUT = "user_id long, count long, last_ms long"
-
-    def __init__(self, key="user_id", gap_ms=60_000):
-        self.key, self.gap = key, gap_ms
-
-    def init(self, handle):
-        self.handle = handle
-        self.state = handle.getValueState("cnt", "count long, last long, emitted boolean")
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _rows(rows)
-        if pdf.empty:
+        end = int(row.t_ms - row.t_ms % self.size + self.size - 1)
+        sums = ctx.state("sums")
+        old = sums.get(end)
+        sums.put((end,), (old[0] if old else 0.0) + float(getattr(row, self.value)))
+        ctx.register(end)
+
+    def on_timer(self, t_ms, ctx):
+        ctx.emit("window", ctx.key[0], t_ms, ctx.state("sums").get(t_ms)[0])
+        ctx.state("sums").remove(t_ms)
+
+
+class GatheredTopN(KeyedProcess):
+    """TOP-1 with list state (ST-2): the means of a window, keyed by its end, are gathered in a list without
+    being read; one timer a window ranks and clears them.  Means of one window may come in any number of
+    micro-batches."""
+
+    states = {"means": List("user_id long, avg_value double")}
+    outputs = {"top": "window_start_ms long, window_end_ms long, rank long, user_id long, avg_value double"}
+
+    def __init__(self, n: int, size_ms: int, wait_ms: int = 0):
+        self.n, self.size, self.wait = n, size_ms, wait_ms
+
+    def on_row(self, row, ctx):
+        ctx.state("means").add(int(row.user_id), float(row.avg_value))
+        ctx.register(ctx.key[0] + self.wait)
+
+    def on_timer(self, t_ms, ctx):
+        ranked = sorted(ctx.state("means").get(), key=lambda m: (-m[1], m[0]))[:self.n]
+        for i, (user, avg) in enumerate(ranked):
+            ctx.emit("top", ctx.key[0] - self.size, ctx.key[0], i + 1, user, avg)
+        ctx.state("means").clear()
+
+
+class LateWindowMin(KeyedProcess):
+    """AGG-5 / LATE-1 / LATE-2: window minima with late re-firings, over rows that carry their exact
+    watermark ``wm_before``.  A map holds the open windows: the smallest on-time record and the smallest of
+    all.  A window fires once the watermark reaches its last millisecond, a late row fires it again with
+    the watermark that the row saw, and after ``lateness_ms`` the entry goes; later rows leave by the
+    output ``too_late``.  ``fire`` rows lack the watermark: it depends on other keys' rows (see
+    :func:`eventide.streaming.jobs.late_changelog`)."""
+
+    states = {"windows": Map("start long", "fired boolean, " + ", ".join(
+        f"{p}_{c}" for p in ("on", "every") for c in ("value double", "arr long", "id long", "t long")))}
+    outputs = {"fire": "user_id long, win_start_ms long, win_end_ms long, event_id long, t_us long, value double",
+               "late": "user_id long, win_start_ms long, win_end_ms long, watermark_ms long, event_id long, t_us long, value double",
+               "too_late": "user_id long, win_start_ms long, watermark_ms long, event_id long, t_us long, value double"}
+    _NONE = (None,) * 4
+
+    def __init__(self, size_ms: int, lateness_ms: int):
+        self.size, self.lateness = size_ms, lateness_ms
+
+    def on_row(self, row, ctx):
+        if pd.isna(row.event_id):  # the mark at the end of a bounded input
             return
-        pdf = pdf.sort_values(["t_ms", "event_id"], kind="stable")
-        base, last, emitted = 0, None, False
-        if self.state.exists():
-            base, last, emitted = self.state.get()
-            if not emitted:
-                self.handle.deleteTimer(int(last) + self.gap + 1)
-        t = pdf["t_ms"].to_numpy()
-        counts = base + pd.RangeIndex(1, len(t) + 1).to_numpy()
-        emit_t, emit_c = [], []
-        if last is not None and not emitted and t[0] - last > self.gap:
-            emit_t.append(int(last))
-            emit_c.append(int(base))
-        gaps = (t[1:] - t[:-1]) > self.gap
-        emit_t += [int(x) for x in t[:-1][gaps]]
-        emit_c += [int(x) for x in counts[:-1][gaps]]
-        new_last = int(max(t.max(), last if last is not None else t.max()))
-        self.state.update((int(counts[-1]), new_last, False))
-        self.handle.registerTimer(new_last + self.gap + 1)
-        if emit_t:
-            yield pd.DataFrame({"user_id": [key[0]] * len(emit_t), "count": emit_c,
-                                "last_ms": emit_t})
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.state.exists():
-            count, last, emitted = self.state.get()
-            if emitted:
-                return
-            self.state.update((int(count), int(last), True))
-            yield pd.DataFrame({"user_id": [key[0]], "count": [int(count)], "last_ms": [int(last)]})
+        rec = (float(row.value), int(row.arr_ms), int(row.event_id), int(row.t_us))
+        start = int(row.t_ms - row.t_ms % self.size)
+        last, wm = start + self.size - 1, ctx.watermark
+        if wm is not None and last + self.lateness <= wm:
+            ctx.emit("too_late", ctx.key[0], start, wm, rec[2], rec[3], rec[0])
+            return
+        windows = ctx.state("windows")
+        old = windows.get(start) or (False, *self._NONE, *self._NONE)
+        on, every = tuple(old[1:5]), tuple(old[5:9])
+        every = rec if every[0] is None else min(every, rec)
+        if wm is not None and last <= wm:
+            ctx.emit("late", ctx.key[0], start, start + self.size, wm, every[2], every[3], every[0])
+            ctx.register(last + self.lateness)
+        else:
+            on = rec if on[0] is None else min(on, rec)
+            ctx.register(last)
+        windows.put((start,), bool(old[0]), *on, *every)
+
+    def on_timer(self, t_ms, ctx):
+        windows = ctx.state("windows")
+        ended = windows.get(t_ms + 1 - self.size)
+        if ended and not ended[0] and ended[1] is not None:
+            start = t_ms + 1 - self.size
+            ctx.emit("fire", ctx.key[0], start, start + self.size, ended[3], ended[4], ended[1])
+            windows.put((start,), True, *ended[1:])
+            ctx.register(t_ms + self.lateness)
+        over = t_ms + 1 - self.size - self.lateness
+        if self.lateness and windows.get(over):
+            windows.remove(over)
+        elif not self.lateness:
+            windows.remove(t_ms + 1 - self.size)
 
-    def close(self):
-        pass
+
+def _rows(rows) -> pd.DataFrame:
+    frames = [f for f in rows if len(f)]
+    return pd.concat(frames, ignore_index=True) if frames else pd.DataFrame()
 
 
 def long_ride_alert(max_ms: int):
@@ -188,110 +257,3 @@ def long_ride_alert(max_ms: int):
     fn.OUTPUT = "ride_id long, start_ms long, end_ms long"
     fn.STATE = "start long, end long, alerted boolean"
     return fn
-
-
-def pseudo_window(size_ms: int, value: str = "value"):
-    """AGG-11 as an ``applyInPandasWithState`` function: a hand-built tumbling
-    window per key, sums of the raw values kept for every open window end (the
-    window's last millisecond), rows at or below the watermark dropped
-    (LATE-3).  One timeout per key at the earliest open window; when it fires
-    every window the watermark has passed is emitted and the next one armed."""
-    def fn(key, pdfs, state):
-        user = int(key[0])
-        ends, sums = (list(state.get[0]), list(state.get[1])) if state.exists else ([], [])
-        wm = state.getCurrentWatermarkMs()
-        if state.hasTimedOut:
-            done = [i for i, e in enumerate(ends) if e + 1 <= wm]
-            if done:
-                yield pd.DataFrame({"user_id": [user] * len(done),
-                                    "window_end_ms": [int(ends[i]) for i in done],
-                                    "tips": [sums[i] for i in done]})
-            ends = [e for i, e in enumerate(ends) if i not in set(done)]
-            sums = [s for i, s in enumerate(sums) if i not in set(done)]
-        else:
-            pdf = _rows(pdfs)
-            if not pdf.empty:
-                pdf = pdf[pdf["t_ms"] > wm - 1]     # reference: late iff t <= wm - 1
-                w_end = pdf["t_ms"] - pdf["t_ms"] % size_ms + size_ms - 1
-                acc = dict(zip(ends, sums))
-                for e, s in pdf[value].astype("float64").groupby(w_end).sum().items():
-                    acc[int(e)] = acc.get(int(e), 0.0) + float(s)
-                ends = sorted(acc)
-                sums = [acc[e] for e in ends]
-        if ends:
-            state.update((ends, sums))
-            state.setTimeoutTimestamp(max(min(ends), wm + 1))
-        elif state.exists:
-            state.remove()
-
-    fn.OUTPUT = "user_id long, window_end_ms long, tips double"
-    fn.STATE = "ends array<long>, sums array<double>"
-    return fn
-
-
-class OneToOneMatcher(StatefulProcessor):
-    """JN-1 / JN-2 / JN-3: keeps at most one pending row per key; a row of the
-    other side matches it, a row of the same side supersedes it, and with a
-    timeout a timer drops it."""
-
-    OUTPUT = ("user_id long, kind string, ride_event_id long, ride_ms long, fare_event_id long, "
-              "fare_ms long, side string, event_id long, t_ms long, reason string")
-
-    def __init__(self, timeout_ms=None):
-        self.timeout = timeout_ms
-
-    def init(self, handle):
-        self.handle = handle
-        self.pending = handle.getValueState("pending", "side string, event_id long, t long")
-
-    def _timer(self, t):
-        return t + self.timeout + 1
-
-    def handleInputRows(self, key, rows, timerValues):
-        pdf = _rows(rows)
-        if pdf.empty:
-            return
-        pdf = pdf.sort_values(["t_ms", "event_id"], kind="stable")
-        pend = self.pending.get() if self.pending.exists() else None
-        if pend is not None and self.timeout is not None:
-            self.handle.deleteTimer(self._timer(pend[2]))
-        out = []
-        for side, eid, t in zip(pdf["side"].tolist(), pdf["event_id"].tolist(), pdf["t_ms"].tolist()):
-            if pend is not None and self.timeout is not None and t - pend[2] > self.timeout:
-                out.append(("unmatched", pend, None, "timeout"))
-                pend = None
-            if pend is None:
-                pend = (side, int(eid), int(t))
-            elif pend[0] != side:
-                out.append(("match", pend, (side, int(eid), int(t)), None))
-                pend = None
-            else:
-                out.append(("unmatched", pend, None, "superseded"))
-                pend = (side, int(eid), int(t))
-        if pend is None:
-            self.pending.clear()
-        else:
-            self.pending.update(pend)
-            if self.timeout is not None:
-                self.handle.registerTimer(self._timer(pend[2]))
-        if out:
-            yield pd.DataFrame([self._row(key, *o) for o in out])
-
-    def _row(self, key, kind, a, b, reason):
-        if kind == "match":
-            ride, fare = (a, b) if a[0] == "ride" else (b, a)
-            return {"user_id": int(key[0]), "kind": kind, "ride_event_id": ride[1], "ride_ms": ride[2],
-                    "fare_event_id": fare[1], "fare_ms": fare[2], "side": None, "event_id": None,
-                    "t_ms": None, "reason": None}
-        return {"user_id": int(key[0]), "kind": kind, "ride_event_id": None, "ride_ms": None,
-                "fare_event_id": None, "fare_ms": None, "side": a[0], "event_id": a[1],
-                "t_ms": a[2], "reason": reason}
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.pending.exists():
-            pend = self.pending.get()
-            self.pending.clear()
-            yield pd.DataFrame([self._row(key, "unmatched", pend, None, "timeout")])
-
-    def close(self):
-        pass

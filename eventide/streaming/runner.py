@@ -8,11 +8,64 @@ DataFrame.  Nothing passes through the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import path_exists, scratch_path
 
 
+def advance(stream: DataFrame, name: str, base: str, output_mode: str = "append", batch_fn=None) -> None:
+    """Run ``stream`` over all input that is there, with its checkpoint and output below ``base``; run again
+    on the same ``base`` it goes on where it stopped (CKP-1)."""
+    out, ckpt = f"{base}/data", f"{base}/checkpoint"
+    w = stream.writeStream.queryName(f"{name}_{base[-6:]}").option("checkpointLocation", ckpt)
+    if output_mode == "append" and batch_fn is None:
+        q = w.format("parquet").option("path", out).outputMode("append") \
+             .trigger(availableNow=True).start()
+    else:
+        def write_batch(batch_df, batch_id):
+            df = batch_fn(batch_df, batch_id) if batch_fn else batch_df
+            df.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        q = w.foreachBatch(write_batch).outputMode(output_mode) \
+             .trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+
+
+def drain_in_slices(sources: dict[str, tuple[DataFrame, str]], build, name: str, slices: int = 5,
+                    output_mode: str = "append", batch_fn=None, base: str | None = None,
+                    each=None) -> DataFrame:
+    """Replay stored tables as streams that grow: ``sources`` maps a name to (table, column of its
+    order).  The tables are cut at common values of those columns; slice by slice is added to the
+    streams' folders, and the query ``build({name: stream})`` is started again on its checkpoint, one
+    micro-batch a slice (CKP-1: stopped and restarted between any two).  ``each(slice)`` runs after every
+    slice.  Returns the output."""
+    spark = next(iter(sources.values()))[0].sparkSession
+    base = base or scratch_path(spark, f"stream-{name}")
+    times = None
+    for table, col in sources.values():
+        t = table.select(table[col].alias("t"))
+        times = t if times is None else times.unionByName(t)
+    shares = [i / slices for i in range(1, slices)]
+    cuts = times.agg(F.percentile_approx("t", shares, 1000).alias("c")).first()["c"] if shares else []
+    cuts = sorted(set(cuts or []))
+    for i in range(len(cuts) + 1):
+        streams = {}
+        for source, (table, col) in sources.items():
+            folder = f"{base}/input-{source}"
+            rows = table
+            if i:
+                rows = rows.where(F.col(col) >= F.lit(cuts[i - 1]))
+            if i < len(cuts):
+                rows = rows.where(F.col(col) < F.lit(cuts[i]) if i else (F.col(col) < F.lit(cuts[i])) | F.col(col).isNull())
+            rows.write.mode("append").parquet(folder)
+            streams[source] = spark.readStream.schema(table.schema).parquet(folder)
+        advance(build(streams), name, base, output_mode, batch_fn)
+        if each:
+            each(i)
+    return spark.read.parquet(f"{base}/data")
+
+
 def drain(stream: DataFrame, name: str, output_mode: str = "append",
           batch_fn=None) -> DataFrame:
     """Run ``stream`` over all currently available input and return its
