@@ -15,6 +15,7 @@ from ..functions import geo
 from ..functions.text import line_tokens, text_lines
 from ..functions.timecols import inclusive_window_end_ms, ntz_from_ms
 from ..operators import matching, patterns, topn, watermark, windows
+from ..operators.accumulate import Mean, TopValues, accumulate
 from ..operators.scan import keyed_scan, running_count
 from ..sources import lines as L
 from ..sources.rides import fares, ride_events, ride_starts
@@ -339,6 +340,23 @@ def heading_sectors(spark, d):
             .agg(F.count(F.lit(1)).alias("n"))
 
 
+# --------------------------------------------------------------- accumulators of the caller's (UDF-4)
+@query("accumulated_mean")
+def accumulated_mean(spark, d):
+    """Mean value per user through a caller's accumulator (cents, so that sums are exact)."""
+    e = events(spark, d).select("user_id", F.round(F.col("value") * 100).alias("cents"))
+    return accumulate(e, "user_id", Mean("cents")).select("user_id", F.col("mean").alias("mean_cents"), "n")
+
+
+@query("accumulated_top")
+def accumulated_top(spark, d):
+    """The three largest values per event type with their event ids, through a caller's accumulator."""
+    e = events(spark, d).select("event_type", "event_id", "value")
+    top = accumulate(e, "event_type", TopValues("value", "event_id", P.TOP_N))
+    return top.select("event_type", F.posexplode(F.arrays_zip("values", "ids")).alias("i", "t")).select(
+        "event_type", (F.col("i") + 1).cast("long").alias("rank"), F.col("t.ids").alias("event_id"), F.col("t.values").alias("value"))
+
+
 # --------------------------------------------------------------- sources
 @query("bounded_scan")
 def bounded_scan(spark, d):

@@ -487,3 +487,13 @@ for _name, _of in (("ride_fare_match", "ride_fare_match"), ("late_rows", "late_r
     ORACLE[f"stream_{_name}"] = ORACLE[_of]
 
 ORACLE["stream_top3_gathered"] = ORACLE["stream_top3"]
+ORACLE["stream_fraud_carried"] = ORACLE["fraud_alerts"]
+ORACLE["stream_fraud_wall_clock"] = f"""
+WITH x AS (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY t_ms, event_id) AS pv FROM ({EV}))
+SELECT user_id AS account_id, event_id, make_timestamp(t_ms * 1000) AS ts, value AS amount FROM x
+WHERE pv < {P.FRAUD_SMALL} AND value > {P.FRAUD_LARGE}"""
+
+ORACLE["accumulated_mean"] = "SELECT user_id, sum(round(value * 100)) / count(value) AS mean_cents, count(value) AS n FROM events GROUP BY user_id"
+ORACLE["accumulated_top"] = f"""
+SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank, event_id, value
+FROM events WHERE value IS NOT NULL QUALIFY rank <= {P.TOP_N}"""

@@ -18,7 +18,7 @@ from ..sources.rides import fares, ride_starts
 from ..sources.tables import events, streaming_events, streaming_table
 from ..sources import lines as L
 from ..streaming import carry, jobs, process
-from ..streaming.runner import advance, drain, drain_in_slices
+from ..streaming.runner import advance, drain, drain_in_slices, drive
 from . import params as P
 from .catalog import FARE_ORDER, fare_match_rows, line_files, match_record, ntz, query
 
@@ -240,3 +240,25 @@ def stream_top3_gathered(spark, d):
     out = drain(jobs.gathered_top_n(means, P.TOP_N, P.MIN_WINDOW_MS, time=None), "top3_gathered")
     return out.select(ntz_from_ms("window_start_ms").alias("window_start"), ntz_from_ms("window_end_ms").alias("window_end"),
                       "rank", "user_id", "avg_value")
+
+
+@query("stream_fraud_wall_clock")
+def stream_fraud_wall_clock(spark, d):
+    """J2 with its original timer (TMR-3): the flag dies by wall clock, here a day after its micro-batch, which no
+    run lives to see; the query runs on a periodic trigger and is stopped when its input is."""
+    alerts = jobs.fraud(streaming_events(spark, d), P.FRAUD_SMALL, P.FRAUD_LARGE, P.DAY, time_mode="ProcessingTime")
+    out = drive(alerts, "fraud_wall_clock")
+    return out.select("account_id", "event_id", ntz_from_ms("t_ms").alias("ts"), "amount")
+
+
+@query("stream_fraud_carried")
+def stream_fraud_carried(spark, d):
+    """J2 for hot accounts: each micro-batch is one skew-safe scan, with the last row of every account carried
+    from batch to batch; five micro-batches in time order."""
+    e = events(spark, d).select("event_id", "user_id", "ts", "t_ms", "value")
+    base = scratch_path(spark, "stream-fraud_carried")
+    kinds = "event_id long, user_id long, ts timestamp, t_ms long, value double"
+    step = carry.small_then_large(carry.BatchState(spark, f"{base}/last", kinds), "user_id", "value",
+                                  P.FRAUD_SMALL, P.FRAUD_LARGE, P.FRAUD_WITHIN_MS)
+    out = drain_in_slices({"events": (e, "t_ms")}, lambda s: s["events"], "fraud_carried", SLICES, batch_fn=step, base=base)
+    return out.select(F.col("user_id").alias("account_id"), "event_id", ntz("ts").alias("ts"), F.col("value").alias("amount"))

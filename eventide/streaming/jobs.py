@@ -146,7 +146,15 @@ def one_to_one(tagged: DataFrame, timeout_ms: int) -> DataFrame:
     """J7 streaming over a tagged union (``user_id, side, event_id, t_ms, ts``): matches and
     unmatched rows, told apart by ``kind``.  Without a time-out see
     :func:`eventide.streaming.carry.matched_pairs`."""
-    t = process.run(tagged, "user_id", PR.OneToOneMatcher(timeout_ms), order=("t_ms", "event_id"))
+    return _pairs(process.run(tagged, "user_id", PR.OneToOneMatcher(timeout_ms), order=("t_ms", "event_id")))
+
+
+def one_to_one_connected(connected: DataFrame, timeout_ms: int) -> DataFrame:
+    """The same over two streams of :func:`eventide.operators.matching.connect`, each with a watermark of its own."""
+    return _pairs(process.run(connected, "user_id", PR.OneToOneMatcher(timeout_ms), time=None, order=("t_ms", "event_id")))
+
+
+def _pairs(t: DataFrame) -> DataFrame:
     return t.select(F.coalesce("match__user_id", "unmatched__user_id").alias("user_id"), F.col(process.TAG).alias("kind"),
                     *[F.col(f"match__{c}").alias(c) for c in ("ride_event_id", "ride_ms", "fare_event_id", "fare_ms")],
                     *[F.col(f"unmatched__{c}").alias(c) for c in ("side", "event_id", "t_ms", "reason")])

@@ -8,6 +8,8 @@ DataFrame.  Nothing passes through the driver.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import path_exists, scratch_path
@@ -95,3 +97,35 @@ def drain(stream: DataFrame, name: str, output_mode: str = "append",
     if not path_exists(spark, out):  # no micro-batch ran
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(out)
+
+
+def drive(stream: DataFrame, name: str, interval: str = "200 milliseconds", base: str | None = None,
+          quiet_s: float = 2.0, limit_s: float = 600.0, step=None) -> DataFrame:
+    """Run ``stream`` on the wall clock: a micro-batch every ``interval``, so that processing-time timers
+    fire between rows (TMR-3).  Such a query never ends by itself, as a timer may always be pending: it is
+    stopped once no row has come for ``quiet_s`` (after ``limit_s`` an error).  ``step(seconds)`` is
+    called while it runs and may feed it; it returns True as long as there is more to come."""
+    spark = stream.sparkSession
+    base = base or scratch_path(spark, f"stream-{name}")
+    q = (stream.writeStream.queryName(f"{name}_{base[-6:]}").option("checkpointLocation", f"{base}/checkpoint")
+         .format("parquet").option("path", f"{base}/data").outputMode("append").trigger(processingTime=interval).start())
+    begin = last = time.monotonic()
+    seen = -1
+    try:
+        while q.isActive:
+            q.awaitTermination(0.1)
+            now = time.monotonic()
+            more = bool(step and step(now - begin))
+            fed = [p.batchId for p in q.recentProgress if p.numInputRows]
+            if more or (fed and fed[-1] != seen) or q.lastProgress is None:
+                last, seen = now, fed[-1] if fed else seen
+            if now - last > quiet_s:
+                break
+            if now - begin > limit_s:
+                raise TimeoutError(f"{name} still had rows after {limit_s} s")
+    finally:
+        q.stop()
+    if q.exception():
+        raise q.exception()
+    return spark.read.schema(stream.schema).parquet(f"{base}/data") if path_exists(spark, f"{base}/data") else \
+        spark.createDataFrame([], stream.schema)
