@@ -13,9 +13,8 @@ a third of the data.
    row's chunk is a plain column (a binary search over the bounds), so that a
    hot key is spread over several chunks, each holding a contiguous slice of
    the key's sequence, and every reader of the plan sees the same cut;
-2. one shuffle on the chunk, then the window functions inside
-   ``(chunk, key)`` - bounded work per task.  Chunk labels are chosen such that
-   hash partitioning gives each chunk a task of its own;
+2. one shuffle on the chunk, whose number is its partition, then the window
+   functions inside ``(chunk, key)`` - bounded work per task;
 3. only a key that equals a bound's key can lie in two chunks.  The rows of
    those keys are summarised per ``(chunk, key)`` by a two-phase aggregate, and
    the summaries of earlier / later chunks of the same key are carried along;
@@ -33,9 +32,7 @@ order inside each key (add an id as the last tie-breaker).
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 CHUNK = "_chunk"
 #: True for rows whose key may lie in more than one chunk.
@@ -53,28 +50,6 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-@lru_cache(maxsize=None)
-def _hash_slots(n: int, upto: int) -> tuple[int, ...]:
-    spark = SparkSession.getActiveSession()
-    rows = (spark.range(upto).select(F.col("id").cast("int").alias("l"))
-            .select("l", F.pmod(F.hash("l"), F.lit(n)).alias("p")).orderBy("l").collect())
-    return tuple(r["p"] for r in rows)
-
-
-def chunk_labels(n: int) -> list[int]:
-    """``n`` ascending labels that hash partitioning into ``n`` tasks keeps apart."""
-    upto = 16 * n + 64
-    while True:
-        taken, labels = set(), []
-        for label, slot in enumerate(_hash_slots(n, upto)):
-            if slot not in taken:
-                taken.add(slot)
-                labels.append(label)
-        if len(labels) == n:
-            return labels
-        upto *= 2
-
-
 def _literal(row, cols, types) -> Column:
     return F.struct(*[F.lit(row[c]).cast(t).alias(f"c{i}") for i, (c, t) in enumerate(zip(cols, types))])
 
@@ -99,31 +74,30 @@ def chunked(df: DataFrame, keys, order, n: int | None = None) -> DataFrame:
             row = sample[i * len(sample) // n]
             if not bounds or row != bounds[-1]:
                 bounds.append(row)
-    labels = chunk_labels(n)[:len(bounds) + 1]
     if not bounds:
-        return df.withColumn(CHUNK, F.lit(labels[0])).withColumn(EDGE, F.lit(False))
+        return df.withColumn(CHUNK, F.lit(0)).withColumn(EDGE, F.lit(False))
     row = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(cols)])
     ladder = F.array(*[_literal(b, cols, types) for b in bounds])
-    names = F.array(*[F.lit(x) for x in labels])
     top = 1 << (len(bounds).bit_length() - 1)
     steps = F.array(*[F.lit(top >> k) for k in range(top.bit_length())])
     # the number of bounds that are not above the row: a binary search in falling powers of two
     below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
         (at + step <= len(bounds)) & (F.get(ladder, F.least(at + step, F.lit(len(bounds))) - 1) <= row),
         at + step).otherwise(at))
-    tagged = df.withColumn(CHUNK, F.get(names, below))
-    if keys:
-        seen = list({tuple(b[c] for c in keys): b for b in bounds}.values())
-        key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(keys)])
-        edge = F.array_contains(F.array(*[_literal(b, keys, types) for b in seen]), key)
-    else:
-        edge = F.lit(True)
+    tagged = df.withColumn(CHUNK, below)
+    # a key that reaches into another chunk is that of the bound below or above its row
+    edge = F.lit(not keys)
+    for bound in (F.get(ladder, F.col(CHUNK) - 1), F.get(ladder, F.col(CHUNK))) if keys else ():
+        same = bound.isNotNull()
+        for i, k in enumerate(keys):
+            same = same & bound[f"c{i}"].eqNullSafe(F.col(k))
+        edge = edge | same
     return tagged.withColumn(EDGE, edge)
 
 
 def deal(tagged: DataFrame, n: int | None = None) -> DataFrame:
-    """One shuffle that gives every chunk a task of its own."""
-    return tagged.repartition(n_chunks_for(tagged, n), CHUNK)
+    """One shuffle that gives every chunk a task of its own (the chunk's number is its partition)."""
+    return tagged.repartitionById(n_chunks_for(tagged, n), CHUNK)
 
 
 def keyed_scan(df: DataFrame, keys, order, running: dict | None = None,

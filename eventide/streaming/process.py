@@ -18,6 +18,7 @@ removed one by one.  Timers are a set per key.
 
 from __future__ import annotations
 
+import heapq
 from dataclasses import dataclass
 
 import pandas as pd
@@ -125,7 +126,8 @@ class _MapHandle:
 
     def get(self, *key):
         if key not in self.seen:
-            self.seen[key] = tuple(self.state.getValue(key)) if self.state.containsKey(key) else None
+            found = self.state.getValue(key)
+            self.seen[key] = None if found is None else tuple(found)
         return self.seen[key]
 
     def put(self, key: tuple, *fields) -> None:
@@ -146,7 +148,7 @@ class _MapHandle:
         for key in self.dirty:
             if self.seen[key] is not None:
                 self.state.updateValue(key, self.seen[key])
-            elif self.state.containsKey(key):
+            else:
                 self.state.removeKey(key)
 
 
@@ -154,19 +156,41 @@ class Context:
     """What a process function sees of its key: ``key``, ``watermark`` (of the row, else of the stream; None
     before there is one), states by name, timers and outputs."""
 
-    def __init__(self, key, states: dict, timers: set[int], watermark, outputs: dict):
-        self.key, self._states, self.timers = key, states, timers
-        self.watermark, self._outputs = watermark, outputs
+    def __init__(self, key, states: dict, timers, watermark, outputs: dict):
+        self.key, self._states, self.watermark, self._outputs = key, states, watermark, outputs
+        self._stored = set(timers)
+        self._pending = sorted(self._stored)  # a heap; entries that have been deleted since stay in it
+        self._added: set[int] = set()
+        self._deleted: set[int] = set()
 
     def state(self, name: str):
         return self._states[name]
 
     def register(self, t_ms: int) -> None:
         """A timer (once per time, however often it is registered)."""
-        self.timers.add(int(t_ms))
+        t_ms = int(t_ms)
+        if t_ms in self._added or (t_ms in self._stored and t_ms not in self._deleted):
+            return
+        self._deleted.discard(t_ms)
+        if t_ms not in self._stored:
+            self._added.add(t_ms)
+        heapq.heappush(self._pending, t_ms)
 
     def delete(self, t_ms: int) -> None:
-        self.timers.discard(int(t_ms))
+        t_ms = int(t_ms)
+        if t_ms in self._added:
+            self._added.discard(t_ms)
+        else:
+            self._deleted.add(t_ms)
+
+    def _due(self, wm: int) -> int | None:
+        """The first timer at or before ``wm``, which then is no longer pending."""
+        while self._pending and self._pending[0] <= wm:
+            t = heapq.heappop(self._pending)
+            if t in self._added or (t in self._stored and t not in self._deleted):
+                self.delete(t)
+                return t
+        return None
 
     def emit(self, tag: str, *fields) -> None:
         self._outputs[tag].append(fields)
@@ -187,18 +211,18 @@ class _Processor(StatefulProcessor):
         self.stores = {n: make[type(s)](n, s) for n, s in self.process.states.items()}
         self.process.open()
 
-    def _context(self, key, timer_values, stored: set[int]) -> Context:
+    def _context(self, key, timer_values, stored) -> Context:
         now = timer_values.getCurrentWatermarkInMs() - 1 if self.event_time else timer_values.getCurrentProcessingTimeInMs()
-        return Context(key, {n: kind(s) for n, (kind, s) in self.stores.items()}, set(stored), None if now < 0 else now,
+        return Context(key, {n: kind(s) for n, (kind, s) in self.stores.items()}, stored, None if now < 0 else now,
                        {tag: [] for tag in self.fields})
 
-    def _close(self, ctx: Context, stored: set[int]):
+    def _close(self, ctx: Context):
         ahead = 1 if self.event_time else 0
         for handle in ctx._states.values():
             handle.flush()
-        for t in stored - ctx.timers:
+        for t in ctx._deleted:
             self.handle.deleteTimer(t + ahead)
-        for t in ctx.timers - stored:
+        for t in ctx._added:
             self.handle.registerTimer(t + ahead)
         for tag, rows in ctx._outputs.items():
             if rows:
@@ -213,9 +237,8 @@ class _Processor(StatefulProcessor):
         return pd.DataFrame(columns)
 
     def handleInputRows(self, key, rows, timerValues):
-        ahead = 1 if self.event_time else 0
-        stored = {int(t) - ahead for t in self.handle.listTimers()}
-        ctx = self._context(key, timerValues, stored)
+        # only rows in event time can overtake a timer
+        ctx = self._context(key, timerValues, [int(t) - 1 for t in self.handle.listTimers()] if self.event_time else [])
         if self.order:  # one frame per key and batch; without an order, frames are handled as they come
             frames = [f for f in rows if len(f)]
             rows = [pd.concat(frames, ignore_index=True).sort_values(self.order, kind="stable")] if frames else []
@@ -225,21 +248,18 @@ class _Processor(StatefulProcessor):
                 if self.event_time:
                     wm = getattr(row, self.clock) if self.clock else getattr(row, self.t_ms) - self.delay - 1
                     wm = None if wm is None or wm != wm else int(wm)
-                    while wm is not None and ctx.timers and (t := min(ctx.timers)) <= wm:
-                        ctx.timers.discard(t)
+                    while wm is not None and (t := ctx._due(wm)) is not None:
                         ctx.watermark = t
                         self.process.on_timer(t, ctx)
                     ctx.watermark = wm if self.clock else stream
                 self.process.on_row(row, ctx)
-        yield from self._close(ctx, stored)
+        yield from self._close(ctx)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        ahead = 1 if self.event_time else 0
-        at = int(expiredTimerInfo.getExpiryTimeInMs()) - ahead
-        stored = {int(t) - ahead for t in self.handle.listTimers()} - {at}
-        ctx = self._context(key, timerValues, stored)
+        at = int(expiredTimerInfo.getExpiryTimeInMs()) - (1 if self.event_time else 0)
+        ctx = self._context(key, timerValues, [])  # the key's other timers are not asked for
         self.process.on_timer(at, ctx)
-        yield from self._close(ctx, stored)
+        yield from self._close(ctx)
 
     def close(self):
         pass

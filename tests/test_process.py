@@ -138,16 +138,16 @@ def test_means_of_one_window_in_several_batches(spark):
 
 
 def test_many_open_windows_of_one_key(spark):
-    """10,000 open windows; the second batch touches three of them."""
-    n = 10_000
+    """10,000 open windows; the second batch touches three of them, the third closes the first thousand."""
+    n, closed = 10_000, 1000
     first = table(spark, [(1, T0 + 1000 * i, 1.0) for i in range(n)], "user_id long, t_ms long, value double")
-    second = table(spark, [(1, T0 + 1000 * i + 5, 2.0) for i in (7, 5000, n - 1)], "user_id long, t_ms long, value double")
-    third = table(spark, [(2, T0 + 100_000_000, 0.0)], "user_id long, t_ms long, value double")
+    second = table(spark, [(1, T0 + 1000 * i + 5, 2.0) for i in (7, 500, n - 1)], "user_id long, t_ms long, value double")
+    third = table(spark, [(2, T0 + 20_000_000 + 1000 * closed, 0.0)], "user_id long, t_ms long, value double")
     out = batches(spark, [first, second, third], lambda s: jobs.pseudo_window(s, 1000, delay_ms=20_000_000), "open").collect()
     got = {r["window_end_ms"]: r["tips"] for r in out}
-    assert len(out) == len(got) == n
+    assert len(out) == len(got) == closed
     start = T0 - T0 % 1000
-    assert all(got[start + 1000 * i + 999] == (3.0 if i in (7, 5000, n - 1) else 1.0) for i in range(n))
+    assert all(got[start + 1000 * i + 999] == (3.0 if i in (7, 500) else 1.0) for i in range(closed))
 
 
 @pytest.mark.parametrize("slices", [1, 3, 7])
