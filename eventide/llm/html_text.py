@@ -9,6 +9,9 @@ their nearest decided neighbours.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import defaultdict
+from functools import reduce
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -39,23 +42,63 @@ MARKED = re.compile(r"""(?ix)(?:^|[\s_-])(?:ads?|advert\w*|adsense|banner|sponso
 footer|site-?header|page-?header|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|alert|popup|modal|overlay|newsletter|subscribe|signup|
 login|search|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|replies|reply|discussion|pagination|pager|widget\w*|
 complementary|contentinfo|navigation|banner|search|disclaimer|copyright|toc|tags|skip-?link)(?:$|[\s_-])""")
+#: Words among them that name topics and layouts as often (fixed values).
+_WEAK = ("search|", "share|", "sharing|", "social|", "related|", "recommend\\w*|", "widget\\w*|", "toc|", "tags|")
+SURELY_MARKED = re.compile(reduce(lambda p, w: p.replace(w, ""), _WEAK, MARKED.pattern))
 CONTENT = frozenset(["article", "main"])
+#: Share of stop words below which a page's language is none of the known ones.
+UNKNOWN = 0.05
 _LAYOUT = re.compile(r"(?i)\b(?:no|has|with|without|hide|show)[-_][\w-]+")
 
 
 class Blocks(HTMLParser):
     """Blocks of a page: [text, linked characters, heading, in content, boilerplate, region]."""
 
-    def __init__(self):
+    def __init__(self, marked: re.Pattern = MARKED):
         super().__init__(convert_charrefs=True)
         self.blocks: list[tuple] = []
-        self.open: list[tuple[str, bool, bool]] = []  # tag, boilerplate, content
+        self.open: list[tuple[str, bool, bool] | None] = []  # tag, boilerplate, content; None: ended out of order
+        self.where: dict[str, list[int]] = defaultdict(list)  # places of the open elements by tag
+        self.block_at: list[int] = []
         self.text: list[str] = []
         self.linked, self.links, self.heading, self.region = 0, 0, False, 0
+        self.marked, self.skip = marked, SKIP if marked is MARKED else SKIP - {"form"}
 
     def state(self):
         return self.open[-1][1:] if self.open else (False, False)
 
+    def push(self, tag, bad, content):
+        self.where[tag].append(len(self.open))
+        if tag in BLOCK:
+            self.block_at.append(len(self.open))
+        self.open.append((tag, bad, content))
+
+    def cut(self, at):
+        """End all elements from place ``at`` on."""
+        while len(self.open) > at or (self.open and self.open[-1] is None):
+            entry = self.open.pop()
+            if entry:
+                self.where[entry[0]].pop()
+                if entry[0] in BLOCK:
+                    self.block_at.pop()
+
+    def parse_marked_section(self, i, report=1):
+        """Any ``<![`` that is no known section is a comment up to the next ``>``."""
+        try:
+            return super().parse_marked_section(i, report)
+        except AssertionError:
+            return self._comment(i)
+
+    def parse_html_declaration(self, i):
+        try:
+            return super().parse_html_declaration(i)
+        except AssertionError:
+            return self._comment(i)
+
+    def _comment(self, i):
+        end = self.rawdata.find(">", i + 2)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def close_block(self):
         text = " ".join("".join(self.text).split())
         if text:
@@ -80,13 +123,13 @@ class Blocks(HTMLParser):
         hint = " ".join(values.get(k, "") for k in ("class", "id", "role"))
         hidden = "hidden" in values or values.get("aria-hidden") == "true" or "display:none" in values.get("style", "").replace(" ", "")
         starts = tag in CONTENT or values.get("role") in CONTENT or values.get("itemprop") == "articleBody"
-        if tag in SKIP or hidden or (tag == "header" and not inside) or (tag not in ("html", "body") and not starts and MARKED.search(_LAYOUT.sub("", hint))):
+        if tag in self.skip or hidden or (tag == "header" and not inside) or (tag not in ("html", "body") and not starts and self.marked.search(_LAYOUT.sub("", hint))):
             bad = True
         if starts and not bad:
             if not content:
                 self.region += 1
             content = True
-        self.open.append((tag, bad, content))
+        self.push(tag, bad, content)
         if tag in HEADINGS:
             self.heading = True
         if tag == "a":
@@ -98,35 +141,33 @@ class Blocks(HTMLParser):
             self.handle_endtag(tag)
 
     def end(self, tag, stop=()):
-        for i in range(len(self.open) - 1, -1, -1):
-            name = self.open[i][0]
-            if name == tag:
-                self.close_block()
-                self.links = max(0, self.links - sum(t[0] == "a" for t in self.open[i:]))
-                was = self.state()[1]
-                del self.open[i:]
-                if was and not self.state()[1]:
-                    self.region += 1
-                return
-            if name in stop or (name in BLOCK and tag == "p"):
-                return
+        """End the innermost ``tag`` and what is open in it, unless a ``stop`` (for p: a block) is in between."""
+        if not self.where[tag]:
+            return
+        at = self.where[tag][-1]
+        inner = [self.where[s][-1] for s in stop if self.where[s]] + (self.block_at[-1:] if tag == "p" else [])
+        if any(i > at for i in inner):
+            return
+        self.close_block()
+        self.links = max(0, self.links - (len(self.where["a"]) - bisect_left(self.where["a"], at)))
+        was = self.state()[1]
+        self.cut(at)
+        if was and not self.state()[1]:
+            self.region += 1
 
     def handle_endtag(self, tag):
         if tag in VOID:
             return
         if tag in BLOCK or tag in SKIP:
             self.close_block()
-        if any(t[0] == tag for t in self.open):
-            if tag not in BLOCK and tag not in SKIP:  # an inline end tag never closes a block
-                for i in range(len(self.open) - 1, -1, -1):
-                    if self.open[i][0] == tag:
-                        self.links -= tag == "a"
-                        self.links = max(0, self.links)
-                        del self.open[i]
-                        return
-                    if self.open[i][0] in BLOCK:
-                        return
+        if not self.where[tag]:
+            return
+        if tag in BLOCK or tag in SKIP:
             self.end(tag)
+        elif not self.block_at or self.block_at[-1] < self.where[tag][-1]:  # an inline end tag never closes a block
+            self.links = max(0, self.links - (tag == "a"))
+            self.open[self.where[tag].pop()] = None
+            self.cut(len(self.open))
 
     def handle_data(self, data):
         if self.state()[0]:
@@ -136,8 +177,8 @@ class Blocks(HTMLParser):
             self.linked += len("".join(data.split()))
 
 
-def parse(html: str) -> list[tuple]:
-    p = Blocks()
+def parse(html: str, marked: re.Pattern = MARKED) -> list[tuple]:
+    p = Blocks(marked)
     p.feed(html)
     p.close()
     p.close_block()
@@ -198,9 +239,30 @@ def second_pass(blocks: list[tuple], labels: list[int]) -> list[int]:
     return out
 
 
+def _share(blocks: list[tuple]) -> float:
+    words = [w for b in blocks for w in b[0].lower().split()]
+    return sum(w.strip(".,;:!?()\"'«»") in STOP for w in words) / max(1, len(words))
+
+
 def extract_text(html: str) -> str:
-    """Main text: the blocks of the article in page order, two line feeds between."""
+    """Main text: the blocks of the article in page order, two line feeds between.
+
+    If nothing is found, class names that may as well name a topic, and forms, no longer count
+    against a block; and if the page is in none of the known languages, length and links
+    decide without stop words."""
     blocks = [b for b in parse(html) if not b[4]]
+    text = _main_text(blocks)
+    if not text:
+        weak = [b for b in parse(html, SURELY_MARKED) if not b[4]]
+        text = _main_text(weak) if len(weak) > len(blocks) else ""
+        if not text and weak and _share(weak) < UNKNOWN:
+            labels = [0 if b[2] else 1 if len(b[0]) >= SHORT and b[1] <= LINKS * len(b[0]) else -1 for b in weak]
+            if 1 in labels:
+                text = "\n\n".join(b[0] for b, label in zip(weak, second_pass(weak, labels)) if label > 0)
+    return text
+
+
+def _main_text(blocks: list[tuple]) -> str:
     labels = [first_pass(b, False) for b in blocks]
     if any(b[3] for b in blocks):
         # Place is evidence where the regions of content hold most of the main text (or all there is).

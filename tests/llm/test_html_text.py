@@ -67,3 +67,45 @@ def test_frames(spark):
     got = H.extract(df).collect()
     assert [r["text"] for r in got] == [WANT, "", WANT] and got[0]["n_chars"] == "x"
     assert H.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("junk", ["<![foo[bar]]>", "<![", "<![if x]>", "<!doctype [<!entity x>", "<!>", "<!-", "<?x", "</", "<a b='", "&#xZZ;", "<![CDATA[x]]>"])
+def test_malformed_declarations(junk):
+    page = f"<article>{ARTICLE}</article>"
+    H.extract_text(junk)
+    H.extract_text(page[:40] + junk + page[40:])
+    assert H.extract_text(page + junk) == WANT
+
+
+def test_random_markup_never_fails():
+    import random
+
+    rng = random.Random(1)
+    bits = ["<p>", "</p>", "<b>", "</b>", "<div class='ad'>", "</div>", "<![x", "]]>", "<!--", "-->", "<article>", "</article>", "<li>", "<a href=x>",
+            "</a>", "<h1>", "</h2>", "text of it ", "&amp", "<table>", "<script>", "</script>", "\x00", "<", ">", "'", "<form>", "</ul>", "é"]
+    for _ in range(500):
+        H.extract_text("".join(rng.choice(bits) for _ in range(rng.randrange(60))))
+
+
+def test_unclosed_tags_cost_linear_time():
+    import time
+
+    def took(n):
+        begin = time.process_time()
+        H.extract_text("<p><i>" + "<b>" * n + "</i>" * n + "<h2>x</h2>" * n)
+        return time.process_time() - begin
+    took(1000)
+    assert took(16_000) < 16 * max(took(4000), 0.01)
+
+
+@pytest.mark.parametrize("page", [f"<form>{ARTICLE}</form>"] + [f"<div class='{c}'>{ARTICLE}</div>" for c in (
+    "post tags-x", "social-sciences", "content search", "related-art")] + [f"<div class='page widget-area'><article>{ARTICLE}</article></div>"])
+def test_names_that_also_name_topics(page):
+    assert H.extract_text(f"<body><nav><a href=/>Home of the site</a></nav>{page}</body>") == WANT
+
+
+def test_unknown_language_and_furniture_alone():
+    text = "Pierwszy akapit artykułu jest wystarczająco długi, żeby można było o nim zdecydować osobno, bez pomocy słów."
+    page = f"<body><nav><a href=x>Strona główna serwisu</a></nav><div><h1>Tytuł</h1><p>{text}</p></div><div class=comments><p>{text}</p></div></body>"
+    assert H.extract_text(page) == f"Tytuł\n\n{text}"
+    assert H.extract_text(f"<body><nav><a href=x>Home of it</a></nav><div class=comments><p>{P1}</p></div><footer>{P3}</footer></body>") == ""

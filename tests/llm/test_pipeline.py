@@ -71,5 +71,43 @@ def test_registered_once():
     import __spark_entry__
 
     names = [n for n in __spark_entry__.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in __spark_entry__.queries() and set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+@needs_data
+def test_one_row_of_every_group_stays(spark):
+    """Rows that share an id, or have none, are documents of their own: brute force over random ids."""
+    import random
+
+    a, b = ("the first text about cats and dogs in the house " * 5).strip(), ("another story of ships and storms at sea " * 5).strip()
+    rows = [(3, b), (5, a), (5, b), (7, a), (9, a)]
+    got = corpus_pipeline.dedup_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted(map(tuple, got)) == [(3, b), (5, a)]
+    rng = random.Random(2)
+    texts = [" ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randrange(1, 9) for _ in range(60)) for _ in range(12)] + ["", None]
+    rows = [(rng.choice([None, 1, 2, 3, 4, 5, 6]), rng.choice(texts), "x") for _ in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string").repartition(3)
+    got = [(r["doc_id"], r["text"]) for r in corpus_pipeline.dedup_stage(spark, df, SF).collect()]
+    prints = {t: simhash.fingerprint((t or "").encode()) for t in texts}
+    near = {t: {u for u in texts if (prints[t] ^ prints[u]).bit_count() <= 4} for t in texts}
+    classes = []
+    for t in texts:
+        joined = [c for c in classes if any(near[u] & {t} for u in c)]
+        classes = [c for c in classes if c not in joined] + [set().union({t}, *joined)]
+    present = {t for _, t, _ in rows}
+    assert len(got) == sum(bool(c & present) for c in classes)
+    for c in classes:
+        ids = [i for i, t, _ in rows if t in c]
+        kept = [i for i, t in got if t in c]
+        if ids:
+            assert kept == [min((i for i in ids if i is not None), default=None)]
+
+
+@needs_data
+def test_unnamed_leaks_go(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where(F.size(F.split("text", " ")) > 12).first()["text"]
+    clean = "a clean text that has nothing to do with any of the questions in the benchmark at all"
+    rows = [(None, item), (None, clean), (4, f"so {item} and so"), (4, clean), (6, None)]
+    got = corpus_pipeline.decontamination_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, clean), (4, clean), (6, None)], key=str)
