@@ -2,8 +2,9 @@
 on everything that the stage before it kept, and hands on the columns of ``documents``
 (the last one adds the ids).
 
-Documents are identified by doc_id.  Rows without a doc_id cannot be named by the
-stages that work on ids and pass through them.
+A document is a row.  The stages that drop documents name them by a key of their own (doc_id and
+hashes of the text), so rows that share a doc_id, or have none, are judged one by one; only
+rows that are equal in both are one document.
 """
 
 from __future__ import annotations
@@ -24,27 +25,37 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return toxicity.score(docs, model, out=mark).where(~F.col(f"{mark}.rejected")).drop(mark)
 
 
-def _only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Rows of ``docs`` with (left_semi) or without (left_anti) a doc_id in ``ids``."""
-    key = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(key, docs["doc_id"] == F.col("_id"), how)
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key that orders by doc_id (nulls last), then by 128 bits of hashes of the text."""
+    key, text = free_name(docs, "row"), F.coalesce("text", F.lit(""))
+    return docs.withColumn(key, F.struct(
+        F.col("doc_id").isNull().alias("unnamed"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("doc_id"),
+        F.col("text").isNotNull().alias("has_text"), F.xxhash64(text).alias("h"), F.xxhash64(F.lit(7), text).alias("g"))), key
+
+
+def _without(keyed: DataFrame, key: str, drop: DataFrame) -> DataFrame:
+    """Rows whose key is not among the keys ``drop``."""
+    gone = drop.select(F.col(key).alias("_gone")).distinct()
+    return keyed.join(gone, keyed[key] == F.col("_gone"), "left_anti")
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each SimHash group, and one row of each id."""
-    groups = simhash.near_duplicates(docs, shingle=4, distance=4)
-    copies = groups.where("doc_id <> component_id")
-    kept = _only(docs, copies, "left_anti")
+    """Keep one document of each SimHash group: that with the smallest doc_id (of one id, or of none, that with
+    the smaller text hash), and one row of each document."""
+    keyed, key = _keyed(docs)
+    groups = simhash.near_duplicates(keyed.select(key, "text"), id_col=key, shingle=4, distance=4)
+    kept = _without(keyed, key, groups.where(F.col(key) != F.col("component_id")))
     n = free_name(kept, "n")
-    order = [F.col(c) for c, kind in kept.dtypes if c != "doc_id" and not kind.startswith(("map", "variant"))]
-    first = Window.partitionBy("doc_id").orderBy(*order) if order else Window.partitionBy("doc_id").orderBy("doc_id")
-    named = kept.where(F.col("doc_id").isNotNull()).withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).drop(n)
-    return named.unionByName(kept.where(F.col("doc_id").isNull()))
+    order = [F.col(c) for c, kind in docs.dtypes if c != "doc_id" and not kind.startswith(("map", "variant"))]
+    first = Window.partitionBy(key).orderBy(*order)  # tasks cut to one row a key before the shuffle
+    return kept.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item, also with other parameters."""
-    return _only(docs, decontam.find_leaks(docs, load(spark, sf_dir, "benchmark")), "left_anti")
+    keyed, key = _keyed(docs)
+    leaks = decontam.find_leaks(keyed.select(key, "text"), load(spark, sf_dir, "benchmark"), id_col=key)
+    return _without(keyed, key, leaks).select(*docs.columns)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
