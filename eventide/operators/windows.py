@@ -64,3 +64,16 @@ def window_mean(df: DataFrame, key: str, value: str, size: str, ts: str = "ts",
               .select(F.col("w.start").alias("window_start"),
                       F.col("w.end").alias("window_end"), key,
                       F.try_divide(F.col("total"), F.col("n")).alias(out), "total", "n"))
+
+
+def process_window(df: DataFrame, key: str, size: str, fn, schema: str, ts: str = "ts") -> DataFrame:
+    """UDF-5: a process-window function of the caller's: ``fn(key, start, end, rows)`` gets the rows of a key
+    and tumbling window as a pandas frame and returns a frame of ``schema``.  It sees a whole group, as the
+    reference's does; what can be merged belongs in :mod:`eventide.operators.accumulate`."""
+    rows = df.withColumn("_w", F.window(ts, size))
+    rows = rows.withColumn("_start", F.col("_w.start")).withColumn("_end", F.col("_w.end")).drop("_w")
+
+    def run(group, pdf):
+        return fn(group[0], group[1], group[2], pdf.drop(columns=["_start", "_end"]))
+
+    return rows.groupBy(key, "_start", "_end").applyInPandas(run, schema)

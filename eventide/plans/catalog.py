@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import geo
 from ..functions.text import line_tokens, text_lines
-from ..functions.timecols import inclusive_window_end_ms, ntz_from_ms
+from ..functions.timecols import from_seconds, inclusive_window_end_ms, ntz_from_ms
 from ..operators import matching, patterns, topn, watermark, windows
 from ..operators.accumulate import Mean, TopValues, accumulate
 from ..operators.scan import keyed_scan, running_count
@@ -250,6 +250,13 @@ def ride_fare_match(spark, d):
     return match_record(p.filter("matched"))
 
 
+@query("ride_fare_pairs")
+def ride_fare_pairs(spark, d):
+    """PRJ-5: J12's output as the nested record of a ride and its fare."""
+    pair = matching.as_pair(ride_fare_match(spark, d), ["ride_id", "ride_time"], ["fare_time", "fare_line", "total_fare"])
+    return pair.select("pair.ride.ride_id", "pair.ride.ride_time", "pair.fare.fare_time", "pair.fare.fare_line", "pair.fare.total_fare")
+
+
 def _timed_pairs(spark, d):
     e = events(spark, d).filter(F.col("event_type").isin(P.MATCH_RIDE_TYPE, P.MATCH_FARE_TYPE))
     e = e.select("user_id", "event_id", "ts", "t_ms",
@@ -357,6 +364,19 @@ def accumulated_top(spark, d):
         "event_type", (F.col("i") + 1).cast("long").alias("rank"), F.col("t.ids").alias("event_id"), F.col("t.values").alias("value"))
 
 
+@query("window_median")
+def window_median(spark, d):
+    """UDF-5: the median value of a user and window by a process-window function of the caller's."""
+    def median(user, start, end, rows):
+        import pandas as pd
+
+        return pd.DataFrame({"user_id": [user], "window_start": [start], "window_end": [end], "median": [float(rows["value"].median())]})
+
+    e = events(spark, d).select("user_id", "ts", "value")
+    m = windows.process_window(e, "user_id", P.MIN_WINDOW, median, "user_id long, window_start timestamp, window_end timestamp, median double")
+    return m.select("user_id", ntz("window_start").alias("window_start"), ntz("window_end").alias("window_end"), "median")
+
+
 # --------------------------------------------------------------- sources
 @query("bounded_scan")
 def bounded_scan(spark, d):
@@ -424,3 +444,11 @@ def _from_files(kind):
 
 for _kind in LINE_SCHEMAS:
     query(f"lines_{_kind}")(_from_files(_kind))
+
+
+@query("line_windows")
+def line_windows(spark, d):
+    """PRJ-3: readings from text lines, their seconds as event time, counted per id and window."""
+    rows = QUERIES["lines_sensor"](spark, d).withColumn("ts", from_seconds("timestamp"))
+    n = rows.groupBy(F.window("ts", P.MIN_WINDOW).alias("w"), "id").agg(F.count(F.lit(1)).alias("n"))
+    return n.select("id", ntz(F.col("w.start")).alias("window_start"), "n")

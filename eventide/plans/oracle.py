@@ -497,3 +497,10 @@ ORACLE["accumulated_mean"] = "SELECT user_id, sum(round(value * 100)) / count(va
 ORACLE["accumulated_top"] = f"""
 SELECT event_type, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank, event_id, value
 FROM events WHERE value IS NOT NULL QUALIFY rank <= {P.TOP_N}"""
+
+ORACLE["ride_fare_pairs"] = ORACLE["ride_fare_match"]
+ORACLE["line_windows"] = """
+SELECT CAST(user_id AS VARCHAR) AS id, time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, count(*) AS n FROM events GROUP BY ALL"""
+ORACLE["window_median"] = """
+SELECT user_id, time_bucket(INTERVAL 15 MINUTE, ts) AS window_start, time_bucket(INTERVAL 15 MINUTE, ts) + INTERVAL 15 MINUTE AS window_end,
+       median(value) AS median FROM events GROUP BY ALL"""

@@ -16,7 +16,7 @@ from eventide.streaming.runner import drain
 from test_oracle import digest
 
 SF = "/root/testdata/sf0.001"
-STREAMS = ["stream_hourly_best", "stream_top3", "stream_window_min_updates", "stream_fraud", "stream_silence_1h",
+STREAMS = ["stream_hourly_best", "stream_top3", "stream_top3_gathered", "stream_window_min_updates", "stream_fraud", "stream_silence_1h",
            "stream_pseudo_window", "stream_match", "stream_unmatched", "stream_sessions", "stream_key_count", "stream_rolling_best"]
 
 
@@ -118,3 +118,16 @@ def test_line_fields(spark):
     assert good.count() == 2 and sorted(r[0] for r in bad.select("_corrupt_record").collect()) == ["s1,5", "s1,b,1"]
     at = spark.sql("SELECT TIMESTAMP '2024-01-01 00:00:01.250' AS a, TIMESTAMP '2024-01-01 00:00:01' AS b")
     assert tuple(at.select(L.instant("a"), L.instant("b")).first()) == ("2024-01-01T00:00:01.250Z", "2024-01-01T00:00:01Z")
+
+
+def test_console_and_caller_sinks(spark, tmp_path):
+    """SNK-1, SNK-3: the console, and a function of the caller's that gets every batch."""
+    write_parts(duckdb.connect(), f"{tmp_path}/events.parquet", [
+        f"SELECT {i}::BIGINT event_id, TIMESTAMP '2024-01-01' ts, 1::BIGINT user_id, 'x' event_type, 1.0::DOUBLE AS value" for i in range(3)])
+    e = streaming_events(spark, str(tmp_path), 1).select("event_id")
+    got = []
+    for sink in ("console", lambda batch, batch_id: got.append((batch_id, batch.collect()[0][0]))):
+        q = sinks.start(e, f"sink-{time.time_ns()}", sink, trigger=None)
+        q.awaitTermination()
+        assert q.exception() is None and q.lastProgress.numInputRows == 1
+    assert got == [(0, 0), (1, 1), (2, 2)]
