@@ -20,12 +20,10 @@ prefixes (a bounded number) are split by the following word.
 
 from __future__ import annotations
 
-import zlib
-
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from eventide.llm.common import arrow_batches, broadcast_if
@@ -33,21 +31,25 @@ from eventide.session import scratch_path
 
 #: Bits of the bitmap of frequent phrases: 2 ** this.
 FILTER_BITS = 25
-#: A prefix with more than 1 / HOT of all words has its stripe split into SHARDS (at most HOT prefixes are).
-HOT, SHARDS = 2000, 64
-#: The stripe of the empty prefix holds every word.
-FIRST_SHARDS = 4096
-#: Counter entries that a task holds before it hands stripes on.
-HELD = 400_000
+#: A prefix with more than 1 / HOT of all words has its stripe split by the next word (at most HOT prefixes
+#: are, and the empty one).
+HOT = 2000
+#: Buckets of stripes per shuffle partition, and at least; a task sends one row a bucket.
+BUCKETS, LEAST_BUCKETS = 16, 1024
+#: Counter entries, and words, that a task holds before it hands stripes on.
+HELD, HELD_WORDS = 2_000_000, 500_000
 #: Characters that end a piece (a class of RE2 syntax).
 PIECE_ENDS = r"[.,;:!?\x0A-\x0D]"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_STRIPES = "lang string, prefix string, shard int, next array<string>, n array<bigint>"
-_COUNTS = pa.schema([("lang", pa.large_string()), ("prefix", pa.large_string()), ("next", pa.large_string()), ("n", pa.int64())])
+#: A task's stripes of one bucket: language, prefix, the unnamed rest and the number of entries of each; the
+#: entries' words joined by blanks and their counts as packed 64-bit integers.
+_STRIPES = ("bucket int, lang array<string>, prefix array<string>, rest array<bigint>, size array<int>, next string, n binary")
+_MERGED = "lang string, prefix string, total bigint, next array<string>, n array<bigint>"
 
 
-def _hashes(strings: pa.Array) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(s or "", 7) for s in strings.to_pylist()], np.uint64)
+def _hashes(strings) -> np.ndarray:
+    """64-bit hashes of a list of strings."""
+    return pd.util.hash_array(np.array([*strings, ""], object), categorize=False)[:-1]
 
 
 def _mixed(state: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -65,7 +67,7 @@ class Words:
 
     def __init__(self, texts: pa.Array, langs: pa.Array):
         t = pc.fill_null(texts.cast(pa.large_string()), "")
-        t = pc.replace_substring_regex(pc.ascii_lower(t), PIECE_ENDS, " \n ")
+        t = pc.ascii_lower(pc.replace_substring_regex(t, PIECE_ENDS, " \n "))  # lower-casing wants an array without offset
         t = _spaced(pc.replace_substring(t, "\t", " "), pa.scalar("\n", pa.large_string()))
         split = pc.split_pattern(t, " ")
         coded = split.flatten().dictionary_encode()
@@ -77,47 +79,66 @@ class Words:
         real = (ids != empty) if empty >= 0 else np.ones(len(ids), bool)
         self.ids, self.lang = np.where(ids == end, -1, ids)[real], lang[real]
 
-    def stripes(self, length: int, marked) -> pa.Table:
-        """Entries (lang, prefix, next, n) of prefixes of ``length`` words; next is empty where
-        the phrase ends or goes on with what is not marked."""
-        ids, size, names = self.ids, len(self.names), len(self.names) + 1
-        span = follows = np.zeros(0, np.int64)
-        if len(ids) > length:
-            ok = np.ones(len(ids) - length, bool)
+    def stripes(self, length: int, marked, lexicon: Lexicon) -> pa.Table:
+        """Entries of prefixes of ``length`` words, in numbers of ``lexicon``: lang, w0, w1, ..., next (-1:
+        the phrase ends or goes on with what is not marked), n."""
+        ids, names = self.ids, np.array(self.names.to_pylist(), object)
+        n = max(len(ids) - length, 0)
+        here, size = ids[:n], len(names)
+        ok = np.ones(n, bool)
+        for j in range(length):
+            ok &= ids[j:n + j] >= 0
+        if length == 0:
+            ok = follows = here >= 0
+        elif n:
+            word = _hashes(names)[np.maximum(ids, 0)]
+            state = _hashes(self.langs.to_pylist())[self.lang][:n + 1]
             for j in range(length):
-                ok &= ids[j:len(ids) - length + j] >= 0
-            if length == 0:
-                ok &= ids >= 0
-                follows = ok
-            else:
-                word = _hashes(self.names)[np.maximum(ids, 0)]
-                state = _hashes(self.langs)[self.lang]
-                state = state[:len(ids) - length + 1]
-                for j in range(length):
-                    state = _mixed(state, word[j:len(ids) - length + 1 + j])
-                mark = marked(state)
-                ok, follows = ok & mark[:-1], mark[1:] & (ids[length:] >= 0)
-            span = np.flatnonzero(ok)
+                state = _mixed(state, word[j:n + 1 + j])
+            mark = marked(state)
+            ok, follows = ok & mark[:-1], mark[1:] & (ids[length:] >= 0)
+        span = np.flatnonzero(ok)
         if not len(span):
-            return _COUNTS.empty_table()
+            return None
+        columns = [ids[span + j] for j in range(length)] + [np.where(follows[span], ids[span + length], -1)]
         key = self.lang[span]
-        for j in range(length):
-            key = np.unique(key * size + ids[span + j], return_inverse=True)[1]
-        follow = np.where(follows[span], ids[span + length], -1)
-        _, first, count = np.unique(key * names + follow + 1, return_index=True, return_counts=True)
-        at, follow = span[first], follow[first]
-        parts = [self.names.take(pa.array(ids[at + j])) for j in range(length)]
-        prefix = _spaced(*parts) if length > 1 else parts[0] if parts else pa.array(
-            [""] * len(at), pa.large_string())
-        following = pc.if_else(pa.array(follow >= 0), self.names.take(pa.array(np.maximum(follow, 0))), "")
-        return pa.table([self.langs.take(pa.array(self.lang[at])), prefix, following, pa.array(count)], schema=_COUNTS)
+        for c in columns[:-1]:
+            key = np.unique(key * size + c, return_inverse=True)[1]
+        _, first, count = np.unique(key * (size + 1) + columns[-1] + 1, return_index=True, return_counts=True)
+        columns = [c[first] for c in columns]
+        used = np.zeros(size + 1, bool)  # the last place stands for -1
+        for c in columns:
+            used[c] = True
+        number = np.full(size + 1, -1)
+        at = np.flatnonzero(used[:-1])
+        number[at] = lexicon.numbers(names[at].tolist())
+        lang = lexicon.numbers(self.langs.to_pylist())[self.lang[span][first]]
+        return pa.table([lang, *(number[c] for c in columns), count], names=_columns(length))
+
+
+class Lexicon:
+    """Words of a task and their numbers."""
+
+    def __init__(self):
+        self.known: dict[str, int] = {}
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        known = self.known
+        return np.array([known.setdefault(w, len(known)) for w in words], np.int64)
+
+    def words(self) -> pa.Array:
+        return pa.array(list(self.known), pa.string())
+
+
+def _columns(length: int) -> list[str]:
+    return ["lang", *(f"w{j}" for j in range(length)), "next", "n"]
 
 
 def _bits(langs: pa.Array, phrases: pa.Array, bits: int) -> pa.Array:
-    """Places of phrases in the bitmap, as the passes compute them."""
-    state = _hashes(langs)
-    for j, words in enumerate(zip(*[p.split(" ") for p in phrases.to_pylist()])):
-        state = _mixed(state, _hashes(pa.array(words)))
+    """Places of phrases (of equally many words) in the bitmap, as the passes compute them."""
+    state = _hashes(langs.to_pylist())
+    for words in zip(*[p.split(" ") for p in phrases.to_pylist()]):
+        state = _mixed(state, _hashes(words))
     return pa.array((state >> np.uint64(64 - bits)).astype(np.int64))
 
 
@@ -137,126 +158,159 @@ def _bitmap(phrases: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _summed(counts: list[pa.Table]) -> pa.Table:
-    t = pa.concat_tables(counts).group_by(["lang", "prefix", "next"], use_threads=False).aggregate([("n", "sum")])
-    return t.rename_columns({"n_sum": "n"}).select(["lang", "prefix", "next", "n"])
+def _summed(tables: list[pa.Table], names: list[str]) -> pa.Table:
+    t = pa.concat_tables(tables).group_by(names[:-1], use_threads=False).aggregate([("n", "sum")])
+    return t.select([*names[:-1], "n_sum"]).rename_columns(names)
 
 
-def _heads(*columns) -> np.ndarray:
-    """Places where a sorted table's key changes."""
-    n = len(columns[0])
-    new = np.zeros(n, bool)
+def _heads(*columns: np.ndarray) -> np.ndarray:
+    """Places where the key of sorted rows changes."""
+    new = np.zeros(len(columns[0]), bool)
     new[:1] = True
     for c in columns:
-        c = c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
-        new[1:] |= pc.not_equal(c.slice(1), c.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+        new[1:] |= c[1:] != c[:-1]
     return np.flatnonzero(new)
 
 
-def _rolled(t: pa.Table, hot) -> pa.RecordBatch:
-    """Entries as stripes: one row per language, prefix and shard."""
-    shard = np.zeros(len(t), np.int32)
-    split = np.fromiter(((x, y) in hot if hot is not None else True for x, y in zip(
-        t["lang"].to_pylist(), t["prefix"].to_pylist())), bool, len(t)) if hot is None or hot else np.zeros(len(t), bool)
-    if split.any():
-        shards = FIRST_SHARDS if hot is None else SHARDS
-        words = t["next"].filter(pa.array(split)).to_pylist()
-        shard[split] = [zlib.crc32(w.encode()) % shards for w in words]
-    t = t.append_column("shard", pa.array(shard)).sort_by([("lang", "ascending"), ("prefix", "ascending"), ("shard", "ascending")])
-    head = _heads(t["lang"], t["prefix"], t["shard"])
-    offsets = pa.array(np.append(head, len(t)).astype(np.int32))
-    one = t.take(pa.array(head))
-    values = [t[c].combine_chunks() for c in ("next", "n")]
-    return pa.RecordBatch.from_arrays(
-        [one["lang"].combine_chunks().cast(pa.string()), one["prefix"].combine_chunks().cast(pa.string()),
-         one["shard"].combine_chunks(), pa.ListArray.from_arrays(offsets, values[0].cast(pa.string())),
-         pa.ListArray.from_arrays(offsets, values[1])], names=["lang", "prefix", "shard", "next", "n"])
-
-
-def _build(length: int, bitmap, bits: int, hot):
+def _bundled(bucket, lang, prefix, rest, size, words, n) -> pa.RecordBatch:
+    """Stripes, sorted by bucket, as one row a bucket.  ``size`` entries of ``words`` and ``n`` belong to each."""
+    head = _heads(bucket)
+    of_stripes = np.append(head, len(bucket)).astype(np.int32)
+    of_entries = np.concatenate(([0], np.cumsum(size)))[of_stripes].astype(np.int32)
+    packed = pa.Array.from_buffers(pa.binary(), len(head), [None, pa.py_buffer((of_entries * 8).astype(np.int32).tobytes()),
+                                                            pa.py_buffer(n.astype("<i8").tobytes())])
+    lists = [pa.ListArray.from_arrays(pa.array(of_stripes), x) for x in (
+        lang, prefix, pa.array(rest), pa.array(size.astype(np.int32)))]
+    joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(of_entries), words), " ")
+    return pa.RecordBatch.from_arrays([pa.array(bucket[head].astype(np.int32)), *lists, joined, packed],
+                                      names=["bucket", "lang", "prefix", "rest", "size", "next", "n"])
+
+
+def _rolled(t: pa.Table, lexicon: Lexicon, hot, buckets: int) -> pa.RecordBatch:
+    """Entries as stripes, in buckets by the hash of language and prefix; those of hot prefixes (None:
+    all) by that of the next word too."""
+    columns = [c.to_numpy() for c in t.columns]
+    lang, prefix, follow, n = columns[0], columns[1:-2], columns[-2], columns[-1]
+    words = lexicon.words()
+    hashed = _hashes(words.to_pylist())
+    state = hashed[lang]
+    for p in prefix:
+        state = _mixed(state, hashed[p])
+    split = np.full(len(n), hot is None)
+    for h_lang, phrase in hot or ():
+        parts = [lexicon.known.get(w, -2) for w in (h_lang, *phrase.split(" "))]
+        if min(parts) >= 0:
+            split |= np.logical_and.reduce([c == p for c, p in zip((lang, *prefix), parts)])
+    at = np.flatnonzero(split & (follow >= 0))
+    state[at] = _mixed(state[at], hashed[follow[at]])
+    bucket = (state % np.uint64(buckets)).astype(np.int64)
+    order = np.lexsort([follow, *reversed(prefix), lang, bucket])
+    lang, prefix, follow, n, bucket = lang[order], [p[order] for p in prefix], follow[order], n[order], bucket[order]
+    head = _heads(bucket, lang, *prefix)
+    stripe = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(n))))
+    rest = np.zeros(len(head), np.int64)
+    np.add.at(rest, stripe[follow < 0], n[follow < 0])
+    named = follow >= 0
+    parts = [words.take(pa.array(p[head])) for p in prefix]
+    text = pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0] if parts else pa.array([""] * len(head))
+    return _bundled(bucket[head], words.take(pa.array(lang[head])), text, rest, np.bincount(stripe[named], minlength=len(head)),
+                    words.take(pa.array(follow[named])), n[named])
+
+
+def _build(length: int, bitmap, bits: int, hot, buckets: int):
     """Task function: the stripes of some texts, combined while they fit."""
     def marked(state):
         at = state >> np.uint64(64 - bits)
         return (bitmap.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
     def run(batches):
-        held, rows = [], 0
+        names, lexicon, held, rows = _columns(length), Lexicon(), [], 0
         for b in batches:
-            if b.num_rows:
-                held.append(Words(b.column(0), b.column(1)).stripes(length, marked))
-                rows += len(held[-1])
-            if rows > HELD:
-                held = [_summed(held)]
+            t = Words(b.column(0), b.column(1)).stripes(length, marked, lexicon) if b.num_rows else None
+            if t is not None:
+                held.append(t)
+                rows += len(t)
+            if rows > HELD or len(lexicon.known) > HELD_WORDS:
+                held = [_summed(held, names)]
                 rows = len(held[0])
-                if rows > HELD // 2:
-                    yield _rolled(held[0], hot.value)
-                    held, rows = [], 0
+                if rows > HELD // 2 or len(lexicon.known) > HELD_WORDS:
+                    yield _rolled(held[0], lexicon, hot.value, buckets)
+                    lexicon, held, rows = Lexicon(), [], 0
         if rows:
-            yield _rolled(_summed(held), hot.value)
+            yield _rolled(_summed(held, names), lexicon, hot.value, buckets)
     return run
 
 
+def _added(t: pa.Table):
+    """Rows of stripes added elementwise: (language, prefix, rest) of every stripe, and its entries
+    (stripe, words, word, count) in order of stripe."""
+    def flat(name, kind):
+        return pa.chunked_array([pc.list_flatten(c) for c in t[name].chunks], kind).combine_chunks()
+
+    lang, prefix = (flat(c, pa.string()).dictionary_encode() for c in ("lang", "prefix"))
+    rest, size = flat("rest", pa.int64()).to_numpy(), flat("size", pa.int32()).to_numpy()
+    n = np.frombuffer(b"".join(t["n"].to_pylist()), "<i8")
+    some = pc.split_pattern(t["next"].filter(pc.greater(pc.binary_length(t["n"]), 0)), " ")
+    words = pa.chunked_array([pc.list_flatten(c) for c in some.chunks], pa.string()).combine_chunks().dictionary_encode()
+    n_prefix, n_words = max(len(prefix.dictionary), 1), max(len(words.dictionary), 1)
+    key, stripe = np.unique(lang.indices.to_numpy().astype(np.int64) * n_prefix + prefix.indices.to_numpy(), return_inverse=True)
+    rests = np.zeros(len(key), np.int64)
+    np.add.at(rests, stripe, rest)
+    entries = pa.table([np.repeat(stripe, size) * n_words + words.indices.to_numpy(), n], names=["key", "n"])
+    entries = entries.group_by("key", use_threads=False).aggregate([("n", "sum")]).sort_by("key")
+    at, n = entries["key"].to_numpy(), entries["n_sum"].to_numpy()
+    return (lang.dictionary.take(pa.array(key // n_prefix)), prefix.dictionary.take(pa.array(key % n_prefix)), rests,
+            at // n_words, words.dictionary, at % n_words, n)
+
+
 def _merge(min_count: int):
-    """Task function: rows sorted by key; equal stripes are added elementwise.  Only the
+    """Task function: rows sorted by bucket; equal stripes are added elementwise.  Only the
     entries of at least ``min_count`` are named in the result; the sum has all."""
-    def added(t: pa.Table) -> pa.RecordBatch:
-        head = _heads(t["lang"], t["prefix"], t["shard"])
-        stripe = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(t))))
-        sizes = pc.list_value_length(t["next"]).to_numpy()
-        flat = pa.table({"at": np.repeat(stripe, sizes), "next": pc.list_flatten(t["next"]), "n": pc.list_flatten(t["n"])})
-        flat = flat.group_by(["at", "next"], use_threads=False).aggregate([("n", "sum")]).sort_by([("at", "ascending"), ("next", "ascending")])
-        at, n = flat["at"].to_numpy(), flat["n_sum"].to_numpy()
-        total = np.zeros(len(head), np.int64)
+    def merged(t: pa.Table) -> pa.RecordBatch:
+        lang, prefix, total, at, words, word, n = _added(t)
         np.add.at(total, at, n)
-        named = (n >= min_count) & pc.not_equal(flat["next"], "").to_numpy()
-        offsets = pa.array(np.append(0, np.cumsum(np.bincount(at[named], minlength=len(head)))).astype(np.int32))
-        one = t.take(pa.array(head))
+        keep = n >= min_count
+        offsets = pa.array(np.append(0, np.cumsum(np.bincount(at[keep], minlength=len(total)))).astype(np.int32))
         return pa.RecordBatch.from_arrays(
-            [one["lang"].combine_chunks(), one["prefix"].combine_chunks(), pa.array(total),
-             pa.ListArray.from_arrays(offsets, flat["next"].filter(pa.array(named)).combine_chunks()),
-             pa.ListArray.from_arrays(offsets, pa.array(n[named]))], names=["lang", "prefix", "total", "next", "n"])
+            [lang, prefix, pa.array(total), pa.ListArray.from_arrays(offsets, words.take(pa.array(word[keep]))),
+             pa.ListArray.from_arrays(offsets, pa.array(n[keep]))], names=["lang", "prefix", "total", "next", "n"])
+
+    def shrunk(t: pa.Table) -> pa.Table:
+        """Rows of one bucket as one."""
+        lang, prefix, rest, at, words, word, n = _added(t)
+        bucket = np.repeat(t["bucket"][0].as_py(), len(rest))
+        return pa.Table.from_batches([_bundled(bucket, lang, prefix, rest, np.bincount(at, minlength=len(rest)), words.take(pa.array(word)), n)])
 
     def run(batches):
-        held = None
+        held, fresh = None, 0
         for b in batches:
-            t = pa.Table.from_batches([b])
-            t = t if held is None else pa.concat_tables([held, t]).combine_chunks()
-            if not len(t):
+            if not b.num_rows:
                 continue
-            last = int(_heads(t["lang"], t["prefix"], t["shard"])[-1])  # its key may go on in the next batch
+            t = pa.Table.from_batches([b])
+            t = t if held is None else pa.concat_tables([held, t.cast(held.schema)]).combine_chunks()
+            last = int(_heads(t["bucket"].to_numpy())[-1])  # its bucket may go on in the next batch
             if last:
-                yield added(t.slice(0, last).combine_chunks())
-            held = t.slice(last).combine_chunks()
-            if len(held) > 256:  # one key in very many rows: add them up on the way
-                one = _restripe(held)
-                held = pa.Table.from_batches([one])
-        if held is not None and len(held):
-            yield added(held)
+                yield merged(t.slice(0, last))
+            fresh = len(t) - last if last else fresh + b.num_rows
+            held = t.slice(last)
+            if fresh > 256:  # rows of very many tasks: add them up on the way
+                held, fresh = shrunk(held), 0
+        if held is not None:
+            yield merged(held)
     return run
 
 
-def _restripe(t: pa.Table) -> pa.RecordBatch:
-    flat = pa.table({"next": pc.list_flatten(t["next"]), "n": pc.list_flatten(t["n"])})
-    flat = flat.group_by(["next"], use_threads=False).aggregate([("n", "sum")])
-    whole = pa.array([0, len(flat)], pa.int32())
-    return pa.RecordBatch.from_arrays(
-        [t[c].slice(0, 1).combine_chunks() for c in ("lang", "prefix", "shard")]
-        + [pa.ListArray.from_arrays(whole, flat["next"].combine_chunks()), pa.ListArray.from_arrays(whole, flat["n_sum"].combine_chunks())],
-        schema=t.schema)
-
-
 def stripes(texts: DataFrame, length: int, bitmap: np.ndarray, hot, min_count: int, bits: int = FILTER_BITS) -> DataFrame:
     """Merged stripes of all prefixes of ``length`` words of ``texts`` (text, lang): lang,
     prefix, total, next, n, written to the shared folder.  ``hot``: prefixes that are split
-    (None: all); a split stripe has several rows."""
+    (None: all); a split stripe may have several rows."""
     spark = texts.sparkSession
     sc = spark.sparkContext
-    local = texts.mapInArrow(_build(length, sc.broadcast(bitmap), bits, sc.broadcast(hot)), _STRIPES)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["lang", "prefix", "shard"]
-    dealt = local.repartition(parts, *keys).sortWithinPartitions(*keys)
+    local = texts.mapInArrow(_build(length, sc.broadcast(bitmap), bits, sc.broadcast(hot), max(LEAST_BUCKETS, BUCKETS * parts)), _STRIPES)
+    dealt = local.repartition(parts, "bucket").sortWithinPartitions("bucket")
     path = scratch_path(spark, f"stripes-{length}")
-    dealt.mapInArrow(_merge(min_count), "lang string, prefix string, total bigint, next array<string>, n array<bigint>").write.parquet(path)
+    dealt.mapInArrow(_merge(min_count), _MERGED).write.parquet(path)
     return spark.read.parquet(path)
 
 
