@@ -79,3 +79,23 @@ def test_sequence_number_is_global_order(spark):
     got = sequence_number(df, ["t", "eid"]).select("eid", "position").collect()
     want = df.select("eid", F.row_number().over(Window.orderBy("t", "eid")).alias("position"))
     assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in want.collect())
+
+
+def test_five_hundred_chunks(spark):
+    """Chunks follow the order of (key, order), border keys are found by two comparisons, and the plan names
+    a bound a few times and not once a comparison."""
+    from eventide.operators.scan import CHUNK, EDGE, chunked
+
+    rows = [(0 if i % 3 == 0 else i % 700, i) for i in range(20_000)]
+    df = spark.createDataFrame(rows, "k long, o long")
+    tagged = chunked(df, ["k"], ["o"], 500)
+    got = sorted((r["k"], r["o"], r[CHUNK], r[EDGE]) for r in tagged.collect())
+    chunks = [c for _, _, c, _ in got]
+    assert chunks == sorted(chunks) and max(chunks) > 250
+    of_key = {}
+    for k, _, c, _ in got:
+        of_key.setdefault(k, set()).add(c)
+    assert all(edge for k, _, _, edge in got if len(of_key[k]) > 1)
+    assert len(of_key[0]) > 80  # a third of the rows
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan) < 1_000_000
