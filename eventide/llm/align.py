@@ -141,9 +141,9 @@ class Pair:
         ids_a = self.a.encode_all([" " + texts[i] for i in real])
         ids_b = self.b.encode([texts[i] for i in real], num_threads=1)
         for i, a, b in zip(real, ids_a, ids_b):
-            a, whole = np.frombuffer(a, "<u4"), (" " + texts[i]).encode()
-            if b"".join(map(self.bytes_b.__getitem__, b)) == whole and b"".join(map(self.bytes_a.__getitem__, a.tolist())) == whole:
-                out[i] = a.astype(np.int64), np.array(b, np.int64)
+            # tokens of A give the bytes back by their construction: every one is the join of its two parts
+            if b"".join(map(self.bytes_b.__getitem__, b)) == (" " + texts[i]).encode():
+                out[i] = np.frombuffer(a, "<u4").astype(np.int64), np.array(b, np.int64)
         return out
 
     def align(self, texts: list):

@@ -22,6 +22,7 @@ from __future__ import annotations
 import codecs
 import heapq
 import json
+import re
 from array import array
 
 import numpy as np
@@ -46,6 +47,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 RUNS = {"letter": regex.compile(r"\p{L}*"), "number": regex.compile(r"\p{N}*"),
         "space": regex.compile(r"\s*"), "other": regex.compile(r"[^\s\p{L}\p{N}]*")}
 _WORDS = regex.compile(WORDS)
+#: The same for texts of ASCII characters, which the plain module finds faster.
+_ASCII_WORDS = re.compile(r"'(?:[stmd]|re|ve|ll)| ?[A-Za-z]+| ?[0-9]+| ?[^\t-\r A-Za-z0-9]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
 _cache: dict = {}
 
 
@@ -134,8 +137,8 @@ class Encoder:
         i = np.minimum(np.searchsorted(self.pairs, pair), self.none - 1)
         return np.where(self.pairs[i] == pair, self.by_pair[i], self.none)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Token ids of words that are no empty strings, all words at once: in each round the
+    def merge(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words that are no empty strings, all words at once: in each round the
         pair of lowest rank of every word merges at all its places, in a run of one token from
         the left.  Words that are done leave the arrays."""
         ids = self.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
@@ -172,7 +175,8 @@ class Encoder:
             rank[touched] = self._ranks(ids, touched)
         word = np.concatenate([w for w, _ in done])
         ids = np.concatenate([i for _, i in done])[np.argsort(word, kind="stable")]
-        return np.split(ids, np.cumsum(np.bincount(word, minlength=len(words)))[:-1])
+        packed, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(np.bincount(word, minlength=len(words)))).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
     def merge_window(self, data: bytes) -> list[int]:
         """The same for one long stretch, with a queue of pairs over a linked list."""
@@ -204,8 +208,7 @@ class Encoder:
             self.words, self.kept = {w: self.words[w] for w in words if w in self.words}, 0
         short = [w for w in new if len(w) <= LONG_WORD]
         if short:
-            for w, ids in zip(short, self.merge([w.encode() for w in short])):
-                self.words[w] = ids.astype("<u4").tobytes()
+            self.words.update(zip(short, self.merge([w.encode() for w in short])))
             self.kept += sum(map(len, short)) + 8 * len(short)
         for w in new:
             if len(w) > LONG_WORD:
@@ -222,7 +225,8 @@ class Encoder:
                 block.append(texts[at])
                 size += len(texts[at])
                 at += 1
-            split = [_WORDS.findall(t) if len(t) <= BLOCK and not (self.special and self.special.search(t)) else None for t in block]
+            split = [(_ASCII_WORDS if t.isascii() else _WORDS).findall(t) if len(t) <= BLOCK and not (
+                self.special and self.special.search(t)) else None for t in block]
             self.learn(set().union(*(s for s in split if s)))
             get = self.words.__getitem__
             out += [b"".join(map(get, s)) if s is not None else self._stream(t) for s, t in zip(split, block)]
