@@ -38,39 +38,43 @@ def canonical(text: Column) -> Column:
     return F.filter(F.split(t, r"[\s.]*\s[\s.]*"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
 
 
+def _shown(w: Column, kinds: str) -> Column:
+    """A word with its slot empty if it is of some kinds, else as its value."""
+    value = F.regexp_replace(w, "⟨[nup]:|⟩", "")
+    empty = F.when(F.substring(w, 2, 1).isin(*kinds), F.concat(F.substring(w, 1, 2), F.lit("⟩"))).otherwise(value) if kinds else value
+    return F.when(w.startswith("⟨"), empty).otherwise(w)
+
+
 def template(words: Column, kinds: str = "nup") -> Column:
     """The same words with empty slots of some kinds, the other slots as their values."""
-    def shown(w):
-        value = F.regexp_replace(w, "⟨[nup]:|⟩", "")
-        return F.when(w.startswith("⟨"), F.when(F.substring(w, 2, 1).isin(*kinds), F.concat(F.substring(w, 1, 2), F.lit("⟩")))
-                      .otherwise(value)).otherwise(w)
-
-    return F.transform(words, shown)
+    return F.transform(words, lambda w: _shown(w, kinds))
 
 
 def literal(words: Column) -> Column:
     """The same words with slots as their values: the case of a name does not show."""
-    return F.transform(words, lambda w: F.when(w.startswith("⟨"), F.regexp_replace(w, "⟨[nup]:|⟩", "")).otherwise(w))
+    return template(words, "")
 
 
-def _windows(words: Column, size: int) -> Column:
-    """Hashes of all windows; a shorter text is one window; none has none."""
+def _windows(words: Column, size: int, kinds: str | None = None) -> Column:
+    """Hashes of all windows (of the words as :func:`template` shows them, if kinds are given); a shorter
+    text is one window; none has none."""
     def hashes(ws):
         joined = F.transform(F.sequence(F.lit(0), F.greatest(F.size(ws) - size, F.lit(0))), lambda i: F.xxhash64(
             *[F.get(ws, i + j) for j in range(size)]))
         return F.when(F.size(ws) > 0, joined).otherwise(F.array().cast("array<bigint>"))
 
-    return let(F.transform(words, lambda w: F.xxhash64(w)), hashes)
+    return let(F.transform(words, lambda w: F.xxhash64(w if kinds is None else _shown(w, kinds))), hashes)
 
 
 def _views(words: Column, size: int) -> list[Column]:
     """Hashes of all windows as templates, as templates with the names as words, and word for
     word (empty where that is the same)."""
     none = F.array().cast("array<bigint>")
-    names, numbers = F.exists(words, lambda w: w.startswith("⟨p")), F.exists(words, lambda w: w.rlike("^⟨[nu]"))
-    return [_windows(template(words), size),
-            F.when(names & numbers, _windows(template(words, "nu"), size)).otherwise(none),
-            F.when(names | numbers, _windows(literal(words), size)).otherwise(none)]
+    names = F.exists(words, lambda w: w.startswith("⟨p"))
+    numbers = F.exists(words, lambda w: w.startswith("⟨n") | w.startswith("⟨u"))
+    return [_windows(words, size, "nup"),
+            F.when(names & numbers, _windows(words, size, "nu")).otherwise(none),
+            F.when(names | numbers, _windows(words, size, "")).otherwise(none)]
 
 
 def _placed(hashes: Column, size: int) -> Column:
