@@ -90,17 +90,19 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     """(item, at, h, strong, firm, values, n, n_firm): every window of every item as template,
     with the names as words and word for word, with its words.  Templates with fewer than ``plain`` words outside slots
     are not ``strong``; ``firm`` windows have a strong template.  n and n_firm count an item's
-    windows.  Items of numbers and units alone have none."""
-    b = _named(benchmark, id_col, text_col, "item").where(F.exists("words", lambda w: ~w.rlike("^⟨[nu]:")))
-    b = b.select("item", "words", F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))).alias("at"))
-    b = b.select("item", "at", F.slice("words", F.col("at") + 1, F.lit(size)).alias("values"))
+    windows.  Items of numbers and units alone have only windows word for word."""
+    b = _named(benchmark, id_col, text_col, "item").where(F.size("words") > 0)
+    b = b.select("item", "words", F.forall("words", lambda w: w.rlike("^⟨[nu]:")).alias("bare"), F.explode(F.sequence(F.lit(0), F.greatest(F.size("words") - size, F.lit(0)))).alias("at"))
+    b = b.select("item", "at", "bare", F.slice("words", F.col("at") + 1, F.lit(size)).alias("values"))
     def key(shown, slots):
         rest = F.size(F.filter("values", lambda w: ~w.rlike(slots)))
         strong = rest >= F.least(F.lit(plain), F.size("values")) if slots else F.lit(True)
         return F.struct(F.get(_windows(shown, size), F.lit(0)).alias("h"), strong.alias("strong"))
 
     values = F.col("values")
-    keys = F.array(key(template(values), "^⟨"), key(template(values, "nu"), "^⟨[nu]"), key(literal(values), ""))
+    word_for_word = key(literal(values), "")
+    keys = F.when(F.col("bare"), F.array(word_for_word)).otherwise(
+        F.array(key(template(values), "^⟨"), key(template(values, "nu"), "^⟨[nu]"), word_for_word))
     b = b.withColumn("firm", F.size(F.filter("values", lambda w: ~w.startswith("⟨"))) >= F.least(F.lit(plain), F.size("values")))
     b = b.select("item", "at", "firm", "values", F.explode(keys).alias("key")).groupBy("item", "at", "firm", "values", "key.h").agg(
         F.max("key.strong").alias("strong"))
@@ -108,6 +110,22 @@ def benchmark_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: s
     return b.join(count, "item")
 
 
+def _rare_windows(strong: DataFrame, hit: DataFrame, cover: float) -> DataFrame:
+    """(h, item): windows of which a document that covers ``cover`` of the item's holds at least one.
+
+    A document may miss ``n - cover * n`` firm windows, so of one more of them it has one; those that the fewest documents
+    hold are taken, and a template that most items and documents share meets nobody by itself.  Items
+    with fewer firm windows keep all."""
+    met = hit.groupBy("h").agg(F.count("*").alias("docs"))
+    at = strong.join(met, "h", "left").groupBy("item", "at", "firm").agg(
+        F.sum(F.coalesce("docs", F.lit(0))).alias("docs"), F.max("n").alias("n"), F.max("n_firm").alias("n_firm"))
+    least = F.floor(F.col("n") * (1 - cover) + 1e-6) + 1
+    order = Window.partitionBy("item").orderBy(F.desc("firm"), "docs", "at")  # an item's windows
+    at = at.withColumn("r", F.row_number().over(order)).where(
+        (F.col("n_firm") < least) | (F.col("firm") & (F.col("r") <= least)))
+    return strong.join(at.select("item", "at"), ["item", "at"]).select("h", "item").distinct()
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                item_col: str = "item_id", item_text: str = "text", size: int = WINDOW, cover: float = COVER) -> DataFrame:
     """(doc id, item id, cover, exact): documents that hold an item, word for word or with
@@ -117,26 +135,28 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     Coverage counts an item's distinct windows; of windows aligned at one offset only
     those that are equal word for word or have consistent slots count.  Names that the document writes in
     another case are compared as words.  Items shorter than a window are found by windows of
-    their own length; those of fewer than ``PLAIN`` words only as whole texts.  Null and empty texts match nothing; a repeated
+    their own length; those of one word only as whole texts (a word alone is no passage).  Items of numbers and units
+    alone are found word for word.  Null and empty texts match nothing; a repeated
     document or item gives its pairs once; rows with a null id are left out (they
     cannot be named).  Other columns are not read."""
     bench = cut(benchmark_windows(benchmark.where(F.col(item_col).isNotNull()).select(item_col, item_text).distinct(),
                                   item_col, item_text, size))
+    n_bench = bench.count()
     hashes = bench.groupBy("h").agg(F.max("strong").alias("strong"))
-    n_hashes = hashes.count()
     # lengths of the items shorter than a window: fewer than ``size`` rows
-    short = sorted(r["k"] for r in bench.select(F.size("values").alias("k")).distinct().collect() if PLAIN <= r["k"] < size)
+    short = sorted(r["k"] for r in bench.select(F.size("values").alias("k")).distinct().collect() if 1 < r["k"] < size)
     sizes = [size, *short]
     docs = docs.where(F.col(id_col).isNotNull()).select(id_col, text_col)
 
     words = _named(docs, id_col, text_col, "doc")
     every = F.concat(*[v for k in sizes for v in _views(F.col("words"), k)])
     seen = words.select("doc", F.explode(F.array_distinct(every)).alias("h"))
-    hit = seen.join(broadcast_if(hashes.where("strong").select("h"), n_hashes, 16), "h").distinct()
-    need = bench.groupBy("item").agg(F.max("n").alias("n"), F.max("n_firm").alias("n_firm"))
+    hit = cut(seen.join(broadcast_if(hashes.where("strong").select("h"), n_bench, 16), "h").distinct())
+    strong = bench.where("strong").select("h", "item", "at", "firm", "n", "n_firm").distinct()
+    near = hit.join(broadcast_if(_rare_windows(strong, hit, cover), n_bench, 40), "h").select("doc", "item").distinct()
     # Windows that are not firm may still count beside others.
-    pairs = (hit.join(bench.where("strong").select("h", "item", "at", "firm").distinct(), "h").groupBy("doc", "item")
-             .agg(F.countDistinct(F.when(F.col("firm"), F.col("at"))).alias("c")).join(need, "item")
+    pairs = (hit.join(near, "doc").join(broadcast_if(strong, n_bench, 64), ["h", "item"]).groupBy("doc", "item")
+             .agg(F.countDistinct(F.when(F.col("firm"), F.col("at"))).alias("c"), F.max("n").alias("n"), F.max("n_firm").alias("n_firm"))
              .where(F.col("c") + F.col("n") - F.col("n_firm") >= cover * F.col("n")))
     pairs = cut(pairs.select("doc", "item", "n"))
     # Only the candidates' texts are read again, for positions and slots.
@@ -145,7 +165,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     again = _named(docs.join(near, docs[id_col] == F.col("d"), "left_semi"), id_col, text_col, "doc")
     placed = F.concat(*[_placed(v, k) for k in sizes for v in _views(F.col("words"), k)])
     again = again.select("doc", "words", F.explode(placed).alias("w")).select("doc", "words", "w.*")
-    again = again.join(broadcast_if(hashes.select("h"), n_hashes, 16), "h").select(
+    again = again.join(broadcast_if(hashes.select("h"), n_bench, 16), "h").select(
         "doc", "pos", "h", F.slice("words", F.col("pos") + 1, F.col("k")).alias("found"))
     aligned = (again.join(pairs.join(bench.select("item", "at", "h", "strong", "values"), "item"), ["doc", "h"])
                .groupBy("doc", "item", "n", "at", (F.col("pos") - F.col("at")).alias("shift"), "values", "found")

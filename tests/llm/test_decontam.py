@@ -53,7 +53,25 @@ def test_slots_must_be_consistent(spark):
 def test_items_of_all_kinds(spark):
     bench = [(1, ITEM), (1, ITEM), (2, ITEM), (3, None), (4, ""), (5, "two words"), (6, "1 2 3 4 5 6 7"), (None, ITEM)]
     got = run(spark, [(1, ITEM), (2, "here are two words only"), (3, "two words"), (4, "1 2 3 4 5 6 7")], bench)
-    assert set(got) == {(1, 1), (1, 2), (3, 5)}
+    assert set(got) == {(1, 1), (1, 2), (2, 5), (3, 5), (4, 6)}
+
+
+def test_numbers_and_short_items_word_for_word(spark):
+    bench = [(1, "12 + 45 - 3 * 7 = 9 + 27"), (2, "hello world"), (3, "5 apples"), (4, "alone"), (5, "42")]
+    docs = [(1, "so 12 + 45 - 3 * 7 = 9 + 27 it is"), (2, "they say Hello, world! again"), (3, "give me 5 apples, please"),
+            (4, "alone"), (5, "42."), (11, "so 12 + 45 - 3 * 7 = 8 + 27 it is"), (12, "hello big world"), (13, "give me 6 apples please"),
+            (14, "she was alone with 42 of them"), (15, "12 45 3 7 and 9 27")]
+    assert set(run(spark, docs, bench)) == {(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)}
+
+
+def test_windows_that_most_items_and_documents_share(spark):
+    """A common lead alone is no leak; items of nothing but common windows are still found."""
+    lead = "choose the one best answer to the following question and write it down"
+    tail = [" ".join(f"w{'abcdefghij'[(i * 7 + j) % 10]}{'klmnopqrst'[i % 10]}" for j in range(12)) for i in range(10)]
+    bench = [(i, f"{lead} {t}") for i, t in enumerate(tail)] + [(50, lead), (51, "choose the one best answer")]
+    docs = [(i, f"{lead} something else {i} that no item says") for i in range(100, 160)] + [(i, f"x {b} y") for i, b in bench[:10]]
+    got = set(run(spark, docs, bench))
+    assert got == {(d, j) for d, _ in docs for j in (50, 51)} | {(i, i) for i in range(10)}
 
 
 def test_items_rich_in_slots_and_short_items(spark):
