@@ -23,6 +23,12 @@ WINDOW, COVER, PLAIN = 5, 0.8, 3
 UNITS = ("kg|g|mg|km|m|cm|mm|mi|miles?|feet|ft|inches|inch|in|l|ml|liters?|litres?|s|sec|seconds?|min|minutes?|h|hours?|days?|weeks?|"
          "months?|years?|percent|dollars?|euros?|cents?|pounds?|usd|eur|degrees?|mph|kmh|meters?|metres?|grams?|kilograms?")
 
+#: A number behind a blank (what stands before it in its word goes), and punctuation that goes.  Both begin with a
+#: class that most characters fail at once.
+NUMBER = r"([\t\n\x0B\f\r\x20])[^\t\n\x0B\f\r\x200123456789]*+(\d(?:[\d.,:/]*\d)?)(\S*)"
+STRAY = (r"(?=[[^abcdefghijklmnopqrstuvwxyz0123456789\x20\n]&&[^\p{L}\p{M}⟨⟩\d\s]])"
+         r"(?:[^\p{L}\p{M}⟨⟩:\d.\s]+|[.:](?<=\D[.:])[.:]*(?=\s|$)|:(?<!⟨[nup]:))")
+
 
 def canonical(text: Column) -> Column:
     """Words of a text; slots stand as ``⟨kind:value⟩`` with kind n(umber), u(nit) or p(roper name).
@@ -30,11 +36,12 @@ def canonical(text: Column) -> Column:
     Words with a digit are numbers; unit words after a number are units; capitalised
     words that do not begin a sentence or line are names (words all in capitals are not).  Other words are in lower
     case (``ß`` as ``ss``, ``ς`` as ``σ``, for their upper case) without punctuation."""
-    t = F.regexp_replace(text, "[⟨⟩]", " ")
-    t = F.regexp_replace(t, r"(?<!\S)[^\s\d]*+(\d(?:[\d.,:/]*\d)?)(\S*)", "⟨n:$1⟩ $2")
+    t = F.when(text.contains("⟨") | text.contains("⟩"), F.regexp_replace(text, "[⟨⟩]", " ")).otherwise(text)
+    t = F.regexp_replace(F.concat(F.lit(" "), t), NUMBER, "$1⟨n:$2⟩ $3")
     t = F.regexp_replace(t, rf"(?i)(⟩\s{{1,4}})({UNITS})(?![\p{{L}}\d⟩])", "$1⟨u:$2⟩")
     t = F.regexp_replace(t, r"(?<=[\p{Ll}⟩,][\x20\t])(\p{Lu}\p{Ll}[\p{L}'’-]*+)(?=[\s\p{P}]|$)", "⟨p:$1⟩")
-    t = F.regexp_replace(F.replace(F.translate(F.lower(t), "ς", "σ"), F.lit("ß"), F.lit("ss")), r"[^\p{L}\p{M}⟨⟩:\d.\s]+|(?<=\D)[.:]+(?=\s|$)|(?<!⟨[nup]):", "")
+    t = F.replace(F.replace(F.lower(t), F.lit("ς"), F.lit("σ")), F.lit("ß"), F.lit("ss"))
+    t = F.regexp_replace(t, STRAY, "")
     return F.filter(F.split(t, r"[\s.]*\s[\s.]*"), lambda w: w.rlike(r"[\p{L}\p{Nd}]"))
 
 
