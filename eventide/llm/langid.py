@@ -9,15 +9,16 @@ the largest expected share of its words.
 
 from __future__ import annotations
 
-import math
 import re
+import sys
+import unicodedata
 import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from eventide.llm.common import arrow_batches
+from eventide.llm.common import arrow_batches, broadcast_if, cut
 
 #: Bounds of the training sample: expected texts of a language, sequences and their length.
 TRAIN_TEXTS, SEQUENCES, LENGTH = 250, 1500, 24
@@ -25,19 +26,32 @@ MIN_FEATURE, LEXICON, STEPS, L2 = 4, 150, 60, 0.05
 UNKNOWN = "und"
 #: Words whose scores a worker keeps, and padded words of one forward-backward run.
 CACHE, RUN_WORDS = 300_000, 400_000
-_WORD = re.compile(r"[^\W\d_]+")
+#: Features summed at once, and letters of a word looked at in one go (a word of any length is read whole).
+FEATURES, PIECE = 1 << 20, 1 << 16
+
+
+def _class(category: str) -> str:
+    """All characters of a general category, as ranges of a character class."""
+    points = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)).startswith(category)]
+    starts = [c for i, c in enumerate(points) if not i or points[i - 1] != c - 1]
+    ends = [c for i, c in enumerate(points) if i + 1 == len(points) or points[i + 1] != c + 1]
+    return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends))
+
+
+_LETTER = rf"[^\W_{_class('N')}]"  # numerals such as ², ½, Ⅷ are no letters
+_WORD = re.compile(rf"{_LETTER}+(?:[{_class('M')}]+{_LETTER}*)*")
 _cache: dict = {}
 #: First letters of feature names: prefix, suffix, word, length, two and three letters.
 KINDS = "pswl23"
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, in lower case."""
+    """Runs of letters with their combining marks, in lower case."""
     return _WORD.findall(text.lower())
 
 
 def word_features(w: str) -> list[str]:
-    p = f"^{w[:40]}$"
+    p = f"^{w}$"
     out = ["p" + w[:k] for k in (1, 2, 3)] + ["s" + w[-k:] for k in (1, 2, 3)] + ["w" + w, f"l{min(len(w), 12)}"]
     out += ["2" + p[i:i + 2] for i in range(len(p) - 1)]
     out += ["3" + p[i:i + 3] for i in range(len(p) - 2)]
@@ -184,24 +198,36 @@ class _Scorer:
         new = list(dict.fromkeys(w for w in words if w not in self.index))
         if not new:
             return
-        flat, sizes = [], []
+        first = len(self.index)
+        if first + len(new) > len(self.rows):
+            self.rows = np.concatenate([self.rows, np.empty((max(len(self.rows), len(new)), self.rows.shape[1]))])
+        self.rows[first:first + len(new)] = 0
+        flat, sizes, owners = [], [], []
+
+        def flush():
+            if flat:
+                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+                np.add.at(self.rows, owners, np.add.reduceat(self.weights[np.array(flat)], starts, axis=0))
+            for x in (flat, sizes, owners):
+                x.clear()
+
         prefix, suffix, word, length, two, three = (t.get for t in self.tables)
-        for w in new:
-            p = f"^{w[:40]}$"
+        for at, w in enumerate(new, first):
+            p = f"^{w}$"
             n = len(p)
             row = [prefix(w[:1], 0), prefix(w[:2], 0), prefix(w[:3], 0), suffix(w[-1:], 0), suffix(w[-2:], 0), suffix(w[-3:], 0),
                    word(w, 0), length(str(min(len(w), 12)), 0), *self.lexicon.get(w, ())]
-            row += [two(p[i:i + 2], 0) for i in range(n - 1)]
-            row += [three(p[i:i + 3], 0) for i in range(n - 2)]
-            flat += row
-            sizes.append(len(row))
-        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        scores = np.add.reduceat(self.weights[np.array(flat)], starts, axis=0)
-        at = len(self.index)
-        if at + len(new) > len(self.rows):
-            self.rows = np.concatenate([self.rows, np.empty((max(len(self.rows), len(new)), self.rows.shape[1]))])
-        self.rows[at:at + len(new)] = scores
-        self.index.update(zip(new, range(at, at + len(new))))
+            for lo in range(0, n - 1, PIECE):
+                row += [two(p[i:i + 2], 0) for i in range(lo, min(lo + PIECE, n - 1))]
+                row += [three(p[i:i + 3], 0) for i in range(lo, min(lo + PIECE, n - 2))]
+                flat += row
+                sizes.append(len(row))
+                owners.append(at)
+                row = []
+                if len(flat) >= FEATURES:
+                    flush()
+        flush()
+        self.index.update(zip(new, range(first, first + len(new))))
 
     def posteriors(self, docs: list[list[str]]):
         """For each text (with words): (posteriors of its words (n, K))."""
@@ -234,16 +260,18 @@ def label_words(texts: list[str], model: dict) -> list[list[tuple[str, str, floa
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", texts: int = TRAIN_TEXTS) -> dict:
-    """Model of about ``texts`` labelled texts of each language, chosen by a hash of the
-    text.  Null texts and languages do not count.  All languages are learned."""
+    """Model of about ``texts`` distinct labelled texts of each language, chosen by a hash of the
+    text: copies neither count nor lower the rate.  Null texts and languages do not count.  All languages are learned."""
     known = docs.where(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull()).select(
         F.col(text_col).alias("t"), F.col(lang_col).alias("l"))
-    counts = {r["l"]: r["n"] for r in known.groupBy("l").agg(F.count("*").alias("n")).collect()}  # a row a language
-    keep = F.lit(False)
-    for lang, n in counts.items():
-        keep = keep | ((F.col("l") == lang) & (F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < math.ceil(texts / n * (1 << 20))))
-    sample: dict[str, list[str]] = {la: [] for la in counts}
-    for r in known.where(keep).distinct().collect():  # about ``texts`` rows a language
+    steps = F.lit(1 << 20)
+    rates = cut(known.select("l", F.xxhash64("t").alias("h")).distinct().groupBy("l").agg(F.count("*").alias("n"))
+                .select(F.col("l").alias("la"), F.ceil(F.lit(texts) / F.col("n") * steps).alias("rate")))
+    langs = [r["la"] for r in rates.collect()]  # a row a language
+    chosen = known.join(broadcast_if(rates, len(langs), 64), F.col("l") == F.col("la")).where(
+        F.pmod(F.xxhash64("t"), steps) < F.col("rate"))
+    sample: dict[str, list[str]] = {la: [] for la in langs}
+    for r in chosen.select("t", "l").distinct().collect():  # about ``texts`` rows a language
         sample[r["l"]].append(r["t"])
     return fit(sample)
 

@@ -49,6 +49,33 @@ def test_held_out_and_code_switching(model):
     assert np.diag(model["trans"]).min() > model["trans"][~np.eye(3, dtype=bool)].max()
 
 
+def test_letters_by_category():
+    assert langid.words_of("² ½ Ⅷ ٣ 12 _ ① 😀") == []
+    assert langid.words_of("Été हिन्दी x²y 一二 a_b") == ["été", "हिन्दी", "x", "y", "一二", "a", "b"]
+
+
+def test_words_are_read_whole(model, monkeypatch):
+    """Also in pieces: the score of a word is the sum over all of its n-grams."""
+    monkeypatch.setattr(langid, "PIECE", 7)
+    monkeypatch.setattr(langid, "FEATURES", 40)
+    words = ["q" * 50 + "ther" * 20, "ung" * 33, "a", "undmit", "x" * 13, "y" * 6]
+    scorer = langid._Scorer(model)
+    scorer.add(words)
+    for w in words:
+        rows = [model["features"][f] for f in langid._all_features(w, model["lexicon"]) if f in model["features"]]
+        assert np.allclose(scorer.rows[scorer.index[w]], model["weights"][rows].sum(0))
+
+
+def test_a_language_of_copies_is_learned(spark):
+    rnd = random.Random(8)
+    copies = [text(rnd, "bb", 40) for _ in range(3)]
+    rows = [(text(rnd, "aa", 20), "aa") for _ in range(600)] + [(copies[i % 3], "bb") for i in range(3000)] + [("² ½", None)]
+    docs = spark.createDataFrame([(i, t, la) for i, (t, la) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    got = langid.identify(docs.where("doc_id >= 600").select("doc_id", "text"), model).collect()
+    assert all(r["lang_pred"] == ("bb" if r["doc_id"] < 3600 else "und") for r in got)
+
+
 def test_word_scores_are_sums_of_feature_weights(model):
     rnd = random.Random(4)
     words = ["a", "the", "x" * 60, "undmit", "éß", *text(rnd, "bb", 50).split()]
