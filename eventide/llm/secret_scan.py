@@ -31,8 +31,9 @@ KINDS = (*BASE, "markov")
 MASK = "[SECRET]"
 
 
-def running_sum(a: Column, block: int = 64) -> Column:
-    """Running sums of an array of longs, in blocks (work near n * block / 2)."""
+def running_sum(a: Column, block: int = 64, depth: int = 2) -> Column:
+    """Running sums of an array of longs: inside blocks from the sum of all blocks before, which is a running sum
+    of block sums (work near n * block / 2; the last of ``depth`` levels sums its prefixes anew)."""
     def total(x):
         return F.aggregate(x, F.lit(0).cast("long"), lambda s, v: s + v)
 
@@ -42,9 +43,13 @@ def running_sum(a: Column, block: int = 64) -> Column:
             F.slice(arr, (F.floor(i / block) * block + 1).cast("int"), (i % block + 1).cast("int"))))
 
     def outer(arr):
-        sums = F.transform(F.sequence(F.lit(0), F.floor(F.size(arr) / block).cast("int")),
-                           lambda b: total(F.slice(arr, F.lit(1), b * block)))
-        return let(F.struct(arr.alias("a"), sums.alias("b")), inner)
+        blocks = F.sequence(F.lit(0), F.floor(F.size(arr) / block).cast("int"))
+        if depth:
+            own = F.transform(blocks, lambda b: total(F.slice(arr, b * block + 1, F.lit(block))))
+            before = F.concat(F.array(F.lit(0).cast("long")), running_sum(own, block, depth - 1))
+        else:
+            before = F.transform(blocks, lambda b: total(F.slice(arr, F.lit(1), b * block)))
+        return let(F.struct(arr.alias("a"), before.alias("b")), inner)
 
     return let(a, outer)
 
