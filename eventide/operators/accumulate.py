@@ -8,6 +8,7 @@ states outgrow ``HELD_KEYS``), and no group is collected.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -30,6 +31,14 @@ class Accumulator:
         """The state with some rows of one key."""
         raise NotImplementedError
 
+    def add_groups(self, states: list[tuple], rows: pd.DataFrame, codes: np.ndarray) -> list[tuple]:
+        """The states of many keys with their rows; ``codes`` holds each row's place in ``states``.  Here one ``add``
+        per key; an accumulator that can add whole columns says so, which counts where a key has few rows in a batch."""
+        order = np.argsort(codes, kind="stable")
+        ends = np.searchsorted(codes[order], np.arange(len(states) + 1))
+        rows = rows.iloc[order]
+        return [self.add(s, rows.iloc[a:b]) for s, a, b in zip(states, ends, ends[1:])]
+
     def merge(self, a: tuple, b: tuple) -> tuple:
         raise NotImplementedError
 
@@ -57,9 +66,13 @@ def accumulate(df: DataFrame, keys, acc: Accumulator) -> DataFrame:
     def fold(frames):
         held: dict = {}
         for pdf in frames:
-            for k, rows in pdf.groupby(keys, dropna=False, sort=False):
-                k = key_of(k)
-                held[k] = acc.add(held[k] if k in held else acc.create(), rows)
+            if pdf.empty:
+                continue
+            codes = pdf.groupby(keys, dropna=False, sort=False).ngroup().to_numpy()
+            _, first, codes = np.unique(codes, return_index=True, return_inverse=True)
+            found = [key_of(k) for k in pdf[keys].iloc[first].itertuples(index=False, name=None)]
+            states = [held[k] if k in held else acc.create() for k in found]
+            held.update(zip(found, acc.add_groups(states, pdf, codes)))
             if len(held) > HELD_KEYS:
                 yield _keyed_frame(held, keys, state)
                 held = {}
@@ -104,6 +117,13 @@ class Mean(Accumulator):
         v = rows[self.value].dropna()
         return state[0] + float(v.sum()), state[1] + len(v)
 
+    def add_groups(self, states, rows, codes):
+        known = rows[self.value].notna().to_numpy()
+        v, codes = rows[self.value].to_numpy()[known].astype(float), codes[known]
+        totals = np.bincount(codes, v, len(states)).tolist()
+        ns = np.bincount(codes, minlength=len(states)).tolist()
+        return [(s[0] + t, s[1] + n) for s, t, n in zip(states, totals, ns)]
+
     def merge(self, a, b):
         return a[0] + b[0], a[1] + b[1]
 
@@ -130,6 +150,14 @@ class TopValues(Accumulator):
         rows = rows[rows[self.value].notna()].nlargest(self.k, self.value, keep="all")
         return self._best([*state[0], *rows[self.value]], [*state[1], *rows[self.id]])
 
+    def add_groups(self, states, rows, codes):
+        t = pd.DataFrame({"code": codes, "v": rows[self.value].to_numpy(), "id": rows[self.id].to_numpy()}).dropna(subset="v")
+        t = t.sort_values(["code", "v", "id"], ascending=[True, False, True])
+        t = t[t.groupby("code").cumcount() < self.k]
+        ends = np.searchsorted(t["code"].to_numpy(), np.arange(len(states) + 1))
+        v, ids = t["v"].tolist(), t["id"].tolist()
+        return [self.merge(s, (v[a:b], ids[a:b])) for s, a, b in zip(states, ends, ends[1:])]
+
     def merge(self, a, b):
         return self._best([*a[0], *b[0]], [*a[1], *b[1]])
 

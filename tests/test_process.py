@@ -8,7 +8,7 @@ import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from eventide.operators import matching, watermark
+from eventide.operators import matching, watermark, windows
 from eventide.operators.accumulate import Accumulator, Mean, TopValues, accumulate
 from eventide.session import scratch_path
 from eventide.streaming import carry, idle, jobs, process
@@ -289,3 +289,26 @@ def test_a_hot_key_sends_one_state_a_task(spark):
     df = spark.range(20_000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")).repartition(6)
     got = {r["k"]: r["n"] for r in accumulate(df, "k", Partials()).collect()}
     assert got[0] == 6 and len(got) == df.distinct().count()
+
+
+class WholeColumns(Mean):
+    """A mean that must not be asked key by key."""
+
+    def add(self, state, rows):
+        raise AssertionError("one frame per key")
+
+
+class WholeTops(TopValues):
+    add = WholeColumns.add
+
+
+def test_many_keys_are_added_by_the_column(spark):
+    df = spark.range(6000).selectExpr("if(id % 7 = 0, null, id % 2500) k", "id", "if(id % 5 = 0, null, cast(id % 11 as double)) v").repartition(3)
+    rows = [tuple(r) for r in df.collect()]
+    want = {}
+    for k, i, v in rows:
+        want.setdefault(k, []).extend([(v, i)] if v is not None else [])
+    got = {r["k"]: (r["mean"], r["n"]) for r in accumulate(df.select("k", "v"), "k", WholeColumns("v")).collect()}
+    assert got == {k: (sum(v for v, _ in vs) / len(vs) if vs else None, len(vs)) for k, vs in want.items()}
+    got = {r["k"]: list(zip(r["values"], r["ids"])) for r in accumulate(df, "k", WholeTops("v", "id", 2)).collect()}
+    assert got == {k: sorted(vs, key=lambda x: (-x[0], x[1]))[:2] for k, vs in want.items()}
