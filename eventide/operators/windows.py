@@ -8,7 +8,12 @@ streaming inputs with a watermark unchanged.
 
 from __future__ import annotations
 
+from collections import namedtuple
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def total_of(col, scale: int | None = None):
@@ -66,14 +71,61 @@ def window_mean(df: DataFrame, key: str, value: str, size: str, ts: str = "ts",
                       F.try_divide(F.col("total"), F.col("n")).alias(out), "total", "n"))
 
 
-def process_window(df: DataFrame, key: str, size: str, fn, schema: str, ts: str = "ts") -> DataFrame:
+#: Result rows that :func:`process_window` sends on at once.
+RESULT_ROWS = 10_000
+
+
+def process_window(df: DataFrame, key: str, size: str, fn, schema: str, ts: str = "ts", records: bool = False) -> DataFrame:
     """UDF-5: a process-window function of the caller's: ``fn(key, start, end, rows)`` gets the rows of a key
     and tumbling window as a pandas frame and returns a frame of ``schema``.  It sees a whole group, as the
-    reference's does; what can be merged belongs in :mod:`eventide.operators.accumulate`."""
+    reference's does; what can be merged belongs in :mod:`eventide.operators.accumulate`.
+
+    With ``records`` the rows are a list of named tuples (null: None) and the results an iterable of tuples.
+    A frame costs each group a hundred times as much, which counts where windows hold few rows."""
     rows = df.withColumn("_w", F.window(ts, size))
     rows = rows.withColumn("_start", F.col("_w.start")).withColumn("_end", F.col("_w.end")).drop("_w")
+    if records:
+        return _process_records(rows, key, fn, schema)
 
     def run(group, pdf):
         return fn(group[0], group[1], group[2], pdf.drop(columns=["_start", "_end"]))
 
     return rows.groupBy(key, "_start", "_end").applyInPandas(run, schema)
+
+
+def _process_records(rows: DataFrame, key: str, fn, schema: str) -> DataFrame:
+    """Groups are neighbours in sorted partitions; a task reads them from whole Arrow batches."""
+    own = [c for c in rows.columns if c not in ("_start", "_end")]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.select(F.col(key).alias("_key"), "_start", "_end", *own).repartition(n, "_key", "_start") \
+                .sortWithinPartitions("_key", "_start")
+    kinds = to_arrow_schema(StructType.fromDDL(schema))
+
+    def groups(batches):
+        record = namedtuple("Record", own, rename=True)
+        now, held = None, []
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if now is None or row[:3] != now:
+                    if now is not None:
+                        yield now, held
+                    now, held = row[:3], []
+                held.append(record._make(row[3:]))
+        if now is not None:
+            yield now, held
+
+    def send(found):
+        columns = zip(*found)
+        return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, kinds)], schema=kinds)
+
+    def run(batches):
+        found = []
+        for group, held in groups(batches):
+            found.extend(fn(*group, held))
+            if len(found) >= RESULT_ROWS:
+                yield send(found)
+                found = []
+        if found:
+            yield send(found)
+
+    return dealt.mapInArrow(run, schema)

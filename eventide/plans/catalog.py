@@ -6,6 +6,7 @@ ones; every computed column carries the same name as in the SQL oracle
 
 from __future__ import annotations
 
+import statistics
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
@@ -368,12 +369,12 @@ def accumulated_top(spark, d):
 def window_median(spark, d):
     """UDF-5: the median value of a user and window by a process-window function of the caller's."""
     def median(user, start, end, rows):
-        import pandas as pd
-
-        return pd.DataFrame({"user_id": [user], "window_start": [start], "window_end": [end], "median": [float(rows["value"].median())]})
+        values = [r.value for r in rows if r.value is not None and r.value == r.value]
+        return [(user, start, end, statistics.median(values) if values else None)]
 
     e = events(spark, d).select("user_id", "ts", "value")
-    m = windows.process_window(e, "user_id", P.MIN_WINDOW, median, "user_id long, window_start timestamp, window_end timestamp, median double")
+    m = windows.process_window(e, "user_id", P.MIN_WINDOW, median, "user_id long, window_start timestamp, window_end timestamp, median double",
+                               records=True)
     return m.select("user_id", ntz("window_start").alias("window_start"), ntz("window_end").alias("window_end"), "median")
 
 

@@ -312,3 +312,19 @@ def test_many_keys_are_added_by_the_column(spark):
     assert got == {k: (sum(v for v, _ in vs) / len(vs) if vs else None, len(vs)) for k, vs in want.items()}
     got = {r["k"]: list(zip(r["values"], r["ids"])) for r in accumulate(df, "k", WholeTops("v", "id", 2)).collect()}
     assert got == {k: sorted(vs, key=lambda x: (-x[0], x[1]))[:2] for k, vs in want.items()}
+
+
+def test_records_of_many_small_windows(spark):
+    """More groups than an Arrow batch has rows; null keys, values and times, and groups across batches."""
+    def told(user, start, end, rows):
+        yield user, start, end, sorted(r.id for r in rows), sum(r.v for r in rows if r.v is not None) if len(rows) > 1 else None
+
+    df = spark.range(30_000).selectExpr("if(id % 11 = 0, null, (1 << 60) + id % 1500) user", "id", "if(id % 6 = 0, null, id * 0.5d) v",
+                                        f"if(id % 101 = 0, null, timestamp_millis({T0} + (id % 13) * 1000)) ts").repartition(5)
+    schema = "user long, start timestamp, stop timestamp, ids array<bigint>, total double"
+    got = windows.process_window(df, "user", "5 seconds", told, schema, records=True)
+    w = df.groupBy("user", F.window("ts", "5 seconds").alias("w")).agg(
+        F.sort_array(F.collect_list("id")).alias("ids"), F.when(F.count(F.lit(1)) > 1, F.coalesce(F.sum("v"), F.lit(0.0))).alias("total"))
+    want = w.select("user", "w.start", "w.end", "ids", "total")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
+    assert windows.process_window(df.limit(0), "user", "5 seconds", told, schema, records=True).count() == 0
