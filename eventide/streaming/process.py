@@ -2,7 +2,8 @@
 
 A :class:`KeyedProcess` declares its states and outputs and gets its rows one by one; a
 :class:`CoProcess` gets those of two connected inputs.  :func:`run` turns it into a streaming
-DataFrame over ``transformWithStateInPandas``, and :func:`output` picks one of its outputs.
+DataFrame over ``transformWithState``, and :func:`output` picks one of its outputs.  Rows travel as rows: a
+pandas frame for each key and micro-batch would cost more than the rows of most keys.
 
 Order and time: a key's rows of a micro-batch come sorted by ``order``.  Before each row the
 timers that its watermark has passed fire, in order, so the result does not depend on how
@@ -13,22 +14,24 @@ reaches T; as Spark's watermark is one above that of the rule, T + 1 is register
 
 State: value, list and map handles.  What a call reads is kept until its end, and only what
 changed is written: a list is appended to without being read, a map's entries are put and
-removed one by one.  Timers are a set per key.
+removed one by one, and one that is known not to be stored is neither asked for nor removed.
+Timers are a set per key.
 """
 
 from __future__ import annotations
 
 import heapq
+from collections import namedtuple
 from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, FloatType, IntegralType, StructType
 
 #: Columns of the tagged output: this one, and <tag>__<field> for every output.
 TAG = "_tag"
-_PANDAS = {"bigint": "Int64", "int": "Int32", "double": "Float64", "boolean": "boolean"}
+_CASTS = {"bigint": int, "int": int, "double": float, "boolean": bool}
+_NAN = float("nan")
 
 
 @dataclass(frozen=True)
@@ -61,7 +64,7 @@ class KeyedProcess:
         """Called once in a task before its rows."""
 
     def on_row(self, row, ctx: Context) -> None:
-        """A row as a named tuple."""
+        """A row as a named tuple (null numbers: NaN)."""
 
     def on_timer(self, t_ms: int, ctx: Context) -> None:
         """A timer that was registered for ``t_ms``."""
@@ -123,11 +126,16 @@ class _ListHandle:
 class _MapHandle:
     def __init__(self, state):
         self.state, self.seen, self.dirty = state, {}, set()
+        self.absent: set = set()  # keys that the store does not hold
 
-    def get(self, *key):
+    def get(self, *key, stored: bool = True):
+        """The entry's fields, or None.  ``stored`` False: the caller knows that no earlier call has left this entry
+        (say, since it would have a timer, see :meth:`Context.had_timer`); the store is not asked."""
         if key not in self.seen:
-            found = self.state.getValue(key)
+            found = self.state.getValue(key) if stored else None
             self.seen[key] = None if found is None else tuple(found)
+            if found is None:
+                self.absent.add(key)
         return self.seen[key]
 
     def put(self, key: tuple, *fields) -> None:
@@ -148,7 +156,7 @@ class _MapHandle:
         for key in self.dirty:
             if self.seen[key] is not None:
                 self.state.updateValue(key, self.seen[key])
-            else:
+            elif key not in self.absent:
                 self.state.removeKey(key)
 
 
@@ -158,7 +166,8 @@ class Context:
 
     def __init__(self, key, states: dict, timers, watermark, outputs: dict):
         self.key, self._states, self.watermark, self._outputs = key, states, watermark, outputs
-        self._stored = set(timers)
+        self._asked = timers is not None
+        self._stored = set(timers or ())
         self._pending = sorted(self._stored)  # a heap; entries that have been deleted since stay in it
         self._added: set[int] = set()
         self._deleted: set[int] = set()
@@ -166,6 +175,10 @@ class Context:
     def state(self, name: str):
         return self._states[name]
 
+    def had_timer(self, t_ms: int) -> bool:
+        """Whether an earlier call may have left a timer at this time (a call for a timer does not know: True)."""
+        return not self._asked or t_ms in self._stored
+
     def register(self, t_ms: int) -> None:
         """A timer (once per time, however often it is registered)."""
         t_ms = int(t_ms)
@@ -196,12 +209,18 @@ class Context:
         self._outputs[tag].append(fields)
 
 
+def _same(v):
+    return v
+
+
 class _Processor(StatefulProcessor):
     """Runs a process function in Spark's operator."""
 
-    def __init__(self, process: KeyedProcess, order, t_ms: str, clock: str | None, delay_ms: int, event_time: bool, fields: dict):
+    def __init__(self, process: KeyedProcess, order, t_ms: str, clock: str | None, delay_ms: int, event_time: bool, fields: dict,
+                 numbers: frozenset):
         self.process, self.order, self.t_ms, self.clock = process, list(order or ()), t_ms, clock
         self.delay, self.event_time, self.fields = delay_ms, event_time, fields
+        self.numbers, self.record = numbers, None
 
     def init(self, handle):
         self.handle = handle
@@ -225,39 +244,49 @@ class _Processor(StatefulProcessor):
         for t in ctx._added:
             self.handle.registerTimer(t + ahead)
         for tag, rows in ctx._outputs.items():
-            if rows:
-                yield self._frame(tag, rows)
-
-    def _frame(self, tag: str, rows: list) -> pd.DataFrame:
-        columns = {TAG: [tag] * len(rows)}
-        for other, fields in self.fields.items():
-            for i, (name, kind) in enumerate(fields):
-                values = [r[i] for r in rows] if other == tag else [None] * len(rows)
-                columns[f"{other}__{name}"] = pd.array(values, dtype=_PANDAS[kind]) if kind in _PANDAS else values
-        return pd.DataFrame(columns)
+            make = Row(TAG, *(f"{tag}__{name}" for name, _ in self.fields[tag]))  # the other outputs' columns are null
+            for row in rows:
+                yield make(tag, *(None if v is None or v != v else _CASTS.get(kind, _same)(v)
+                                  for v, (_, kind) in zip(row, self.fields[tag], strict=True)))
+
+    def _records(self, rows):
+        """Named tuples, with NaN for null numbers."""
+        for row in rows:
+            if self.record is None:
+                names = row.__fields__
+                self.record, self.nullable = namedtuple("Record", names, rename=True), [n in self.numbers for n in names]
+            yield self.record._make(_NAN if v is None and number else v for v, number in zip(row, self.nullable))
+
+    def _in_order(self, records) -> list:
+        places = None
+        def at(record):
+            return [(1, 0) if (v := record[i]) is None or v != v else (0, v) for i in places]
+        records = list(records)
+        if records:
+            places = [records[0]._fields.index(c) for c in self.order]
+        return sorted(records, key=at)
 
     def handleInputRows(self, key, rows, timerValues):
         # only rows in event time can overtake a timer
         ctx = self._context(key, timerValues, [int(t) - 1 for t in self.handle.listTimers()] if self.event_time else [])
-        if self.order:  # one frame per key and batch; without an order, frames are handled as they come
-            frames = [f for f in rows if len(f)]
-            rows = [pd.concat(frames, ignore_index=True).sort_values(self.order, kind="stable")] if frames else []
+        records = self._records(rows)
+        if self.order:  # a key's rows of a batch are held; without an order they are handled as they come
+            records = self._in_order(records)
         stream = ctx.watermark
-        for frame in rows:
-            for row in frame.itertuples(index=False):
-                if self.event_time:
-                    wm = getattr(row, self.clock) if self.clock else getattr(row, self.t_ms) - self.delay - 1
-                    wm = None if wm is None or wm != wm else int(wm)
-                    while wm is not None and (t := ctx._due(wm)) is not None:
-                        ctx.watermark = t
-                        self.process.on_timer(t, ctx)
-                    ctx.watermark = wm if self.clock else stream
-                self.process.on_row(row, ctx)
+        for row in records:
+            if self.event_time:
+                wm = getattr(row, self.clock) if self.clock else getattr(row, self.t_ms) - self.delay - 1
+                wm = None if wm is None or wm != wm else int(wm)
+                while wm is not None and (t := ctx._due(wm)) is not None:
+                    ctx.watermark = t
+                    self.process.on_timer(t, ctx)
+                ctx.watermark = wm if self.clock else stream
+            self.process.on_row(row, ctx)
         yield from self._close(ctx)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         at = int(expiredTimerInfo.getExpiryTimeInMs()) - (1 if self.event_time else 0)
-        ctx = self._context(key, timerValues, [])  # the key's other timers are not asked for
+        ctx = self._context(key, timerValues, None)  # the key's other timers are not asked for
         self.process.on_timer(at, ctx)
         yield from self._close(ctx)
 
@@ -270,15 +299,15 @@ def run(rows: DataFrame, key, process: KeyedProcess, time: str | None = "ts", t_
     """``process`` over a stream, keyed by the column (or columns) ``key``.  The result is tagged; see :func:`output`.
 
     ``time``: the event-time column, whose watermark trails by ``delay_ms`` (None: ``rows`` has a watermark).  ``order`` sorts a key's rows in
-    a micro-batch (empty: as they come, a frame at a time, so that a hot key's rows are never held
-    together).  ``time_mode="ProcessingTime"``: timers are wall-clock times (TMR-3) and rows have no watermark."""
+    a micro-batch (empty: as they come, so that a hot key's rows are never held together).  ``time_mode="ProcessingTime"``: timers are wall-clock times (TMR-3) and rows have no watermark."""
     fields = {tag: [(f.name, f.dataType.simpleString()) for f in StructType.fromDDL(ddl)] for tag, ddl in process.outputs.items()}
     schema = ", ".join([f"{TAG} string", *(f"`{tag}__{name}` {kind}" for tag, fs in fields.items() for name, kind in fs)])
     event_time = time_mode.lower() == "eventtime"
     if event_time and time:
         rows = rows.withWatermark(time, f"{delay_ms} milliseconds")
-    op = _Processor(process, order, t_ms, clock, delay_ms, event_time, fields)
-    return rows.groupBy(*([key] if isinstance(key, str) else key)).transformWithStateInPandas(op, schema, "append", time_mode)
+    numbers = frozenset(f.name for f in rows.schema if isinstance(f.dataType, (IntegralType, FloatType, DoubleType)))
+    op = _Processor(process, order, t_ms, clock, delay_ms, event_time, fields, numbers)
+    return rows.groupBy(*([key] if isinstance(key, str) else key)).transformWithState(op, schema, "append", time_mode)
 
 
 def output(tagged: DataFrame, tag: str) -> DataFrame:

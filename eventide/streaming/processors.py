@@ -115,7 +115,7 @@ class PseudoWindow(KeyedProcess):
             return
         end = int(row.t_ms - row.t_ms % self.size + self.size - 1)
         sums = ctx.state("sums")
-        old = sums.get(end)
+        old = sums.get(end, stored=ctx.had_timer(end))  # an open window has its timer
         sums.put((end,), (old[0] if old else 0.0) + float(getattr(row, self.value)))
         ctx.register(end)
 
@@ -164,6 +164,11 @@ class LateWindowMin(KeyedProcess):
     def __init__(self, size_ms: int, lateness_ms: int):
         self.size, self.lateness = size_ms, lateness_ms
 
+    def _window(self, start, ctx):
+        """A stored window waits for its end or for the last of its late rows."""
+        last = start + self.size - 1
+        return ctx.state("windows").get(start, stored=ctx.had_timer(last) or ctx.had_timer(last + self.lateness))
+
     def on_row(self, row, ctx):
         if pd.isna(row.event_id):  # the mark at the end of a bounded input
             return
@@ -174,7 +179,7 @@ class LateWindowMin(KeyedProcess):
             ctx.emit("too_late", ctx.key[0], start, wm, rec[2], rec[3], rec[0])
             return
         windows = ctx.state("windows")
-        old = windows.get(start) or (False, *self._NONE, *self._NONE)
+        old = self._window(start, ctx) or (False, *self._NONE, *self._NONE)
         on, every = tuple(old[1:5]), tuple(old[5:9])
         every = rec if every[0] is None else min(every, rec)
         if wm is not None and last <= wm:
@@ -187,14 +192,14 @@ class LateWindowMin(KeyedProcess):
 
     def on_timer(self, t_ms, ctx):
         windows = ctx.state("windows")
-        ended = windows.get(t_ms + 1 - self.size)
+        ended = self._window(t_ms + 1 - self.size, ctx)
         if ended and not ended[0] and ended[1] is not None:
             start = t_ms + 1 - self.size
             ctx.emit("fire", ctx.key[0], start, start + self.size, ended[3], ended[4], ended[1])
             windows.put((start,), True, *ended[1:])
             ctx.register(t_ms + self.lateness)
         over = t_ms + 1 - self.size - self.lateness
-        if self.lateness and windows.get(over):
+        if self.lateness and self._window(over, ctx):
             windows.remove(over)
         elif not self.lateness:
             windows.remove(t_ms + 1 - self.size)

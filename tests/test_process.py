@@ -6,12 +6,12 @@ import time
 
 import pytest
 from pyspark import cloudpickle
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
 from eventide.operators import matching, watermark, windows
 from eventide.operators.accumulate import Accumulator, Mean, TopValues, accumulate
 from eventide.session import scratch_path
-from eventide.streaming import carry, idle, jobs, process
+from eventide.streaming import carry, idle, jobs, process, processors
 from eventide.streaming.process import CoProcess, KeyedProcess, List, Map, Value
 from eventide.streaming.runner import advance, drain_in_slices, drive
 
@@ -328,3 +328,77 @@ def test_records_of_many_small_windows(spark):
     want = w.select("user", "w.start", "w.end", "ids", "total")
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, want.collect())))
     assert windows.process_window(df.limit(0), "user", "5 seconds", told, schema, records=True).count() == 0
+
+
+class Store:
+    """A state handle that counts what it is asked: one map, and timers."""
+
+    def __init__(self):
+        self.map, self.timers, self.calls = {}, set(), 0
+
+    def getMapState(self, *_):
+        return self
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.map[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.map[key]
+
+    def listTimers(self):
+        return iter([t for t in self.timers])
+
+    def registerTimer(self, t):
+        self.timers.add(t)
+
+    def deleteTimer(self, t):
+        self.timers.discard(t)
+
+    def getCurrentWatermarkInMs(self):
+        return 0
+
+
+def asked(proc, batches, clock, order, outputs):
+    """Calls of the store for each batch of one key, and the rows told."""
+    op = process._Processor(proc, order, "t_ms", clock, 0, True, outputs, frozenset())
+    store, calls, told = Store(), [], []
+    op.init(store)
+    for rows in batches:
+        before = store.calls
+        told += [r.asDict() for r in op.handleInputRows((1,), iter(rows), store)]
+        calls.append(store.calls - before)
+    return calls, told, store
+
+
+def fields_of(proc):
+    return {tag: [(c.split()[0], {"long": "bigint"}.get(c.split()[1], c.split()[1])) for c in ddl.split(", ")] for tag, ddl in proc.outputs.items()}
+
+
+def test_closed_windows_cost_no_state_calls():
+    """A hundred windows that open and close within a batch; only the one left open is stored."""
+    proc = processors.PseudoWindow(1000)
+    first = [Row(t_ms=T0 + 2000 * i, value=1.0) for i in range(100)]
+    second = [Row(t_ms=T0 + 2000 * 99 + 1, value=2.0), Row(t_ms=T0 + 2000 * 200, value=4.0)]
+    calls, told, store = asked(proc, [first, second], None, ("t_ms",), fields_of(proc))
+    assert calls == [1, 3]  # written; read, removed, written
+    assert [r["window__tips"] for r in told] == [1.0] * 99 + [3.0]
+    assert list(store.map.values()) == [(4.0,)]
+
+
+def test_late_windows_cost_no_state_calls():
+    """The same with late re-firings."""
+    proc = processors.LateWindowMin(1000, 500)
+    rows = [Row(event_id=i, arr_ms=i, t_ms=T0 + 3000 * i, t_us=0, value=float(i), wm_before=T0 + 3000 * (i - 1) if i else None) for i in range(60)]
+    late = [Row(event_id=100, arr_ms=100, t_ms=T0 + 3000 * 59 + 5, t_us=0, value=-1.0, wm_before=T0 + 3000 * 59 + 1100),
+            Row(event_id=101, arr_ms=101, t_ms=T0 + 3000 * 400, t_us=0, value=7.0, wm_before=T0 + 3000 * 300)]
+    calls, told, store = asked(proc, [rows, late], "wm_before", ("arr_ms", "event_id"), fields_of(proc))
+    assert calls[0] <= 4 and calls[1] <= 8
+    assert [r["fire__value"] for r in told if r["_tag"] == "fire"] == [float(i) for i in range(60)]
+    assert [(r["late__value"], r["late__event_id"]) for r in told if r["_tag"] == "late"] == [(-1.0, 100)]
+    assert list(store.map) == [(T0 + 3000 * 400 - (T0 + 3000 * 400) % 1000,)]
