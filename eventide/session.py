@@ -23,6 +23,10 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a batch's changes are written as they are, not as whole files of the store, and a write does not
+    # look its key up only to count the store's rows
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
     "spark.python.unix.domain.socket.enabled": "true",
 }
 
@@ -50,7 +54,9 @@ def configure(spark: SparkSession) -> SparkSession:
     ship_package(spark)
     for k in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled",
               "spark.sql.adaptive.skewJoin.enabled",
-              "spark.sql.streaming.stateStore.providerClass"):
+              "spark.sql.streaming.stateStore.providerClass",
+              "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled",
+              "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows"):
         try:
             spark.conf.set(k, BASE_CONF[k])
         except Exception:  # noqa: BLE001 - a cluster may pin these

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventide.session import scratch_path
 from eventide.streaming import jobs, sinks
-from eventide.streaming.runner import drain
+from eventide.streaming.runner import advance, drain
 
 
 def _files(spark, name, batches, schema):
@@ -105,3 +105,16 @@ def test_pseudo_window_across_batches(spark):
     out = drain(jobs.pseudo_window(s, 60 * M), "pw-multi")
     got = sorted((r["user_id"], r["window_end_ms"] - base, r["tips"]) for r in out.collect())
     assert got == [(1, 60 * M - 1, 11.0), (2, 60 * M - 1, 10.0), (2, 120 * M - 1, 1.0)]
+
+
+def test_join_state_is_written_as_changes(spark, tmp_path):
+    """Two inputs of a join: their state leaves a log of changes, and no key is looked up for a row count."""
+    rows = spark.createDataFrame([(i, 1_700_000_000 + i) for i in range(50)], "ride_id long, s long").selectExpr("ride_id", "timestamp_seconds(s) event_time")
+    rows.write.parquet(str(tmp_path / "starts"))
+    rows.where("ride_id % 2 = 0").write.parquet(str(tmp_path / "ends"))
+    starts, ends = (spark.readStream.schema(rows.schema).parquet(str(tmp_path / s)) for s in ("starts", "ends"))
+    base = str(tmp_path / "run")
+    advance(jobs.long_rides_join(starts, ends, 1000, 1000, "0 seconds"), "changes", base)
+    assert sorted(r["ride_id"] for r in spark.read.parquet(f"{base}/data").collect()) == list(range(1, 47, 2))
+    assert list((tmp_path / "run" / "checkpoint" / "state").rglob("*.changelog"))
+    assert spark.conf.get("spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows") == "false"
