@@ -67,3 +67,48 @@ def test_frames(spark, model):
     assert [r["decoded"] for r in got] == [r[1] for r in rows]
     assert got[1]["piece_ids"] is None and got[2]["piece_ids"] == []
     assert spiece.encode(df.limit(0), model).collect() == []
+
+
+def test_a_batch_is_encoded_once(model, monkeypatch):
+    """Spark calls the encoder again for every column that is made of its ids."""
+    enc, calls = spiece.Encoder(model), []
+    real = enc.split
+    monkeypatch.setattr(enc, "split", lambda t: calls.append(t) or real(t))
+    for batch in (["a b", None, "", "a b"], ["a b", "", None, "a b"]):
+        first, again = enc.encode_batch(batch), enc.encode_batch(list(batch))
+        assert [i is None for i in again] == [t is None for t in batch]
+        assert all(a is b for a, b in zip(first, again))
+    assert calls == ["a b", "", "", "a b", "a b", "", "", "a b"]
+
+
+def test_pairs_stay_as_merging_says(model):
+    enc, rnd = spiece.Encoder(model), random.Random(2)
+    pieces = sorted(enc.usable)
+    pairs = [(rnd.choice(pieces), rnd.choice(pieces)) for _ in range(5000)]
+    pairs += [(p[:k], p[k:]) for p in pieces[::50] for k in range(1, len(p)) if {p[:k], p[k:]} <= enc.usable]
+    assert all(enc.stays(a, b) == (enc.merge(a + b) == [a, b]) for a, b in pairs)
+
+
+def test_forgetting_changes_no_ids(model, monkeypatch):
+    texts = samples()[:300]
+    want = [i.tolist() for i in spiece.Encoder(model).encode(texts)]
+    monkeypatch.setattr(spiece, "LEARNED", 10)
+    monkeypatch.setattr(spiece, "CACHE", 10)
+    enc = spiece.Encoder(model)
+    assert [enc.encode([t])[0].tolist() for t in texts] == want
+
+
+def test_bytes_are_read_as_utf8(model):
+    """Against one ``bytes.decode`` a run: broken, cut and ASCII bytes between pieces."""
+    enc, rnd, names, of = spiece.Encoder(model), random.Random(3), model["names"], model["bytes"]
+    of_id = {i: b for b, i in of.items()}
+    some = [*of.values()] + [of[b] for b in "é漢😀▁\n".encode()] * 20 + rnd.sample(range(len(names)), 60)
+    for _ in range(3000):
+        ids, out, run = [rnd.choice(some) for _ in range(rnd.randint(0, 12))], "", b""
+        for i in ids:
+            if i in of_id:
+                run += bytes([of_id[i]])
+            else:
+                out, run = out + run.decode(errors="replace") + names[i], b""
+        out += run.decode(errors="replace")
+        assert enc.decode(ids) == out.replace("▁", " ").removeprefix(" ")
